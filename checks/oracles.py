@@ -125,10 +125,16 @@ _FACT_KEY = _token_hash(
 )
 
 _MEASURES = """
-    {key} as sk_despesa, ano, mes, data_documento as data_despesa, valorDocumento as valor_documento,
-    valorLiquido as valor_liquido, valorGlosa as valor_glosa
+    {key} as sk_despesa, ano, mes, data_documento as data_despesa,
+    cast(valorDocumento as double) as valor_documento, cast(valorLiquido as double) as valor_liquido,
+    cast(valorGlosa as double) as valor_glosa
 """
 
+# Money is compared as double.
+_MONEY = """cast(valorDocumento as double) as valorDocumento, cast(valorLiquido as double) as valorLiquido,
+    cast(valorGlosa as double) as valorGlosa"""
+
+
 
 def _with(*parts: str) -> str:
     return "with " + ", ".join(p.strip() for p in parts)
@@ -157,7 +163,7 @@ ORACLES: dict[str, str] = {
                try_cast(born as date) as data_nascimento, cast(null as date) as data_falecimento,
                n_name as "ufNascimento", lower(n_name) as "municipioNascimento", c_mktsegment as escolaridade
         from ranked where place = 1""",
-    "silver_expense": f"{_with(_EXPENSE)} select * from expense",
+    "silver_expense": f"{_with(_EXPENSE)} select * replace ({_MONEY}) from expense",
     "parse_lenient": f"""{_with(_DEPUTY)}
         select id, try_cast(born as date) as born,
                cast(epoch(try_cast(born as date) + interval 5 hour) as bigint)
@@ -197,11 +203,11 @@ ORACLES: dict[str, str] = {
         from expense_raw left join providers
           on nomeFornecedor is not distinct from name and cnpjCpfFornecedor is not distinct from tax_id""",
     "content_key_skip": f"""{_with(_EXPENSE)}
-        select id_deputado, id_legislatura, numDocumento, valorDocumento,
+        select id_deputado, id_legislatura, numDocumento, cast(valorDocumento as double) as valorDocumento,
                sha256(concat_ws('|', id_deputado, id_legislatura, numDocumento, valorDocumento)) as id_despesa
         from expense_raw""",
     "content_key_token": f"""{_with(_EXPENSE)}
-        select numDocumento, urlDocumento, cnpjCpfFornecedor, valorDocumento,
+        select numDocumento, urlDocumento, cnpjCpfFornecedor, cast(valorDocumento as double) as valorDocumento,
                {_token_hash("numDocumento", "urlDocumento", "cnpjCpfFornecedor", "valorDocumento")} as key
         from expense_raw""",
     "sk_dense_properties": """
@@ -227,15 +233,15 @@ ORACLES: dict[str, str] = {
                cast(l.id is not null as int) as sk_legislatura, 1 as sk_tipo_despesa,
                cast(cnpjCpfFornecedor is not null as int) as sk_fornecedor
         from expense left join legislature l on try_cast(id_legislatura as smallint) = l.id""",
-    "partitioned_round_trip": f"{_with(_EXPENSE)} select *, mes as mes1, ano as ano1 from expense",
+    "partitioned_round_trip": f"{_with(_EXPENSE)} select * replace ({_MONEY}), mes as mes1, ano as ano1 from expense",
     "append_twice": f"""{_with(_EXPENSE)}
         select ano as ano1, mes as mes1, 2 * count(*) as n,
-               cast(2 * sum(valorDocumento) as decimal(38,2)) as total, count(*) as n_distinct,
-               cast(sum(valorDocumento) as decimal(38,2)) as total_distinct
+               cast(2 * sum(valorDocumento) as double) as total, count(*) as n_distinct,
+               cast(sum(valorDocumento) as double) as total_distinct
         from expense group by all""",
     "replace_partitions": f"""{_with(_EXPENSE)}
         select ano as ano1, mes as mes1, count(*) as n, cast(sum(
-                 case when ano = 1997 and mes = 3 then 2 else 1 end * valorDocumento) as decimal(38,2)) as total
+                 case when ano = 1997 and mes = 3 then 2 else 1 end * valorDocumento) as double) as total
         from expense group by all""",
     "request_uris": """
         select c_custkey as id, concat('api/deputados/', c_custkey, '/despesas?idLegislatura=57&itens=100') as uri
@@ -276,7 +282,7 @@ ORACLES: dict[str, str] = {
                coalesce(legislaturas, '') as legislaturas
         from deputy_latest d join member_list m on d.id = m.id""",
     "bronze_expenses": f"""{_with(_EXPENSE)}
-        select id_deputado, '57' as id_legislatura, numDocumento, valorDocumento,
+        select id_deputado, '57' as id_legislatura, numDocumento, cast(valorDocumento as double) as valorDocumento,
                strftime(moment, '%Y-%m-%dT%H:%M:%S') as "dataDocumento",
                sha256(concat_ws('|', id_deputado, '57', numDocumento, valorDocumento)) as id_despesa,
                ano, mes, ano as ano1, mes as mes1

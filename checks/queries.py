@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 import lakestar.sources.chains as chains
 from checks import openers, proxies
@@ -66,9 +67,15 @@ def query(fn: Query) -> Query:
     return fn
 
 
-def _epoch(df: DataFrame, *columns: str) -> DataFrame:
-    """Timestamps as seconds, which both engines show alike in any session zone."""
-    return df.withColumns({c: F.unix_seconds(c) for c in columns})
+def _shown(df: DataFrame) -> DataFrame:
+    """Timestamps as seconds and money as double: both engines show those alike in any session."""
+    forms = {T.TimestampType: F.unix_seconds, T.DecimalType: lambda c: F.col(c).cast("double")}
+    return df.select(
+        *[
+            forms[type(f.dataType)](f.name).alias(f.name) if type(f.dataType) in forms else F.col(f.name)
+            for f in df.schema.fields
+        ]
+    )
 
 
 # ---- silver ---------------------------------------------------------------------------------
@@ -91,7 +98,7 @@ def silver_deputy(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def silver_expense(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _epoch(silver.silver_expense(proxies.expenses(spark, sf_dir)), "data_documento")
+    return _shown(silver.silver_expense(proxies.expenses(spark, sf_dir)))
 
 
 # ---- functions and projections --------------------------------------------------------------
@@ -102,12 +109,8 @@ def parse_lenient(spark: SparkSession, sf_dir: str) -> DataFrame:
     people = proxies.deputies(spark, sf_dir, versions=False)
     ending = F.element_at(F.array(*[F.lit(z) for z in ("", "Z", "+02:00")]), (F.col("id") % 3 + 1).cast("int"))
     stamp = F.concat("dataNascimento", F.lit("T05:00:00"), ending)
-    return _epoch(
-        people.select(
-            "id", parse_date("dataNascimento").alias("born"), parse_timestamp(stamp, "UTC-3").alias("stamp")
-        ),
-        "stamp",
-    )
+    born, at = parse_date("dataNascimento"), parse_timestamp(stamp, "UTC-3")
+    return _shown(people.select("id", born.alias("born"), at.alias("stamp")))
 
 
 @query
@@ -115,7 +118,7 @@ def timestamp_zone(spark: SparkSession, sf_dir: str) -> DataFrame:
     zones = {"utc": "UTC", "west": "UTC-3", "east": "+05:30"}
     read = {name: parse_timestamp("dataDocumento", zone).alias(name) for name, zone in zones.items()}
     spent = proxies.expenses(spark, sf_dir)
-    return _epoch(spent.select("numDocumento", *read.values()), *read)
+    return _shown(spent.select("numDocumento", *read.values()))
 
 
 @query
@@ -143,7 +146,7 @@ def _members(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collect_distinct(proxies.memberships(spark, sf_dir), ["id", "uri"], "idLegislatura", "legislaturas")
 
 
-def _as_text(column: str) -> DataFrame:
+def _as_text(column: str) -> Column:
     return F.array_join(F.transform(column, lambda x: x.cast("string")), ",").alias(column)
 
 
@@ -251,13 +254,13 @@ def fk_composite_salted(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def content_key_skip(spark: SparkSession, sf_dir: str) -> DataFrame:
     columns = ["id_deputado", "id_legislatura", "numDocumento", "valorDocumento"]
-    return content_key(proxies.expenses(spark, sf_dir), columns, "id_despesa").select(*columns, "id_despesa")
+    return _shown(content_key(proxies.expenses(spark, sf_dir), columns, "id_despesa").select(*columns, "id_despesa"))
 
 
 @query
 def content_key_token(spark: SparkSession, sf_dir: str) -> DataFrame:
     columns = ["numDocumento", "urlDocumento", "cnpjCpfFornecedor", "valorDocumento"]
-    return content_key(proxies.expenses(spark, sf_dir), columns, "key", "token").select(*columns, "key")
+    return _shown(content_key(proxies.expenses(spark, sf_dir), columns, "key", "token").select(*columns, "key"))
 
 
 def _properties(df: DataFrame, sk: str) -> DataFrame:
@@ -338,8 +341,7 @@ def _natural_fact(
     fact: DataFrame, deputies: DataFrame, legislatures: DataFrame, types: DataFrame, providers: DataFrame
 ) -> DataFrame:
     """The fact with every key followed back to the dimension row it points at."""
-    fact = _epoch(fact, "data_despesa")
-    fact = _back(fact, _pointed(deputies), "sk_deputado", {"deputy": "id"})
+    fact = _back(_shown(fact), _pointed(deputies), "sk_deputado", {"deputy": "id"})
     fact = _back(fact, _pointed(legislatures), "sk_legislatura", {"legislature": "id"})
     fact = _back(fact, _pointed(types), "sk_tipo_despesa", {"expense_type": "tipoDespesa"})
     names = {"provider": "nomeFornecedor", "tax_id": "cnpjCpfFornecedor"}
@@ -347,7 +349,7 @@ def _natural_fact(
 
 
 def _fact_parts(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
-    expenses = silver.silver_expense(proxies.expenses(spark, sf_dir))
+    expenses = materialize(silver.silver_expense(proxies.expenses(spark, sf_dir)), "silver")
     return expenses, _deputy_dim(spark, sf_dir), _legislature_dim(spark, sf_dir)
 
 
@@ -379,7 +381,7 @@ def fact_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     expenses, deputies, legislatures = _fact_parts(spark, sf_dir)
     fact = gold.fact_expense(expenses, deputies, legislatures, cast="lenient")
     keys = ("sk_deputado", "sk_legislatura", "sk_tipo_despesa", "sk_fornecedor")
-    return _epoch(fact, "data_despesa").withColumns({k: F.col(k).isNotNull().cast("int") for k in keys})
+    return _shown(fact).withColumns({k: F.col(k).isNotNull().cast("int") for k in keys})
 
 
 # ---- sinks ----------------------------------------------------------------------------------
@@ -387,9 +389,9 @@ def fact_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
 MONTHS = {"ano1": "ano", "mes1": "mes"}
 
 
-def _by_month(df: DataFrame, *more: DataFrame) -> DataFrame:
+def _by_month(df: DataFrame) -> DataFrame:
     return df.groupBy("ano1", "mes1").agg(
-        F.count(F.lit(1)).alias("n"), F.sum("valorDocumento").cast("decimal(38,2)").alias("total"), *more
+        F.count(F.lit(1)).alias("n"), F.sum("valorDocumento").cast("double").alias("total")
     )
 
 
@@ -398,7 +400,7 @@ def partitioned_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "round-trip")
     spent = silver.silver_expense(proxies.expenses(spark, sf_dir))
     write_table(spent, path, partition_copies=MONTHS, options={"compression": "snappy"})
-    return _epoch(spark.read.parquet(path), "data_documento")
+    return _shown(spark.read.parquet(path))
 
 
 @query
@@ -441,8 +443,8 @@ def request_uris(spark: SparkSession, sf_dir: str) -> DataFrame:
 def joined_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids in chunks of at most 100, taken apart again."""
     chunks = join_ids(proxies.memberships(spark, sf_dir), "id", per_request=100)
-    split = chunks.select(F.split("ids", ",").alias("ids"))
-    return split.select(F.explode("ids").cast("bigint").alias("id"), (F.size("ids") <= 100).cast("int").alias("fits"))
+    split = chunks.select(F.transform(F.split("ids", ","), lambda i: i.cast("bigint")).alias("ids"))
+    return split.select(F.explode("ids").alias("id"), (F.size("ids") <= 100).cast("int").alias("fits"))
 
 
 @query
@@ -585,7 +587,7 @@ def bronze_expenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     shown = ("id_deputado", "id_legislatura", "numDocumento", "valorDocumento", "dataDocumento", "id_despesa", "ano", "mes")
     stored = spark.read.parquet(path)
-    return stored.select(*shown, F.col("ano1").cast("int").alias("ano1"), F.col("mes1").cast("int").alias("mes1"))
+    return _shown(stored).select(*shown, F.col("ano1").cast("int").alias("ano1"), F.col("mes1").cast("int").alias("mes1"))
 
 
 @query

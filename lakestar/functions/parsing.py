@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# A zone written at the end of a timestamp text: Z or an offset such as -03:00, after a time of day.
-_HAS_OFFSET = r":\d{2}(\.\d+)?\s*(Z|[+-]\d{2}(:?\d{2})?)$"
+# A zone written behind a date and a time of day: Z, an offset, or a name.
+_OWN_ZONE = r"^\d{4}-.*:.*([zZ]|[+-]\d{1,2}(:?\d{2})?|[A-Za-z]+(/[A-Za-z_]+)*([+-]\d+)?)$"
+_DATE_LENGTH = len("yyyy-MM-dd")
 
 
 def _as_column(col: Column | str) -> Column:
@@ -27,16 +28,24 @@ def parse_date(col: Column | str, strict: bool = False) -> Column:
 
 
 def parse_timestamp(col: Column | str, zone: str = "UTC", strict: bool = False) -> Column:
-    """ISO text to a timestamp; text without an offset is read in ``zone``.
+    """ISO text to a timestamp; text without a zone of its own is read in ``zone``.
 
-    The wall-clock reading is written out again with the zone behind it, so the outcome does not
-    depend on the zone of the session. Text that carries an offset keeps it.
+    The wall clock is read as UTC and then moved by the zone, so the outcome does not depend on the
+    zone of the session. Text without a date gives null: cast to a timestamp it would mean today.
     """
-    text = _as_column(col)
-    wall_clock = text.try_cast("timestamp_ntz").cast("string")
-    parsed = F.when(text.rlike(_HAS_OFFSET), text.try_cast("timestamp")).otherwise(
-        F.concat(wall_clock, F.lit(f" {zone}")).try_cast("timestamp")
+    text = F.trim(_as_column(col))
+    date_only = F.length(text) <= _DATE_LENGTH
+    midnight = F.concat(text.try_cast("date").cast("string"), F.lit("T00:00:00Z"))
+    has_date = F.substring(text, 5, 1) == "-"
+
+    def as_utc(seconds: str) -> Column:
+        return F.concat(text, F.lit(seconds + "Z")).try_cast("timestamp")
+
+    wall_clock = F.when(date_only, midnight.try_cast("timestamp")).when(
+        has_date, F.coalesce(as_utc(""), as_utc(":00"))
     )
+    own_zone = F.when(text.rlike(_OWN_ZONE), text.try_cast("timestamp"))
+    parsed = F.coalesce(F.to_utc_timestamp(wall_clock, zone), own_zone)
     return _or_raise(text, parsed, "a timestamp") if strict else parsed
 
 
