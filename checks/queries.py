@@ -359,7 +359,7 @@ def fact_expense(spark: SparkSession, sf_dir: str) -> DataFrame:
     expenses, deputies, legislatures = _fact_parts(spark, sf_dir)
     types = _stored(gold.dim_expense_type(expenses))
     providers = _stored(gold.dim_provider(expenses))
-    fact = gold.fact_expense(expenses, deputies, legislatures, cast="lenient")
+    fact = gold.fact_expense(expenses, gold.fact_links(deputies, legislatures, cast="lenient"))
     return _natural_fact(fact, deputies, legislatures, types, providers)
 
 
@@ -369,9 +369,8 @@ def fact_expense_looked_up(spark: SparkSession, sf_dir: str) -> DataFrame:
     expenses, deputies, legislatures = _fact_parts(spark, sf_dir)
     types = _stored(gold.dim_expense_type(expenses, "dense"))
     providers = _stored(gold.dim_provider(expenses, "dense"))
-    fact = gold.fact_expense(
-        expenses, deputies, legislatures, types, providers, null_safe_provider=True, cast="lenient"
-    )
+    links = gold.fact_links(deputies, legislatures, types, providers, null_safe_provider=True, cast="lenient")
+    fact = gold.fact_expense(expenses, links)
     return _natural_fact(fact, deputies, legislatures, types, providers)
 
 
@@ -379,7 +378,7 @@ def fact_expense_looked_up(spark: SparkSession, sf_dir: str) -> DataFrame:
 def fact_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The fact as it is stored: measures, and which keys are there."""
     expenses, deputies, legislatures = _fact_parts(spark, sf_dir)
-    fact = gold.fact_expense(expenses, deputies, legislatures, cast="lenient")
+    fact = gold.fact_expense(expenses, gold.fact_links(deputies, legislatures, cast="lenient"))
     keys = ("sk_deputado", "sk_legislatura", "sk_tipo_despesa", "sk_fornecedor")
     return _shown(fact).withColumns({k: F.col(k).isNotNull().cast("int") for k in keys})
 

@@ -59,12 +59,14 @@ def lookup_join(
     max_broadcast_bytes: int = MAX_BROADCAST_BYTES,
     rows_per_task: int = ROWS_PER_TASK,
     profile: LookupProfile | Stored | None = None,
+    hot_from: DataFrame | None = None,
 ) -> DataFrame:
     """``left`` with the columns of ``right`` (column names must differ), ``how`` left or inner.
 
     ``on`` maps left key -> right key. ``right`` is broadcast only if a measurement of the very rows
     stays within ``max_broadcast_bytes`` (``profile``: one made already). Beyond it both sides are shuffled, and the most frequent
     left keys (null included) are spread over salts, with their lookup rows repeated per salt.
+    ``hot_from`` is a cheaper frame to count the left keys in, such as ``left`` before earlier joins.
     """
     if how not in ("left", "inner"):
         raise ValueError(f"how must be 'left' or 'inner', not {how!r}")
@@ -72,7 +74,7 @@ def lookup_join(
     if profile.size_bytes <= max_broadcast_bytes:
         joined = left.alias("l").join(F.broadcast(right.alias("r")), _matches(on, null_safe), how)
         return joined.select("l.*", "r.*")
-    return salted_join(left, right, on, how, null_safe, rows_per_task)
+    return salted_join(left, right, on, how, null_safe, rows_per_task, hot_from)
 
 
 def hot_keys(df: DataFrame, keys: list[str], rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
@@ -90,9 +92,10 @@ def salted_join(
     how: str = "left",
     null_safe: bool = False,
     rows_per_task: int = ROWS_PER_TASK,
+    hot_from: DataFrame | None = None,
 ) -> DataFrame:
     """The shuffled form of :func:`lookup_join`, for a right side that is known to be large."""
-    hot = F.broadcast(hot_keys(left, list(on), rows_per_task))
+    hot = F.broadcast(hot_keys(left if hot_from is None else hot_from, list(on), rows_per_task))
 
     def marked(df: DataFrame, keys: list[str]) -> DataFrame:
         condition = F.lit(True)

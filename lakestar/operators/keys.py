@@ -79,7 +79,9 @@ def _dense(df: DataFrame, out: str, natural: list[str], buckets: int) -> DataFra
     )
     inside = Window.partitionBy("_bucket").orderBy(*natural)
     ranked = bucketed.withColumn("_rank", F.row_number().over(inside))
-    return ranked.join(F.broadcast(offsets), "_bucket").select(
+    # Every bucket has an offset. A left join keeps both branches alike down to the shuffle below them
+    # (an inner one would filter nulls in one of them), so that shuffle runs once for both.
+    return ranked.join(F.broadcast(offsets), "_bucket", "left").select(
         *df.columns, (F.col("_offset") + F.col("_rank")).alias(out)
     )
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,6 +11,7 @@ from lakestar.operators.conform import Spec
 from lakestar.operators.keys import assert_unique_key, surrogate_key
 from lakestar.operators.star import (
     Computed,
+    ForeignKey,
     Lookup,
     build_fact,
     dimension,
@@ -95,23 +96,20 @@ def linked_deputies(
     return link_dimension(deputies, links, used)
 
 
-def fact_expense(
-    expenses: DataFrame,
+def fact_links(
     deputies: DataFrame,
     legislatures: DataFrame,
     expense_types: DataFrame | None = None,
     providers: DataFrame | None = None,
     null_safe_provider: bool = False,
     cast: str = "strict",
-    columns: Spec = FACT_COLUMNS,
-) -> DataFrame:
-    """The expense fact: as many rows as distinct expenses.
+) -> list[ForeignKey]:
+    """The foreign keys of the expense fact.
 
-    Without ``expense_types`` and ``providers``, whose rows come from these same expenses, their
-    hash keys are computed in place and the fact does not move. Given as dimensions (of any key
-    method) they are looked up.
+    Without ``expense_types`` and ``providers``, whose rows come from the very expenses, their hash
+    keys are computed in place and the fact does not move. Given as dimensions (of any key method)
+    they are looked up.
     """
-    keyed = surrogate_key(expenses.select(*EXPENSE_COLUMNS), "sk_despesa", "hash")
     type_link = (
         Computed(EXPENSE_TYPE_KEY, "sk_tipo_despesa")
         if expense_types is None
@@ -122,12 +120,17 @@ def fact_expense(
         if providers is None
         else Lookup(providers, {c: c for c in PROVIDER_KEY}, "sk_fornecedor", null_safe=null_safe_provider)
     )
-    links = [
+    return [
         type_link,
         provider_link,
         Lookup(deputies, {"id_deputado": "id"}, "sk_deputado"),
         Lookup(legislatures, {"id_legislatura": "id"}, "sk_legislatura", cast=cast),
     ]
+
+
+def fact_expense(expenses: DataFrame, links: Sequence[ForeignKey], columns: Spec = FACT_COLUMNS) -> DataFrame:
+    """The expense fact: as many rows as distinct expenses."""
+    keyed = surrogate_key(expenses.select(*EXPENSE_COLUMNS), "sk_despesa", "hash")
     return build_fact(keyed, links, columns)
 
 
@@ -172,6 +175,13 @@ def publish_star(
         ("provider", dim_provider(expenses), "sk_fornecedor"),
     ):
         assert_unique_key(store(name, df), [sk])
-    fact = fact_expense(expenses, deputies, legislatures, cast=cast)
-    store("fact", fact, partition_copies={"ano_despesa": "ano", "mes_despesa": "mes"})
+    # Silver lies by month already. As long as no link moves the fact it is read, keyed and written in
+    # one pass without a shuffle; else its rows are brought together by month again.
+    links = fact_links(deputies, legislatures, cast=cast)
+    store(
+        "fact",
+        fact_expense(expenses, links),
+        partition_copies={"ano_despesa": "ano", "mes_despesa": "mes"},
+        rebalance=any(link.moves_fact for link in links),
+    )
     return published

@@ -4,7 +4,6 @@ from lakestar.sources.pages import (
     follow_pages,
     index_pages,
     judge_pages,
-    next_link,
     typed_records,
     unwrap_envelope,
 )
@@ -20,7 +19,6 @@ __all__ = [
     "index_pages",
     "join_ids",
     "judge_pages",
-    "next_link",
     "read_entity",
     "request_uri",
     "typed_records",

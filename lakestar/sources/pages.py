@@ -53,19 +53,15 @@ def _struct_type(schema: str) -> str:
     return f"STRUCT<{schema.strip()}>"
 
 
-def next_link(body: Column | str, links_field: str = LINKS_FIELD) -> Column:
-    """Address of the first link whose relation is ``next``, or null."""
-    links = F.from_json(body, f"{links_field} ARRAY<STRUCT<rel: STRING, href: STRING>>")[links_field]
-    return F.get(F.filter(links, lambda link: link["rel"] == NEXT_RELATION), 0)["href"]
+def read_links(body: Column | str, links_field: str = LINKS_FIELD) -> Column:
+    """One reading of a body: struct of its links and, under ``_broken``, the text if it is no page."""
+    schema = f"{links_field} ARRAY<STRUCT<rel: STRING, href: STRING>>, {_BROKEN} STRING"
+    return F.from_json(body, schema, {"columnNameOfCorruptRecord": _BROKEN})
 
 
-def is_readable(body: Column | str) -> Column:
-    """Whether the body is a JSON object at all."""
-    parsed = F.from_json(
-        body, f"{LINKS_FIELD} STRING, {_BROKEN} STRING", {"columnNameOfCorruptRecord": _BROKEN}
-    )
-    text = F.col(body) if isinstance(body, str) else body
-    return text.isNotNull() & (F.length(F.trim(text)) > 0) & parsed[_BROKEN].isNull()
+def next_link(read: Column, links_field: str = LINKS_FIELD) -> Column:
+    """Address of the first link whose relation is ``next``, or null; of :func:`read_links`."""
+    return F.get(F.filter(read[links_field], lambda link: link["rel"] == NEXT_RELATION), 0)["href"]
 
 
 def unwrap_envelope(
@@ -105,12 +101,13 @@ def unwrap_envelope(
     return read.select(*carry, F.explode(items).alias("_item")).select(*carry, "_item.*")
 
 
-def page_verdict(status: Column, body: Column) -> Column:
+def page_verdict(status: Column, body: Column, read: Column) -> Column:
     """``ok``, ``end`` (not found: a silent end of the chain), ``status`` or ``unreadable``."""
+    readable = (F.length(F.trim(body)) > 0) & read[_BROKEN].isNull()
     return (
         F.when(status == STATUS_NOT_FOUND, "end")
         .when(status.isNull() | (status >= FIRST_ERROR_STATUS), "status")
-        .when(is_readable(body), "ok")
+        .when(readable, "ok")
         .otherwise("unreadable")
     )
 
@@ -135,8 +132,8 @@ def judge_pages(landed: DataFrame, on_error: str = "quarantine") -> PageWalk:
     them without a trace, which silently shortens the entity.
     """
     _check_policy(on_error)
-    verdict = page_verdict(F.col("status"), F.col("body"))
-    judged = landed.withColumn("reason", verdict)
+    read = landed.withColumn("_read", read_links("body"))
+    judged = read.withColumn("reason", page_verdict(F.col("status"), F.col("body"), F.col("_read"))).drop("_read")
     rejected = judged.filter(F.col("reason").isin("status", "unreadable")).drop("body")
     return _apply_policy(judged.filter("reason = 'ok'").drop("reason"), rejected, on_error)
 
@@ -152,8 +149,10 @@ class PageIndex:
 def index_pages(pages: DataFrame) -> PageIndex:
     """Reads verdict and next link of every page once, for any number of walks over them."""
     assert_unique_key(pages, ["uri"])
-    verdict = page_verdict(F.col("status"), F.col("body")).alias("reason")
-    return PageIndex(pages, store(pages.select("uri", "status", verdict, next_link("body").alias("target")), "index"))
+    read = pages.select("uri", "status", "body", read_links("body").alias("_read"))
+    verdict = page_verdict(F.col("status"), F.col("body"), F.col("_read"))
+    found = read.select("uri", "status", verdict.alias("reason"), next_link(F.col("_read")).alias("target"))
+    return PageIndex(pages, store(found, "index"))
 
 
 def follow_pages(
