@@ -1,0 +1,98 @@
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from conftest import plan, rows
+from lakestar.operators import assert_unique_key, collect_distinct, content_key, dedupe, surrogate_key
+
+
+def test_whole_rows_nulls_equal(spark):
+    df = spark.createDataFrame([(1, None), (1, None), (1, "a")], "k int, v string")
+    assert rows(dedupe(df)) == [(1, "a"), (1, None)]
+
+
+@pytest.mark.parametrize("latest", [False, True])
+def test_one_row_per_key_against_brute_force(spark, latest):
+    rng = random.Random(1)
+    data = [(rng.choice([1, 2, 3, None]), rng.choice([None, 1, 2]), rng.choice(["a", "b", None])) for _ in range(300)]
+    df = spark.createDataFrame(data, "k int, o int, v string").repartition(5)
+    low = lambda v: (v is not None, v if v is not None else 0)
+    text = lambda v: (v is not None, v or "")
+    pick = max if latest else min
+    expected = []
+    for key in {r[0] for r in data}:
+        expected.append(pick((r for r in data if r[0] == key), key=lambda r: (low(r[1]), text(r[2]))))
+    assert rows(dedupe(df, ["k"], ["o"], latest)) == sorted(expected, key=repr)
+
+
+def test_dedupe_aggregates_before_the_shuffle(spark):
+    df = spark.range(100).selectExpr("id % 3 as k", "id as v").repartition(4)
+    assert plan(dedupe(df, ["k"])).count("Aggregate") >= 2
+    assert "Window" not in plan(dedupe(df, ["k"]))
+
+
+def test_collect_distinct(spark):
+    df = spark.createDataFrame([(1, 3), (1, 1), (1, 3), (1, None), (2, None)], "k int, v int")
+    assert rows(collect_distinct(df, ["k"], "v", "vs")) == [(1, [1, 3]), (2, [])]
+
+
+def test_dense_is_gapless_and_independent_of_partitioning(spark, with_conf):
+    names = [(None if i % 50 == 0 else f"n{i}", i // 50 if i % 50 == 0 else i % 7) for i in range(500)]
+    df = spark.createDataFrame(names, "a string, b int")
+    first = rows(surrogate_key(df.repartition(3), "sk", "dense", ["a", "b"]))
+    with_conf(spark__sql__shuffle__partitions="3")
+    second = rows(surrogate_key(df.repartition(7), "sk", "dense", ["b", "a"]).select("a", "b", "sk"))
+    third = rows(surrogate_key(df.repartition(11), "sk", "dense", ["a", "b"]))
+    assert first == third
+    assert sorted(r[2] for r in first) == sorted(r[2] for r in second) == list(range(1, 501))
+
+
+def test_dense_brings_together_only_bucket_sizes(spark):
+    df = spark.range(1000).selectExpr("id % 100 as k").distinct()
+    keyed = surrogate_key(df, "sk", "dense", ["k"])
+    text = plan(keyed)
+    assert text.count("SinglePartition") == 1
+    single = text.index("SinglePartition")
+    assert "count(1)" in text[single : single + 200]
+    keyed.collect()
+    assert "ReusedExchange" in plan(keyed) or "reuse" in plan(keyed).lower()
+
+
+def test_hash_keys(spark, with_conf):
+    df = spark.createDataFrame([("a", None), (None, "a"), ("a", "a")], "x string, y string")
+    for method in ("hash", "hash64"):
+        assert surrogate_key(df, "sk", method).select("sk").distinct().count() == 3
+    assert rows(surrogate_key(df, "sk", "hash64", seed=1)) != rows(surrogate_key(df, "sk", "hash64"))
+    at = spark.sql("select timestamp'2024-01-01 00:00:00Z' as t")
+    here = rows(surrogate_key(at, "sk", "hash").select("sk"))
+    with_conf(spark__sql__session__timeZone="Asia/Kolkata")
+    assert rows(surrogate_key(at, "sk", "hash").select("sk")) == here
+
+
+@pytest.mark.parametrize("method", ["monotonic", "uuid"])
+def test_unstable_keys_are_unique(spark, method):
+    df = surrogate_key(spark.range(100).repartition(4), "sk", method)
+    assert df.select("sk").distinct().count() == 100
+    if method == "monotonic":
+        assert df.agg(F.min("sk")).collect()[0][0] == 1
+
+
+def test_unknown_method(spark):
+    with pytest.raises(ValueError):
+        surrogate_key(spark.range(1), "sk", "other")
+
+
+def test_assert_unique_key(spark):
+    df = spark.createDataFrame([(1, "a"), (1, "b")], "k int, v string")
+    assert assert_unique_key(df, ["k", "v"]) is df
+    with pytest.raises(ValueError, match="not a key"):
+        assert_unique_key(df, ["k"])
+
+
+def test_content_key_by_hand(spark):
+    import hashlib
+
+    df = spark.sql("select 7L as id, cast(1.5 as decimal(18,2)) as amount, cast(null as string) as doc")
+    key = content_key(df, ["id", "doc", "amount"], "key").collect()[0]["key"]
+    assert key == hashlib.sha256(b"7|1.50").hexdigest()
