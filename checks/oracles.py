@@ -223,16 +223,30 @@ ORACLES: dict[str, str] = {
                 partition by substring(nomeFornecedor, 1, 17) order by cnpjCpfFornecedor nulls first) as place
             from expense_raw)
         select name as nomeFornecedor, tax_id as cnpjCpfFornecedor from ranked where place = 1""",
+    "dimensions": f"""{_with(_LEGISLATURE, _PARTY)}, sizes as (
+            select 'sk_legislatura' as key, count(*) as n from legislature
+            union all select 'sk_partido', count(*) from party
+            union all select 'sk_deputado', count(*) from customer)
+        select key, n, n as keys, cast(1 as bigint) as lowest, n as highest from sizes""",
     "deputy_links": f"""{_with(_LEGISLATURE, _PARTY, _DEPUTY)}
         select d.id, l.id as legislature, p.sigla as party
         from deputy_latest d left join legislature l on last_legislature = l.id left join party p on party = p.sigla""",
     "fact_expense": _fact(_BOTH_KNOWN, "cnpjCpfFornecedor"),
     "fact_expense_looked_up": _fact("nomeFornecedor", "cnpjCpfFornecedor"),
+    "fact_legacy": f"""{_with(_LEGISLATURE, _EXPENSE)}, named as (
+            select nomeFornecedor as name, min(cnpjCpfFornecedor) as tax_id, count(*) - count(cnpjCpfFornecedor) as unknown
+            from expense group by nomeFornecedor)
+        select {_MEASURES.format(key=_FACT_KEY)}, id_deputado as deputy, l.id as legislature,
+               tipoDespesa as expense_type, name as provider, case when unknown = 0 then tax_id end as tax_id
+        from expense join legislature l on try_cast(id_legislatura as smallint) = l.id
+        left join named on nomeFornecedor = name""",
     "fact_keys": f"""{_with(_LEGISLATURE, _EXPENSE)}
         select {_MEASURES.format(key=_FACT_KEY)}, 1 as sk_deputado,
                cast(l.id is not null as int) as sk_legislatura, 1 as sk_tipo_despesa,
                cast(cnpjCpfFornecedor is not null as int) as sk_fornecedor
         from expense left join legislature l on try_cast(id_legislatura as smallint) = l.id""",
+    "overwrite_table": f"""{_with(_DEPUTY)}
+        select id, upper(c_name) as nome_civil, try_cast(born as date) as data_nascimento from deputy_latest""",
     "partitioned_round_trip": f"{_with(_EXPENSE)} select * replace ({_MONEY}), mes as mes1, ano as ano1 from expense",
     "append_twice": f"""{_with(_EXPENSE)}
         select ano as ano1, mes as mes1, 2 * count(*) as n,

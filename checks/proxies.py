@@ -10,6 +10,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lakestar.operators import lookup_join
 from lakestar.plans.ingest import list_starts
 from lakestar.sources.pages import DATA_FIELD, LINKS_FIELD, NEXT_RELATION
 
@@ -176,9 +177,10 @@ def _listed(items: DataFrame, page_size: int) -> DataFrame:
     """Landed list pages from ``first_uri, item``: about ``page_size`` items each, linked by ``next``."""
     sizes = items.groupBy("first_uri").agg(F.ceil(F.count(F.lit(1)) / page_size).cast("int").alias("n_pages"))
     slot = F.pmod(F.xxhash64(F.to_json("item")), "n_pages").cast("int").alias("page")
+    # All references of a list share one address: a lookup that is broadcast, or salted.
+    sized = lookup_join(items, sizes.withColumnRenamed("first_uri", "_uri"), {"first_uri": "_uri"}, "inner")
     grouped = (
-        items.join(sizes, "first_uri")
-        .select("first_uri", slot, "item")
+        sized.select("first_uri", slot, "item")
         .groupBy("first_uri", "page")
         .agg(F.collect_list("item").alias(DATA_FIELD))
     )

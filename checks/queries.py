@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -18,6 +19,7 @@ from lakestar.operators import (
     content_key,
     copy_columns,
     dedupe,
+    dimension_from_fact,
     drop_columns,
     filter_equal,
     filter_gt,
@@ -38,7 +40,7 @@ from lakestar.plans.ingest import (
 )
 from lakestar.plans.pipeline import Config, run_all
 from lakestar.session import materialize, scratch_path
-from lakestar.sinks import write_table
+from lakestar.sinks import persisted, write_table
 from lakestar.sources import (
     Retry,
     add_constants,
@@ -323,10 +325,22 @@ def dim_provider_by_name(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = proxies.expenses(spark, sf_dir).select(
         F.substring("nomeFornecedor", 1, 17).alias("nomeFornecedor"), "cnpjCpfFornecedor"
     )
-    dim = gold.dimension_from_fact(rows, ["nomeFornecedor", "cnpjCpfFornecedor"], "sk", "dense", ["nomeFornecedor"])
+    dim = dimension_from_fact(rows, ["nomeFornecedor", "cnpjCpfFornecedor"], "sk", "dense", ["nomeFornecedor"])
     return dim.select("nomeFornecedor", "cnpjCpfFornecedor")
 
 
+@query
+def dimensions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows and keys of the three dimensions with tables of their own."""
+    dims = {
+        "sk_legislatura": gold.dim_legislature(silver.silver_legislature(proxies.legislatures(spark, sf_dir))),
+        "sk_partido": gold.dim_party(silver.silver_party(proxies.parties(spark, sf_dir))),
+        "sk_deputado": gold.dim_deputy(silver.silver_deputy(proxies.deputies(spark, sf_dir))),
+    }
+    found = [_properties(dim, sk).select(F.lit(sk).alias("key"), "*") for sk, dim in dims.items()]
+    return reduce(DataFrame.unionByName, found)
+
+
 @query
 def deputy_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     legislatures, parties = _legislature_dim(spark, sf_dir), _party_dim(spark, sf_dir)
@@ -374,6 +388,26 @@ def fact_expense_looked_up(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _natural_fact(fact, deputies, legislatures, types, providers)
 
 
+@query
+def fact_legacy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Random keys (stored before use), providers by name alone, unknown legislatures dropped."""
+    expenses = materialize(silver.silver_expense(proxies.expenses(spark, sf_dir)), "silver")
+    people = silver.silver_deputy(proxies.deputies(spark, sf_dir))
+    terms = silver.silver_legislature(proxies.legislatures(spark, sf_dir))
+    deputies = _stored(surrogate_key(people.select("id"), "sk_deputado", "uuid"))
+    legislatures = _stored(surrogate_key(terms.select("id"), "sk_legislatura", "uuid"))
+    types = _stored(gold.dim_expense_type(expenses, "uuid"))
+    by_name = dimension_from_fact(expenses, gold.PROVIDER_KEY, "sk_fornecedor", "uuid", ["nomeFornecedor"])
+    providers = _stored(by_name)
+    links = [
+        Lookup(types, {"tipoDespesa": "tipoDespesa"}, "sk_tipo_despesa"),
+        Lookup(providers, {"nomeFornecedor": "nomeFornecedor"}, "sk_fornecedor"),
+        Lookup(deputies, {"id_deputado": "id"}, "sk_deputado"),
+        Lookup(legislatures, {"id_legislatura": "id"}, "sk_legislatura", how="inner", cast="lenient"),
+    ]
+    return _natural_fact(gold.fact_expense(expenses, links), deputies, legislatures, types, providers)
+
+
 @query
 def fact_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The fact as it is stored: measures, and which keys are there."""
@@ -394,6 +428,16 @@ def _by_month(df: DataFrame) -> DataFrame:
     )
 
 
+@query
+def overwrite_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The second write is what is read; a kept frame is computed once and released."""
+    root = scratch_path(spark, "overwrite")
+    with persisted(silver.silver_deputy(proxies.deputies(spark, sf_dir))) as (people,):
+        write_table(people.select("id"), f"{root}/deputies_data")
+        write_table(people, f"{root}/deputies_data")
+    return read_entity(spark, root, "deputies_data", ["id", "nome_civil", "data_nascimento"])
+
+
 @query
 def partitioned_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "round-trip")
@@ -603,10 +647,7 @@ def star_publish(spark: SparkSession, sf_dir: str) -> DataFrame:
     counts = [
         star.read(spark, name).agg(F.lit(name).alias("name"), F.count(F.lit(1)).alias("n")) for name in star.paths
     ]
-    out = counts[0]
-    for more in counts[1:]:
-        out = out.unionByName(more)
-    return out
+    return reduce(DataFrame.unionByName, counts)
 
 
 @query

@@ -7,7 +7,7 @@ Landed pages are a table ``uri, status, body``: one answer per address, the body
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -24,6 +24,7 @@ STATUS_NOT_FOUND = 404
 FIRST_ERROR_STATUS = 400
 
 _BROKEN = "_broken"
+STATUS_BYTES = 16
 
 
 @dataclass(frozen=True)
@@ -148,11 +149,12 @@ class PageIndex:
 
 def index_pages(pages: DataFrame) -> PageIndex:
     """Reads verdict and next link of every page once, for any number of walks over them."""
-    assert_unique_key(pages, ["uri"])
     read = pages.select("uri", "status", "body", read_links("body").alias("_read"))
     verdict = page_verdict(F.col("status"), F.col("body"), F.col("_read"))
     found = read.select("uri", "status", verdict.alias("reason"), next_link(F.col("_read")).alias("target"))
-    return PageIndex(pages, store(found, "index"))
+    index = PageIndex(pages, store(found, "index"))
+    assert_unique_key(index.found.df, ["uri"])
+    return index
 
 
 def follow_pages(
@@ -212,12 +214,15 @@ def follow_pages(
     verdicts = index.found.df.select(F.col("uri").alias("_uri"), "status", "reason")
     judged = look_up(reach.df, verdicts, "uri", "_uri", "left", index.found)
     shown = [*identity, "page_no", "uri", "status"]
-    visited = store(judged.select(*shown, F.coalesce("reason", F.lit("missing")).alias("reason")), "visited")
-    rejected = visited.df.filter(F.col("reason").isin("status", "unreadable", "missing"))
-    wanted = visited.df.filter("reason = 'ok'").select(*shown)
+    visited = judged.select(*shown, F.coalesce("reason", F.lit("missing")).alias("reason"))
+    if index.found.size_bytes > max_broadcast_bytes:
+        visited = store(visited, "visited").df
+    rejected = visited.filter(F.col("reason").isin("status", "unreadable", "missing"))
+    wanted = visited.filter("reason = 'ok'").select(*shown)
     bodies = index.pages.select(F.col("uri").alias("_uri"), "body")
-    if visited.size_bytes <= max_broadcast_bytes:
-        usable = look_up(bodies, wanted, "_uri", "uri", "inner", visited)
+    wanted_size = replace(reach, size_bytes=reach.size_bytes + reach.rows * STATUS_BYTES)
+    if wanted_size.size_bytes <= max_broadcast_bytes:
+        usable = look_up(bodies, wanted, "_uri", "uri", "inner", wanted_size)
     else:
         usable = salted_join(wanted, bodies, {"uri": "_uri"}, "inner")
     return _apply_policy(usable.select(*shown, "body"), rejected, on_error)
