@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from lakestar.operators import lookup_join
 from lakestar.plans.ingest import list_starts
+from lakestar.session import store
 from lakestar.sources.pages import DATA_FIELD, LINKS_FIELD, NEXT_RELATION
 
 
@@ -175,10 +176,13 @@ def conversation_starts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _listed(items: DataFrame, page_size: int) -> DataFrame:
     """Landed list pages from ``first_uri, item``: about ``page_size`` items each, linked by ``next``."""
-    sizes = items.groupBy("first_uri").agg(F.ceil(F.count(F.lit(1)) / page_size).cast("int").alias("n_pages"))
+    counted = items.groupBy("first_uri").agg(F.ceil(F.count(F.lit(1)) / page_size).cast("int").alias("n_pages"))
+    measured = store(counted, "sizes")
+    sizes = measured.df
     slot = F.pmod(F.xxhash64(F.to_json("item")), "n_pages").cast("int").alias("page")
     # All references of a list share one address: a lookup that is broadcast, or salted.
-    sized = lookup_join(items, sizes.withColumnRenamed("first_uri", "_uri"), {"first_uri": "_uri"}, "inner")
+    lookup = sizes.withColumnRenamed("first_uri", "_uri")
+    sized = lookup_join(items, lookup, {"first_uri": "_uri"}, "inner", profile=measured)
     grouped = (
         sized.select("first_uri", slot, "item")
         .groupBy("first_uri", "page")
