@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakestar.llm.common import parts, scratch_path
+from lakestar.llm.common import parts, scratch_path, task
 
 # The control strings, and how a turn of each role begins and ends. A blank or a line
 # end stands before every closing mark, so no text's last character touches one.
@@ -147,7 +147,7 @@ def write_chats(turns: DataFrame, out: str) -> None:
     sorted_turns = own.repartition(parts(turns.sparkSession), "conv_id").sortWithinPartitions(*order)
     loss = "array<struct<begin:bigint,end:bigint>>"
     sorted_turns.select("conv_id", "role", "text").mapInArrow(
-        _write, f"conv_id long, part long, formatted string, loss {loss}"
+        task(_write), f"conv_id long, part long, formatted string, loss {loss}"
     ).write.parquet(out)
 
 
@@ -193,7 +193,7 @@ def read_chats(spark: SparkSession, out: str) -> DataFrame:
     """``conv_id, n_turns, turns_sha256, loss_chars, loss_sha256, formatted_chars`` by parsing ``out``."""
     stored = spark.read.parquet(out).repartition(parts(spark), "conv_id").sortWithinPartitions("conv_id", "part")
     kinds = "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long"
-    return stored.select("conv_id", "formatted", "loss").mapInArrow(_read, kinds)
+    return stored.select("conv_id", "formatted", "loss").mapInArrow(task(_read), kinds)
 
 
 def chat_round_trip(turns: DataFrame) -> DataFrame:

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from pathlib import Path
+
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -39,3 +43,24 @@ def written(df: DataFrame, label: str) -> DataFrame:
 def parts(spark: SparkSession, rows: int = 0, per_part: int = 1_000_000) -> int:
     """Hash buckets for a step over so many rows: the session's count at least."""
     return max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-rows // per_part))
+
+
+def task(fn: Callable, groups: int = 1) -> Callable:
+    """``fn`` for workers that may run without this repository on their path; ``groups`` are its arguments."""
+    packed, root = cloudpickle.dumps(fn), str(Path(__file__).resolve().parent.parent.parent)
+
+    def load() -> Callable:
+        import pickle
+        import sys
+
+        if root not in sys.path:
+            sys.path.append(root)
+        return pickle.loads(packed)
+
+    def one(first):
+        return load()(first)
+
+    def two(first, second):
+        return load()(first, second)
+
+    return two if groups == 2 else one

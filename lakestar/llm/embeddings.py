@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakestar.llm.common import Written, parts
+from lakestar.llm.common import Written, parts, task
 from lakestar.llm.components import components
 from lakestar.llm.shingles import U, mix
 
@@ -175,7 +175,7 @@ def embedding_duplicates(vectors: DataFrame, least: float = SIMILAR, seed: int =
     most = own.where("label is not null").groupBy("label").count().agg(F.max("count")).first()[0] or 0
     bits, tables = tables_for(most, least)
     hashed = Written(
-        own.mapInArrow(_hash(bits, tables, seed), "vec_id long, digest binary, unit binary, buckets array<bigint>"), "hashed"
+        own.mapInArrow(task(_hash(bits, tables, seed)), "vec_id long, digest binary, unit binary, buckets array<bigint>"), "hashed"
     )
     first = F.min(F.struct("vec_id", "unit", "buckets")).alias("f")
     nodes = Written(
@@ -197,7 +197,7 @@ def embedding_duplicates(vectors: DataFrame, least: float = SIMILAR, seed: int =
     grouped = rows.repartition(n, "bucket", "low", "high").sortWithinPartitions("bucket", "low", "high")
     linked = Written(
         grouped.select("x", "copies", "unit", "buckets", "bucket", "block", "low", "high").mapInArrow(
-            _link(least), "x long, links long, root long"
+            task(_link(least)), "x long, links long, root long"
         ),
         "linked",
     )

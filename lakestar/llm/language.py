@@ -12,6 +12,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lakestar.llm.common import task
 from lakestar.llm.shingles import U, mix
 
 #: Labelled documents per language that the model is fitted on, about: those of lowest hash.
@@ -223,7 +224,7 @@ def fit_languages(labelled: DataFrame, sample: int = SAMPLE) -> Model:
     if names:
         share = F.create_map(*[F.lit(x) for r in known for x in (r["lang"], min(1.0, sample / r["count"]))])
         drawn = F.pmod(F.xxhash64(F.lit(3), "text"), F.lit(1_000_000)) < share[F.col("lang")] * 1_000_000
-        counts = rows.where(drawn).mapInArrow(_count(names), "kind int, slot int, lang int, n double")
+        counts = rows.where(drawn).mapInArrow(task(_count(names)), "kind int, slot int, lang int, n double")
         for r in counts.groupBy("kind", "slot", "lang").agg(F.sum("n").alias("n")).toLocalIterator():
             tables[r["kind"]][r["slot"], r["lang"]] = r["n"]
     return Model.fit(names, *tables)
@@ -294,4 +295,4 @@ def identify_languages(docs: DataFrame, model: Model, carry: Sequence[str] = ("d
     own = docs.select(*[F.col(c).alias(f"own_{c}") for c in carry], F.coalesce("text", F.lit("")).alias("read"))
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in own.schema.fields if f.name != "read")
     spans = "spans array<struct<begin:bigint,end:bigint,lang:string>>"
-    return own.mapInArrow(_label(model), ", ".join(x for x in (kinds, "lang_pred string", "score double", spans) if x))
+    return own.mapInArrow(task(_label(model)), ", ".join(x for x in (kinds, "lang_pred string", "score double", spans) if x))

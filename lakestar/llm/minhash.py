@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakestar.llm.common import Written
+from lakestar.llm.common import Written, task
 from lakestar.llm.components import components
 from lakestar.llm.shingles import U, mix, shingles, word_hashes
 
@@ -154,7 +154,7 @@ def _verify(pairs: DataFrame, texts: DataFrame, counted: bool, least: float) ->
     both = pairs.join(texts.select(F.col("id").alias("x"), F.col("text").alias("s")), "x").join(
         texts.select(F.col("id").alias("y"), F.col("text").alias("t")), "y"
     )
-    return Written(both.select("x", "y", "s", "t").mapInArrow(_judge(counted, least), "x long, y long"), "similar")
+    return Written(both.select("x", "y", "s", "t").mapInArrow(task(_judge(counted, least)), "x long, y long"), "similar")
 
 
 def near_duplicates(docs: DataFrame, least: float = SIMILAR, counted: bool = False) -> DataFrame:
@@ -177,7 +177,7 @@ def near_duplicates(docs: DataFrame, least: float = SIMILAR, counted: bool = Fal
     Similarities are computed from whole texts.
     """
     own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    signed = Written(own.mapInArrow(_sign(counted), "doc_id long, key binary, size double, bands array<bigint>"), "signed")
+    signed = Written(own.mapInArrow(task(_sign(counted)), "doc_id long, key binary, size double, bands array<bigint>"), "signed")
     node = F.min(F.struct("doc_id", "size", "bands")).alias("n")
     nodes = Written(
         signed.df.where("bands is not null and doc_id is not null")

@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lakestar.llm.common import Written, parts
+from lakestar.llm.common import Written, parts, task
 from lakestar.llm.tokens import encoder
 
 LENGTH = 1024
@@ -174,7 +174,7 @@ def pack(docs: DataFrame, path: str, end: int = 0, length: int = LENGTH, with_id
         F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"), F.xxhash64("text").alias("mark")
     )
     kinds = "doc_id long, mark long, doc_tokens long, sums array<bigint>, ids binary"
-    coded = Written(own.mapInArrow(_tokens(path, end, length, with_ids), kinds), "coded")
+    coded = Written(own.mapInArrow(task(_tokens(path, end, length, with_ids)), kinds), "coded")
     rest = F.col("doc_tokens") % length
     sized = coded.df.withColumns(
         {
@@ -205,7 +205,7 @@ def pack(docs: DataFrame, path: str, end: int = 0, length: int = LENGTH, with_id
     )
     at = ["doc_id", "doc_tokens", "sums", "ids", "full", "full0", "size"]
     placed = ranked.select(*at, F.col("rank").cast("long").alias("rank")).mapInArrow(
-        _place(runs, at),
+        task(_place(runs, at)),
         "doc_id long, doc_tokens long, sums array<bigint>, ids binary, full long, full0 long, size int, sequence long, slot long",
     )
     placed = Written(placed, "placed").df

@@ -13,6 +13,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lakestar.llm.common import task
+
 # The kinds of secrets, in their order.
 KINDS = ("assign", "access", "hex")
 ASSIGN = re.compile(r"(?ai:(password|passwd|secret|token|api_?key))[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)")
@@ -191,5 +193,5 @@ def scan_secrets(docs: DataFrame) -> DataFrame:
     """
     own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     return own.mapInArrow(
-        _scan, "doc_id long, n_assign long, n_access long, n_hex long, base_sha256 string, spans string, unread long"
+        task(_scan), "doc_id long, n_assign long, n_access long, n_hex long, base_sha256 string, spans string, unread long"
     )

@@ -12,7 +12,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from lakestar.llm.common import parts, scratch_path
+from lakestar.llm.common import parts, scratch_path, task
 from lakestar.llm.tokens import encoder
 
 # Fixed values of the file: head is magic, tokens, documents, planes; every part is its length and zstd bytes.
@@ -200,7 +200,7 @@ def write_tokens(docs: DataFrame, path: str, out: str, end: int = 2, shard: int
     n = parts(docs.sparkSession)
     ranged = own.repartitionByRange(n, "last", "doc_id", "mark").sortWithinPartitions("last", "doc_id", "mark")
     ranged = ranged.select("doc_id", "text", F.spark_partition_id().alias("part"))
-    made = ranged.mapInArrow(_write(path, end, shard), "part int, shard long, tokens long, docs long, file binary")
+    made = ranged.mapInArrow(task(_write(path, end, shard)), "part int, shard long, tokens long, docs long, file binary")
     made.write.option("compression", "none").parquet(out)
 
 
@@ -233,7 +233,7 @@ def read_tokens(spark: SparkSession, out: str) -> DataFrame:
     bases = counts.withColumn("before", F.coalesce(F.sum("tokens").over(within), F.lit(0))).join(by_part, "part")
     bases = bases.select("part", "shard", (F.col("base") + F.col("before")).alias("base"))
     kinds = "part int, shard long, doc_id long, inside long, n_tokens long, ids_crc32 long"
-    found = files.select("part", "shard", "file").mapInArrow(_read, kinds)
+    found = files.select("part", "shard", "file").mapInArrow(task(_read), kinds)
     return found.join(bases, ["part", "shard"]).select(
         "doc_id", (F.col("base") + F.col("inside")).alias("start"), "n_tokens", "ids_crc32"
     )
