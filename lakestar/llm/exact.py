@@ -7,7 +7,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from lakestar.llm.common import Written
+from lakestar.llm.common import Written, task, written
 
 #: Bits of a fingerprint beyond log2 of the rows: one unique text in 2^8 is suspected in vain.
 SPARE_BITS = 8
@@ -88,10 +88,10 @@ def suspects(marked: DataFrame, rows: int) -> DataFrame:
         again = np.bincount(place, minlength=len(distinct)) > 1
         return group.assign(suspect=(shared | again)[place])
 
-    sent = marked.select("part", "mark").groupBy("part").applyInPandas(send, "owner long, part int, n int, k int, code binary")
-    maps = sent.groupBy("owner").applyInPandas(answer, "part int, owner long, bitmap binary")
+    sent = marked.select("part", "mark").groupBy("part").applyInPandas(task(send), "owner long, part int, n int, k int, code binary")
+    maps = sent.groupBy("owner").applyInPandas(task(answer), "part int, owner long, bitmap binary")
     out = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in marked.schema.fields)
-    return marked.groupBy("part").cogroup(maps.groupBy("part")).applyInPandas(receive, f"{out}, suspect boolean")
+    return marked.groupBy("part").cogroup(maps.groupBy("part")).applyInPandas(task(receive, 2), f"{out}, suspect boolean")
 
 
 def exact_duplicates(docs: DataFrame) -> DataFrame:
@@ -114,7 +114,8 @@ def exact_duplicates(docs: DataFrame) -> DataFrame:
         ),
         "marks",
     )
-    judged = Written(suspects(marked.df, marked.rows), "suspects")
+    once = Window.partitionBy("doc_id", "sha").orderBy("mark")
+    judged = Written(suspects(marked.df, marked.rows).withColumn("turn", F.row_number().over(once)), "suspects")
     marked.drop()
     ids = judged.df.where("suspect").select(F.col("doc_id").alias("suspect_id")).distinct()
     loaded = own.join(ids.hint("shuffle_hash"), F.col("doc_id").eqNullSafe(F.col("suspect_id")), "left_semi")
@@ -126,11 +127,9 @@ def exact_duplicates(docs: DataFrame) -> DataFrame:
         .withColumn("keep_id", F.when(F.col("texts") == 1, F.col("keep_id")).otherwise(
             F.raise_error(F.lit("two texts have one SHA-256")).cast("long")))
     )
-    once = Window.partitionBy("sha", "doc_id").orderBy("mark")
     return (
-        judged.df.join(classes, "sha", "left")
+        judged.df.join(written(classes, "classes"), "sha", "left")
         .withColumn("keep_id", F.when(F.col("group_size").isNull(), F.col("doc_id")).otherwise(F.col("keep_id")))
-        .withColumn("turn", F.row_number().over(once))
         .select(
             "doc_id",
             "keep_id",
