@@ -26,12 +26,13 @@ def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def without_boilerplate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rows without the lines that stand in many sources; a row of which no line is left goes."""
-    cut = dedup_lines(docs)
+    clash = {c: f"kept_{c}" for c in ("lines", "lines_removed") if c in docs.columns}
+    cut = dedup_lines(docs.withColumnsRenamed(clash))
     if "n_chars" in docs.columns:
         changed = F.when(F.col("lines_removed") > 0, F.length("text")).otherwise(F.col("n_chars"))
         cut = cut.withColumn("n_chars", changed.cast(dict(docs.dtypes)["n_chars"]))
     left = (F.col("lines_removed") == 0) | F.col("text").rlike(r"[^\x20\x09-\x0D]")
-    return cut.where(left).select(docs.columns)
+    return cut.where(left).select(*[F.col(clash.get(c, c)).alias(c) for c in docs.columns])
 
 
 def one_of_each_class(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
