@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator, Sequence
 from pathlib import Path
 
+import numpy as np
+import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -15,14 +17,24 @@ from lakestar.session import scratch_path
 WORD = r"[^\x20\x09-\x0D]+"
 
 
+#: Rows of a file, where a table's rows are bounded beforehand.
+ROWS_PER_FILE = 250_000
+
+
 class Written:
-    """A frame stored in the shared folder, with figures taken while it was written."""
+    """A frame stored in the shared folder, with figures taken while it was written.
+
+    ``most`` bounds the rows, if that is known, and with them the files.
+    """
 
-    def __init__(self, df: DataFrame, label: str, **figures: Column):
+    def __init__(self, df: DataFrame, label: str, most: int | None = None, **figures: Column):
         self.spark = df.sparkSession
         self.path = scratch_path(self.spark, label)
         seen = Observation()
-        df.observe(seen, F.count(F.lit(1)).alias("rows"), *(c.alias(n) for n, c in figures.items())).write.parquet(self.path)
+        observed = df.observe(seen, F.count(F.lit(1)).alias("rows"), *(c.alias(n) for n, c in figures.items()))
+        if most is not None:
+            observed = observed.coalesce(1 + most // ROWS_PER_FILE)
+        observed.write.parquet(self.path)
         self.df = self.spark.read.schema(df.schema).parquet(self.path)
         self.figures = seen.get
 
@@ -64,3 +76,34 @@ def task(fn: Callable, groups: int = 1) -> Callable:
         return load()(first, second)
 
     return two if groups == 2 else one
+
+
+def runs(batches: Iterator[pa.RecordBatch], keys: Sequence[str]) -> Iterator[pa.Table]:
+    """The rows of each run of equal keys, from rows that are sorted by them; one run is held at a time."""
+    key, held = None, []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        columns = [batch[c].to_numpy() for c in keys]
+        starts = np.flatnonzero(np.any([c[1:] != c[:-1] for c in columns], axis=0)) + 1
+        for begin, end in zip([0, *starts], [*starts, batch.num_rows]):
+            this = tuple(c[begin] for c in columns)
+            if this != key and held:
+                yield pa.Table.from_batches(held)
+                held = []
+            key = this
+            held.append(batch.slice(begin, end - begin))
+    if held:
+        yield pa.Table.from_batches(held)
+
+
+def dealt(members: DataFrame, key: str, node: str, size: str, block: int) -> DataFrame:
+    """Rows for every pair of blocks of a group, as ``low`` and ``high`` beside the row's own ``block``.
+
+    A group of ``size`` rows above ``block`` is split by a hash; each row goes to as many pairs as
+    there are blocks, so that any two rows of the group meet in a task.
+    """
+    blocks = F.ceil(F.col(size) / block).cast("int")
+    own = members.withColumn("block", F.pmod(F.xxhash64(node, key), blocks).cast("int"))
+    each = own.withColumn("with", F.explode(F.sequence(F.lit(0), blocks - 1)))
+    return each.withColumns({"low": F.least("block", "with"), "high": F.greatest("block", "with")}).drop("with", size)

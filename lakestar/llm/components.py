@@ -34,8 +34,8 @@ def components(links: DataFrame) -> DataFrame:
     mark = F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))
     now = Written(edges, "links", mark=mark)
     while now.rows:
-        spread = Written(_large(now.df), "large")
-        after = Written(_small(spread.df), "small", mark=mark)
+        spread = Written(_large(now.df), "large", 2 * now.rows)
+        after = Written(_small(spread.df), "small", 2 * spread.rows, mark=mark)
         same = after.figures == now.figures
         spread.drop()
         now.drop()

@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakestar.llm.common import Written, parts, task
+from lakestar.llm.common import Written, dealt, parts, runs, task
 from lakestar.llm.components import components
 from lakestar.llm.shingles import U, mix
 
@@ -111,8 +111,7 @@ def link_block(ids: np.ndarray, copies: np.ndarray, units: np.ndarray, keys: np.
 
 
 def _link(least: float):
-    def done(group: list[pa.RecordBatch]) -> tuple | None:
-        table = pa.Table.from_batches(group)
+    def done(table: pa.Table) -> tuple | None:
         if table.num_rows < 2:
             return None
         units = np.stack([np.frombuffer(u.as_buffer(), dtype=np.float64) for u in table["unit"]])
@@ -124,33 +123,11 @@ def _link(least: float):
         )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def packed(found: list[tuple]) -> pa.RecordBatch:
-            return pa.record_batch(
-                [pa.array(np.concatenate(c).astype(np.int64)) for c in zip(*found)], names=["x", "links", "root"]
-            )
-
-        key, group, found = None, [], []
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            columns = [batch[c].to_numpy() for c in ("bucket", "low", "high")]
-            new = np.flatnonzero(np.any([c[1:] != c[:-1] for c in columns], axis=0)) + 1
-            for begin, end in zip([0, *new], [*new, batch.num_rows]):
-                this = tuple(c[begin] for c in columns)
-                if this != key and group:
-                    found.append(done(group))
-                    group = []
-                key = this
-                group.append(batch.slice(begin, end - begin))
-            found = [f for f in found if f]
-            if sum(len(f[0]) for f in found) > 10_000:
-                yield packed(found)
-                found = []
-        if group:
-            found.append(done(group))
-        found = [f for f in found if f]
-        if found:
-            yield packed(found)
+        for table in runs(batches, ("bucket", "low", "high")):
+            found = done(table)
+            if found:
+                columns = [pa.array(c.astype(np.int64)) for c in found]
+                yield pa.record_batch(columns, names=["x", "links", "root"])
 
     return run
 
@@ -188,11 +165,8 @@ def embedding_duplicates(vectors: DataFrame, least: float = SIMILAR, seed: int =
     keys = nodes.df.select("x", F.explode("buckets").alias("bucket"))
     full = Written(keys.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "full")
     members = Written(keys.join(full.df, "bucket"), "members")
-    blocks = F.ceil(F.col("n") / BLOCK).cast("int")
-    dealt = members.df.select("x", "bucket", blocks.alias("blocks"), F.pmod(F.xxhash64("x", "bucket"), blocks).cast("int").alias("block"))
-    dealt = dealt.select("x", "bucket", "block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("with"))
-    dealt = dealt.withColumns({"low": F.least("block", "with"), "high": F.greatest("block", "with")}).drop("with")
-    rows = dealt.join(nodes.df.select("x", "copies", "unit", "buckets"), "x")
+    spread = dealt(members.df, "bucket", "x", "n", BLOCK)
+    rows = spread.join(nodes.df.select("x", "copies", "unit", "buckets"), "x")
     n = parts(spark, members.rows, 100_000)
     grouped = rows.repartition(n, "bucket", "low", "high").sortWithinPartitions("bucket", "low", "high")
     linked = Written(

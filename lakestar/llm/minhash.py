@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakestar.llm.common import Written, task
+from lakestar.llm.common import Written, dealt, parts, runs, task
 from lakestar.llm.components import components
 from lakestar.llm.shingles import U, mix, shingles, word_hashes
 
@@ -19,6 +19,8 @@ from lakestar.llm.shingles import U, mix, shingles, word_hashes
 #: (1 - 0.8 ** ROWS) ** BANDS = 8e-5; at 0.9 with less than 1e-11.
 BANDS, ROWS = 40, 7
 SIMILAR = 0.8
+#: Nodes up to which a band's remaining pairs are listed, and nodes of a block in larger bands.
+FEW, BLOCK = 64, 512
 #: Signatures of texts seen before that a task remembers.
 SEEN = 2_000
 
@@ -150,6 +152,55 @@ def _judge(counted: bool, least: float):
     return run
 
 
+def _sets(counted: bool):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [_elements(word_hashes(t.as_py()), counted) for t in batch.column("text")]
+            names = pa.array([e.tobytes() for e, _ in found], pa.binary())
+            weights = pa.array([None if w is None else w.tobytes() for _, w in found], pa.binary())
+            yield pa.record_batch([batch.column("id"), names, weights], names=["x", "names", "weights"])
+
+    return run
+
+
+def cross_links(roots: np.ndarray, sets: list[np.ndarray], weights: list[np.ndarray] | None, least: float) -> list[tuple[int, int]]:
+    """Places of similar sets with different roots, one for each set and root.
+
+    Sets outside the largest component are looked up in an index of all sets by element, so each
+    costs the sets it shares elements with.
+    """
+    known, times = np.unique(roots, return_counts=True)
+    outside = np.flatnonzero(roots != known[times.argmax()])
+    owner = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+    elements = np.concatenate(sets)
+    order = np.argsort(elements, kind="stable")
+    elements, owner = elements[order], owner[order]
+    weight = None if weights is None else np.concatenate(weights)[order]
+    total = np.array([len(s) for s in sets]) if weights is None else np.array([w.sum() for w in weights])
+    links = []
+    for i in outside:
+        low, high = np.searchsorted(elements, sets[i], side="left"), np.searchsorted(elements, sets[i], side="right")
+        n = high - low
+        at = np.repeat(low - (np.cumsum(n) - n), n) + np.arange(n.sum())
+        shared = None if weight is None else np.minimum(weight[at], np.repeat(weights[i], n))
+        common = np.bincount(owner[at], weights=shared, minlength=len(sets))
+        alike = np.flatnonzero((common >= least * (total + total[i] - common)) & (roots != roots[i]))
+        links += [(int(i), int(alike[k])) for k in np.unique(roots[alike], return_index=True)[1]]
+    return links
+
+
+def _cross(least: float):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in runs(batches, ("band", "low", "high")):
+            x, sets = table["x"].to_numpy(), [np.frombuffer(s.as_buffer(), dtype=U) for s in table["names"]]
+            weights = [w.as_buffer() for w in table["weights"] if w.is_valid]
+            found = cross_links(table["rx"].to_numpy(), sets, [np.frombuffer(w) for w in weights] or None, least)
+            if found:
+                yield pa.record_batch([pa.array(x[list(c)]) for c in zip(*found)], names=["x", "y"])
+
+    return run
+
+
 def _verify(pairs: DataFrame, texts: DataFrame, counted: bool, least: float) -> Written:
     both = pairs.join(texts.select(F.col("id").alias("x"), F.col("text").alias("s")), "x").join(
         texts.select(F.col("id").alias("y"), F.col("text").alias("t")), "y"
@@ -172,7 +223,8 @@ def near_duplicates(docs: DataFrame, least: float = SIMILAR, counted: bool = Fal
 
     Nodes that share a band are candidates. Each is compared first with the smallest of its bands'
     first nodes, then with the first nodes of other components, then the nodes of each band that are
-    still in different components with one another: a large group of alike documents costs a
+    still in different components with one another: pair by pair in bands of up to ``FEW`` nodes, in
+    larger ones by an index over blocks of ``BLOCK``. A large group of alike documents costs a
     comparison or a few for each member, and no candidate pair between components is left out.
     Similarities are computed from whole texts.
     """
@@ -224,17 +276,26 @@ def near_duplicates(docs: DataFrame, least: float = SIMILAR, counted: bool = Fal
         roots = placed() if found[-1].rows else roots
 
     rooted = Written(at(members.df.select("band", "x", "size"), "x", "rx", roots), "rooted")
-    mixed = rooted.df.groupBy("band").agg(F.min("rx").alias("p"), F.max("rx").alias("q")).where("p != q").select("band")
-    left = rooted.df.join(mixed, "band", "left_semi")
-    right = left.select("band", F.col("x").alias("y"), F.col("size").alias("other"), F.col("rx").alias("ry"))
-    cross = left.join(right, "band").where((F.col("x") > F.col("y")) & (F.col("rx") != F.col("ry")) & near)
+    span = rooted.df.groupBy("band").agg(F.min("rx").alias("p"), F.max("rx").alias("q"), F.count(F.lit(1)).alias("n"))
+    mixed = Written(rooted.df.join(span.where("p != q").select("band", "n"), "band"), "mixed")
+    few = mixed.df.where(F.col("n") <= FEW).drop("n")
+    right = few.select("band", F.col("x").alias("y"), F.col("size").alias("other"), F.col("rx").alias("ry"))
+    cross = few.join(right, "band").where((F.col("x") > F.col("y")) & (F.col("rx") != F.col("ry")) & near)
     third = Written(
         cross.select("x", "y").distinct().join(tried.df.union(second.df), ["x", "y"], "left_anti"), "third"
     )
     if third.rows:
         found.append(_verify(third.df, texts.df, counted, least))
-        roots = placed() if found[-1].rows else roots
-    for table in (members, texts, tried, second, rooted, third):
+    many = mixed.df.where(F.col("n") > FEW)
+    wanted = many.select(F.col("x").alias("id")).distinct()
+    sets = texts.df.join(wanted, "id", "left_semi").mapInArrow(task(_sets(counted)), "x long, names binary, weights binary")
+    spread = dealt(many.select("band", "x", "rx", "n"), "band", "x", "n", BLOCK).join(Written(sets, "sets").df, "x")
+    grouped = spread.repartition(parts(docs.sparkSession, mixed.rows, 100_000), "band", "low", "high")
+    grouped = grouped.sortWithinPartitions("band", "low", "high").select("band", "low", "high", "x", "rx", "names", "weights")
+    found.append(Written(grouped.mapInArrow(task(_cross(least)), "x long, y long"), "across"))
+    if any(more.rows for more in found[-2:]):
+        roots = placed()
+    for table in (members, texts, tried, second, rooted, mixed, third):
         table.drop()
     classes = Written(at(nodes.df.select("key", "x"), "x", "class_id", roots), "classes")
     rows = signed.df.select("doc_id", "key").join(classes.df.select("key", "class_id"), "key", "left")

@@ -4,6 +4,7 @@ import numpy as np
 import pytest
 from odd import ROWS, odd_docs
 
+from lakestar.llm import minhash
 from lakestar.llm.minhash import BANDS, near_duplicates, dart_signature, similarity
 from lakestar.llm.shingles import STEP, shingles, word_hashes
 
@@ -65,6 +66,29 @@ def test_chains_of_alike_documents_are_one_class(spark):
     assert sorted((r.doc_id, r.class_id) for r in out) == sorted(brute(rows))
 
 
+def family(n=150):
+    """Variants of one text: alike in pairs here and there, in bands of many."""
+    r = np.random.default_rng(9)
+    base = [f"u{i}" for i in range(220)]
+    rows = []
+    for i in range(n):
+        text = list(base)
+        for at in r.choice(220, int(r.integers(1, 6)), replace=False):
+            text[at] = f"x{r.integers(1000)}"
+        rows.append((i, " ".join(text), None, None, None))
+    return rows
+
+
+@pytest.mark.parametrize("few, block, counted", [(64, 512, False), (2, 512, False), (2, 20, False), (2, 20, True)])
+def test_large_bands_of_different_components(spark, monkeypatch, few, block, counted):
+    monkeypatch.setattr(minhash, "FEW", few)
+    monkeypatch.setattr(minhash, "BLOCK", block)
+    out = near_duplicates(odd_docs(spark, family()), counted=counted).collect()
+    expected = brute(family())
+    assert len({c for _, c in expected}) > 5
+    assert sorted((r.doc_id, r.class_id) for r in out) == sorted(expected)
+
+
 def test_odd_rows(spark):
     out = near_duplicates(odd_docs(spark)).collect()
     key = lambda r: tuple((v is None, v) for v in r)
