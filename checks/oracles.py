@@ -20,13 +20,13 @@ party as (
            concat('api/partidos/', n_nationkey) as uri, r_name as situacao,
            cast(n_nationkey + 10 as varchar) as members, cast(n_nationkey as varchar) as seated,
            concat('logo/', n_nationkey) as logo, lower(n_name) as lider
-    from nation join region on n_regionkey = r_regionkey where n_nationkey < 24)
+    from nation join region on n_regionkey = r_regionkey)
 """
 
 _DEPUTY = """
 deputy_latest as (
     select c_custkey as id, c_name, n_name, c_mktsegment,
-           case when c_custkey % 17 <> 0 then n_name end as party,
+           case when c_custkey % 19 = 0 then 'NOWHERE' when c_custkey % 17 <> 0 then n_name end as party,
            cast(55 + c_custkey % 8 as int) as last_legislature,
            case when c_custkey % 13 = 0 then 'not a date' when c_custkey % 29 = 0 then ''
                 else concat(1940 + c_custkey % 50, '-0', 1 + c_custkey % 9, '-15') end as born,
@@ -62,7 +62,7 @@ expense_once as (
            cast(l_extendedprice as decimal(18,2)) as valorDocumento,
            case when l_orderkey % 23 <> 0 then concat('doc/', l_orderkey, '/', l_linenumber) end as urlDocumento,
            s_name as nomeFornecedor,
-           case when l_suppkey % 7 <> 0 then concat('TAX', l_suppkey) end as cnpjCpfFornecedor,
+           case when l_suppkey % 7 <> 0 then concat('TAX', l_suppkey, '-', l_orderkey % 2) end as cnpjCpfFornecedor,
            cast(case when l_linenumber = 1 then 10 else 0 end as decimal(18,2)) as valorGlosa
     from lineitem join orders on l_orderkey = o_orderkey join supplier on l_suppkey = s_suppkey),
 expense_raw as (
@@ -136,6 +136,10 @@ _MONEY = """cast(valorDocumento as double) as valorDocumento, cast(valorLiquido
 
 
 
+def _line(*columns: str) -> str:
+    return "concat_ws('|', " + ", ".join(f"coalesce(cast({c} as varchar), '-')" for c in columns) + ") as line"
+
+
 def _with(*parts: str) -> str:
     return "with " + ", ".join(p.strip() for p in parts)
 
@@ -166,8 +170,8 @@ ORACLES: dict[str, str] = {
     "silver_expense": f"{_with(_EXPENSE)} select * replace ({_MONEY}) from expense",
     "parse_lenient": f"""{_with(_DEPUTY)}
         select id, try_cast(born as date) as born,
-               cast(epoch(try_cast(born as date) + interval 5 hour) as bigint)
-                 + case id % 3 when 0 then 10800 when 1 then 0 else -7200 end as stamp
+               cast(epoch(try_cast(born as date)) as bigint)
+                 + case id % 7 when 1 then 18000 when 2 then 10800 when 6 then 10800 else 28800 end as stamp
         from deputy_latest""",
     "timestamp_zone": f"""{_with(_EXPENSE)}
         select numDocumento, cast(epoch(moment) as bigint) as utc, cast(epoch(moment) as bigint) + 10800 as west,
@@ -219,15 +223,16 @@ ORACLES: dict[str, str] = {
     "dim_expense_type": "select distinct o_orderpriority as tipoDespesa from lineitem join orders on l_orderkey = o_orderkey",
     "dim_provider": f"{_with(_EXPENSE)} select distinct nomeFornecedor, cnpjCpfFornecedor from expense",
     "dim_provider_by_name": f"""{_with(_EXPENSE)}, ranked as (
-            select substring(nomeFornecedor, 1, 17) as name, cnpjCpfFornecedor as tax_id, row_number() over (
-                partition by substring(nomeFornecedor, 1, 17) order by cnpjCpfFornecedor nulls first) as place
+            select nomeFornecedor as name, cnpjCpfFornecedor as tax_id, row_number() over (
+                partition by nomeFornecedor order by cnpjCpfFornecedor nulls first) as place
             from expense_raw)
         select name as nomeFornecedor, tax_id as cnpjCpfFornecedor from ranked where place = 1""",
-    "dimensions": f"""{_with(_LEGISLATURE, _PARTY)}, sizes as (
-            select 'sk_legislatura' as key, count(*) as n from legislature
-            union all select 'sk_partido', count(*) from party
-            union all select 'sk_deputado', count(*) from customer)
-        select key, n, n as keys, cast(1 as bigint) as lowest, n as highest from sizes""",
+    "dimensions": f"""{_with(_LEGISLATURE, _PARTY, _DEPUTY)}
+        select 'sk_legislatura' as key, {_line("id", "begins", "ends")}, 1 as dense from legislature
+        union all select 'sk_partido', {_line("sigla", "nome", "situacao", "members", "seated", "logo")}, 1 from party
+        union all select 'sk_deputado', {_line("id", "upper(c_name)", "upper(c_name)", "last_legislature", "party",
+            "concat('foto/', id)", "situacao", "'Titular'", "try_cast(born as date)", "null", "n_name", "lower(n_name)", "c_mktsegment")}, 1
+        from deputy_latest""",
     "deputy_links": f"""{_with(_LEGISLATURE, _PARTY, _DEPUTY)}
         select d.id, l.id as legislature, p.sigla as party
         from deputy_latest d left join legislature l on last_legislature = l.id left join party p on party = p.sigla""",
@@ -258,7 +263,8 @@ ORACLES: dict[str, str] = {
                  case when ano = 1997 and mes = 3 then 2 else 1 end * valorDocumento) as double) as total
         from expense group by all""",
     "request_uris": """
-        select c_custkey as id, concat('api/deputados/', c_custkey, '/despesas?idLegislatura=57&itens=100') as uri
+        select c_custkey as id, case when c_custkey % 10 <> 0 then concat('api/deputados/', c_custkey,
+            '/despesas?idLegislatura=57&nome=', replace(c_mktsegment, ' ', '%20'), '%20%26%20', replace(replace(c_name, '#', '%23'), ' ', '%20'), '&itens=100') end as uri
         from customer""",
     "joined_ids": "select distinct o_custkey as id, 1 as fits from orders",
     "list_request": f"""{_with(_LEGISLATURE)}
@@ -300,19 +306,31 @@ ORACLES: dict[str, str] = {
                strftime(moment, '%Y-%m-%dT%H:%M:%S') as "dataDocumento",
                sha256(concat_ws('|', id_deputado, '57', numDocumento, valorDocumento)) as id_despesa,
                ano, mes, ano as ano1, mes as mes1
-        from expense_raw join customer on id_deputado = c_custkey where id_deputado % 37 <> 0""",
-    "star_publish": f"""{_with(_LEGISLATURE, _PARTY, _EXPENSE)}
-        select 'legislature' as name, count(*) as n from legislature
-        union all select 'party', count(*) from party
-        union all select 'deputy', count(*) from customer
-        union all select 'expense_type', count(distinct tipoDespesa) from expense
-        union all select 'provider', count(*) from (select distinct nomeFornecedor, cnpjCpfFornecedor from expense)
-        union all select 'fact', count(*) from expense""",
+        from expense_raw join customer on id_deputado = c_custkey""",
+    "star_publish": f"""{_with(_LEGISLATURE, _PARTY, _DEPUTY, _EXPENSE)}, lines as (
+            select 'legislature' as name, {_line("id", "begins", "ends")} from legislature
+            union all select 'party', {_line("sigla", "nome", "situacao", "members", "seated", "logo")} from party
+            union all select 'deputy', {_line("id", "upper(c_name)", "situacao", "try_cast(born as date)", "c_mktsegment")} from deputy_latest
+            union all select distinct 'expense_type', {_line("tipoDespesa")} from expense
+            union all select distinct 'provider', {_line("nomeFornecedor", "cnpjCpfFornecedor")} from expense
+            union all select 'fact', {_line("ano", "mes")} from expense)
+        select name, line, count(*) as n from lines group by name, line""",
+    "envelope_odd_shapes": """
+        select concat(conv_id, '/', turn) as uri,
+               cast(case when (conv_id + turn) % 7 in (0, 3, 4, 5) then 1 else 0 end as bigint) as items,
+               cast(case when (conv_id + turn) % 7 in (3, 4) then 1 else 0 end as bigint) as odd,
+               case when (conv_id + turn) % 7 in (1, 2) then 'shape' when (conv_id + turn) % 7 = 6 then 'link' else 'ok' end as reason
+        from conversations""",
+    "fan_out_unreadable_link": f"""{_with(_FAN)}
+        select id_deputado, page_no, case when id_deputado % 3 = 0 then 'link' when status = 503 then 'status' else 'ok' end as reason
+        from fan_visited where status <> 404 and (id_deputado % 3 <> 0 or page_no = 0)""",
 }
+ORACLES["bronze_parties_chunked"] = ORACLES["bronze_parties"]
 ORACLES["fk_composite_salted"] = ORACLES["fk_composite_nullsafe"]
 # Expenses are asked for under legislature 57, and only of deputies that are a member of one.
 ORACLES["layers_in_order"] = f"""{_with(_EXPENSE)}, spent as (
-        select distinct * replace ('57' as id_legislatura) from expense where id_deputado % 37 <> 0)
+        select distinct * replace ('57' as id_legislatura) from expense)
     select {_MEASURES.format(key=_FACT_KEY)}, id_deputado as deputy, cast(57 as smallint) as legislature,
            tipoDespesa as expense_type, {_BOTH_KNOWN} as provider, cnpjCpfFornecedor as tax_id
     from spent"""
+ORACLES["layers_requested"] = ORACLES["layers_in_order"]

@@ -38,8 +38,8 @@ def legislatures(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def parties(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One per nation but the last, which leaves orphan links."""
-    nations = table(spark, sf_dir, "nation").filter("n_nationkey < 24")
+    """One per nation."""
+    nations = table(spark, sf_dir, "nation")
     joined = nations.join(table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
     status = F.struct(
         F.col("r_name").alias("situacao"),
@@ -58,7 +58,10 @@ def parties(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def deputies(spark: SparkSession, sf_dir: str, versions: bool = True) -> DataFrame:
-    """One per customer; with ``versions`` every third also has an older status."""
+    """One per customer; with ``versions`` every third also has an older status.
+
+    Some have no party, some one that is no nation's: an orphan link.
+    """
     people = table(spark, sf_dir, "customer").join(
         table(spark, sf_dir, "nation"), F.col("c_nationkey") == F.col("n_nationkey")
     )
@@ -74,7 +77,7 @@ def deputies(spark: SparkSession, sf_dir: str, versions: bool = True) -> DataFra
     )
     status = F.struct(
         F.lower("c_name").alias("nomeEleitoral"),
-        F.when(key % 17 != 0, F.col("n_name")).alias("siglaPartido"),
+        F.when(key % 19 == 0, "NOWHERE").when(key % 17 != 0, F.col("n_name")).alias("siglaPartido"),
         F.col("c_mktsegment").alias("siglaUf"),
         F.when(older, 54).otherwise(55 + key % 8).cast("int").alias("idLegislatura"),
         F.concat(F.lit("foto/"), key).alias("urlFoto"),
@@ -105,7 +108,10 @@ def memberships(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def expenses(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One per line item, every tenth order twice; orphan, unreadable and missing keys and times."""
+    """One per line item, every tenth order twice; orphan, unreadable and missing keys and times.
+
+    A provider has two tax ids or none.
+    """
     items = (
         table(spark, sf_dir, "lineitem")
         .join(table(spark, sf_dir, "orders"), F.col("l_orderkey") == F.col("o_orderkey"))
@@ -131,7 +137,7 @@ def expenses(spark: SparkSession, sf_dir: str) -> DataFrame:
         amount.alias("valorDocumento"),
         F.when(order % 23 != 0, F.concat_ws("/", F.lit("doc"), order, line)).alias("urlDocumento"),
         F.col("s_name").alias("nomeFornecedor"),
-        F.when(supplier % 7 != 0, F.concat(F.lit("TAX"), supplier)).alias("cnpjCpfFornecedor"),
+        F.when(supplier % 7 != 0, F.concat(F.lit("TAX"), supplier, F.lit("-"), order % 2)).alias("cnpjCpfFornecedor"),
         (amount - withheld).cast("decimal(18,2)").alias("valorLiquido"),
         withheld.alias("valorGlosa"),
     )
@@ -169,6 +175,25 @@ def conversation_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def odd_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A page per turn whose data is, by turns: an item, text, a number, an item and a number, an item
+    and null, an item with text behind the body, or links that are none."""
+    turns = table(spark, sf_dir, "conversations")
+    item = F.to_json(F.struct("conv_id", "turn", "role", "text"))
+    kinds = (
+        F.concat(F.lit('{"dados": ['), item, F.lit("]}")),
+        F.lit('{"dados": "xy"}'),
+        F.lit('{"dados": 5}'),
+        F.concat(F.lit('{"dados": [7, '), item, F.lit("]}")),
+        F.concat(F.lit('{"dados": ['), item, F.lit(", null]}")),
+        F.concat(F.lit('{"dados": '), item, F.lit("} trailing")),
+        F.concat(F.lit('{"dados": ['), item, F.lit('], "links": ["x"]}')),
+    )
+    kind = (F.col("conv_id") + F.col("turn")) % len(kinds)
+    body = F.element_at(F.array(*kinds), (kind + 1).cast("int"))
+    return turns.select(F.concat_ws("/", "conv_id", "turn").alias("uri"), F.lit(200).alias("status"), body.alias("body"))
+
+
 def conversation_starts(spark: SparkSession, sf_dir: str) -> DataFrame:
     first = table(spark, sf_dir, "conversations").filter("turn = 0")
     return first.select("conv_id", F.concat_ws("/", "conv_id", "turn").alias("uri")).distinct()
@@ -207,14 +232,16 @@ def _details(items: DataFrame) -> DataFrame:
     return items.select("uri", F.lit(200).alias("status"), body.alias("body"))
 
 
-def _listed_by_ids(spark: SparkSession, sf_dir: str, endpoint: str, references: DataFrame, page_size: int) -> DataFrame:
-    """List pages below the address that names the legislatures: one row of a handful of ids."""
+def _listed_by_ids(
+    spark: SparkSession, sf_dir: str, endpoint: str, references: DataFrame, page_size: int, per_request: int = 100
+) -> DataFrame:
+    """List pages below the addresses that name the legislatures, a handful; each lists everything."""
     first = list_starts(
-        legislatures(spark, sf_dir), f"api/{endpoint}", "id", 54, "idLegislatura", {"itens": page_size}
+        legislatures(spark, sf_dir), f"api/{endpoint}", "id", 54, "idLegislatura", {"itens": page_size}, per_request
     )
-    first = first.select(F.col("uri").alias("first_uri"), F.lit(1).alias("_one"))
-    items = references.select(F.struct(*references.columns).alias("item"), F.lit(1).alias("_one"))
-    return _listed(items.join(F.broadcast(first), "_one").select("first_uri", "item"), page_size)
+    addresses = F.array(*[F.lit(r["uri"]) for r in first.collect()])
+    items = references.select(F.explode(addresses).alias("first_uri"), F.struct(*references.columns).alias("item"))
+    return _listed(items, page_size)
 
 
 def legislature_pages(spark: SparkSession, sf_dir: str, page_size: int = 100) -> DataFrame:
@@ -223,9 +250,9 @@ def legislature_pages(spark: SparkSession, sf_dir: str, page_size: int = 100) ->
     return _listed(bare.select(first, F.struct(*bare.columns).alias("item")), page_size)
 
 
-def party_pages(spark: SparkSession, sf_dir: str, page_size: int = 100) -> DataFrame:
+def party_pages(spark: SparkSession, sf_dir: str, page_size: int = 100, per_request: int = 100) -> DataFrame:
     party = parties(spark, sf_dir)
-    listed = _listed_by_ids(spark, sf_dir, "partidos", party.select("id", "uri", "sigla"), page_size)
+    listed = _listed_by_ids(spark, sf_dir, "partidos", party.select("id", "uri", "sigla"), page_size, per_request)
     return listed.unionByName(_details(party))
 
 
@@ -236,16 +263,12 @@ def deputy_pages(spark: SparkSession, sf_dir: str, page_size: int = 100) -> Data
 
 
 def expense_pages(spark: SparkSession, sf_dir: str, page_size: int = 100, legislature: int = 57) -> DataFrame:
-    """Expenses below their deputy's address, without the two keys the job adds.
-
-    Deputies whose key 37 divides have none: their first page is missing.
-    """
+    """Expenses below their deputy's address, without the two keys the job adds."""
     spent = expenses(spark, sf_dir)
     own = [c for c in spent.columns if c not in ("id_deputado", "id_legislatura")]
     uri = F.concat(
         F.lit("api/deputados/"), "id_deputado", F.lit(f"/despesas?idLegislatura={legislature}&itens={page_size}")
     )
-    spent = spent.filter(F.col("id_deputado") % 37 != 0)
     return _listed(spent.select(uri.alias("first_uri"), F.struct(*own).alias("item")), page_size)
 
 

@@ -48,6 +48,8 @@ from lakestar.sources import (
     follow_pages,
     join_ids,
     judge_pages,
+    odd_items,
+    plain_client,
     read_entity,
     request_uri,
     schemas,
@@ -108,9 +110,11 @@ def silver_expense(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def parse_lenient(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Besides whole times: short ones, whose hour must not be lost, and bare dates."""
     people = proxies.deputies(spark, sf_dir, versions=False)
-    ending = F.element_at(F.array(*[F.lit(z) for z in ("", "Z", "+02:00")]), (F.col("id") % 3 + 1).cast("int"))
-    stamp = F.concat("dataNascimento", F.lit("T05:00:00"), ending)
+    endings = ("T05:00:00", "T05:00:00Z", "T05:00:00+02:00", "T5", " 5", " 05:00", "")
+    ending = F.element_at(F.array(*[F.lit(z) for z in endings]), (F.col("id") % 7 + 1).cast("int"))
+    stamp = F.concat("dataNascimento", ending)
     born, at = parse_date("dataNascimento"), parse_timestamp(stamp, "UTC-3")
     return _shown(people.select("id", born.alias("born"), at.alias("stamp")))
 
@@ -322,22 +326,29 @@ def dim_provider(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def dim_provider_by_name(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The legacy form: one row per name, the first by tax id."""
-    rows = proxies.expenses(spark, sf_dir).select(
-        F.substring("nomeFornecedor", 1, 17).alias("nomeFornecedor"), "cnpjCpfFornecedor"
-    )
+    rows = proxies.expenses(spark, sf_dir).select("nomeFornecedor", "cnpjCpfFornecedor")
     dim = dimension_from_fact(rows, ["nomeFornecedor", "cnpjCpfFornecedor"], "sk", "dense", ["nomeFornecedor"])
     return dim.select("nomeFornecedor", "cnpjCpfFornecedor")
 
 
+def _as_line(columns: list[str]) -> Column:
+    return F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("-")) for c in columns]).alias("line")
+
+
 @query
 def dimensions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rows and keys of the three dimensions with tables of their own."""
+    """Rows of the three dimensions with tables of their own, and whether their keys are 1..n."""
     dims = {
         "sk_legislatura": gold.dim_legislature(silver.silver_legislature(proxies.legislatures(spark, sf_dir))),
         "sk_partido": gold.dim_party(silver.silver_party(proxies.parties(spark, sf_dir))),
         "sk_deputado": gold.dim_deputy(silver.silver_deputy(proxies.deputies(spark, sf_dir))),
     }
-    found = [_properties(dim, sk).select(F.lit(sk).alias("key"), "*") for sk, dim in dims.items()]
+    found = []
+    for sk, dim in dims.items():
+        dim = materialize(dim, "dim")
+        sizes = _properties(dim, sk).select(((F.col("n") == F.col("keys")) & (F.col("lowest") == 1) & (F.col("highest") == F.col("n"))).cast("int").alias("dense"))
+        line = _as_line([c for c in dim.columns if c != sk])
+        found.append(dim.select(F.lit(sk).alias("key"), line).withColumn("dense", F.lit(sizes.first()["dense"])))
     return reduce(DataFrame.unionByName, found)
 
 
@@ -478,7 +489,10 @@ def replace_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def request_uris(spark: SparkSession, sf_dir: str) -> DataFrame:
-    address = request_uri("api/", "deputados", F.col("c_custkey"), "despesas", params={"idLegislatura": 57, "itens": 100})
+    """Some ids are missing: no address. Names hold a character that an address has to encode."""
+    key = F.when(F.col("c_custkey") % 10 != 0, F.col("c_custkey"))
+    params = {"idLegislatura": 57, "nome": F.concat("c_mktsegment", F.lit(" & "), "c_name"), "itens": 100}
+    address = request_uri("api/", "deputados", key, "despesas", params=params)
     return proxies.table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("id"), address.alias("uri"))
 
 
@@ -511,6 +525,18 @@ def envelope_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     return unwrap_envelope(pages, "body", TURN, carry=["uri"])
 
 
+@query
+def envelope_odd_shapes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Items and rejects of every page: both together are what was put in."""
+    pages = materialize(proxies.odd_pages(spark, sf_dir), "pages")
+    walk = judge_pages(pages)
+    items = unwrap_envelope(walk.pages, "body", TURN, carry=["uri"]).groupBy("uri").agg(F.count("turn").alias("items"))
+    odd = odd_items(walk.pages, "body", carry=["uri"]).groupBy("uri").agg(F.count(F.lit(1)).alias("odd"))
+    reasons = walk.rejected.select("uri", "reason")
+    joined = pages.select("uri").join(items, "uri", "left").join(odd, "uri", "left").join(reasons, "uri", "left")
+    return joined.select("uri", F.coalesce("items", F.lit(0)).alias("items"), F.coalesce("odd", F.lit(0)).alias("odd"), F.coalesce("reason", F.lit("ok")).alias("reason"))
+
+
 def _walk(spark: SparkSession, sf_dir: str, **options: object):
     pages = materialize(proxies.conversation_pages(spark, sf_dir), "pages")
     return follow_pages(proxies.conversation_starts(spark, sf_dir), pages, **options)
@@ -546,7 +572,7 @@ QUIET = Retry(sleep=openers.no_pause)
 @query
 def fan_out_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = fan_out(
-        _fan_starts(spark, sf_dir), openers.open_numbered_page, params={"itens": 3}, parallelism=8, retry=QUIET
+        _fan_starts(spark, sf_dir), plain_client(openers.open_numbered_page), params={"itens": 3}, parallelism=8, retry=QUIET
     )
     return pages.select("start_uri", "page_no", "status")
 
@@ -554,7 +580,7 @@ def fan_out_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def fan_out_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Carried key and constants: a constant wins over a field of the item."""
-    source = requested_pages(openers.open_numbered_page, params={"itens": 3}, parallelism=8, retry=QUIET)
+    source = requested_pages(plain_client(openers.open_numbered_page), params={"itens": 3}, parallelism=8, retry=QUIET)
     walk = source(_fan_starts(spark, sf_dir))
     items = unwrap_envelope(walk.pages, "body", RECORD, carry=["id_deputado"])
     return add_constants(items, {"id_legislatura": "57"})
@@ -564,7 +590,7 @@ def fan_out_items(spark: SparkSession, sf_dir: str) -> DataFrame:
 def fan_out_rejected(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = fan_out(
         _fan_starts(spark, sf_dir),
-        openers.open_numbered_page,
+        plain_client(openers.open_numbered_page),
         params={"itens": 3},
         carry=["id_deputado"],
         parallelism=8,
@@ -573,6 +599,17 @@ def fan_out_rejected(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_pages(materialize(raw, "landing")).rejected.select("id_deputado", "page_no", "status", "reason")
 
 
+@query
+def fan_out_unreadable_link(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links of odd shape end the chain, and their page is rejected instead of stopping the job."""
+    raw = fan_out(
+        _fan_starts(spark, sf_dir), plain_client(openers.open_page_with_odd_links), params={"itens": 3}, carry=["id_deputado"], parallelism=8, retry=QUIET
+    )
+    walk = judge_pages(materialize(raw, "landing"))
+    good = walk.pages.select("id_deputado", "page_no", F.lit("ok").alias("reason"))
+    return good.unionByName(walk.rejected.select("id_deputado", "page_no", "reason"))
+
+
 # ---- jobs -----------------------------------------------------------------------------------
 
 
@@ -591,12 +628,25 @@ def bronze_parties(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = scratch_path(spark, "bronze")
     starts = list_starts(proxies.legislatures(spark, sf_dir), "api/partidos", "id", 54, "idLegislatura", {"itens": 10})
     ingest_details(starts, source, schemas.PARTY_REFERENCE, schemas.PARTY, f"{root}/parties_data")
-    stored = read_entity(spark, root, "parties_data")
+    return _party_rows(read_entity(spark, root, "parties_data"))
+
+
+def _party_rows(stored: DataFrame) -> DataFrame:
     return stored.select("id", "sigla", "nome", "uri", "status.situacao", "status.totalMembros", "status.lider.nome").toDF(
         "id", "sigla", "nome", "uri", "situacao", "totalMembros", "lider"
     )
 
 
+@query
+def bronze_parties_chunked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two ids an address: several lists name every party, which is still one row."""
+    source = landed_pages(materialize(proxies.party_pages(spark, sf_dir, 10, per_request=2), "pages"))
+    root = scratch_path(spark, "bronze")
+    starts = list_starts(proxies.legislatures(spark, sf_dir), "api/partidos", "id", 54, "idLegislatura", {"itens": 10}, per_request=2)
+    ingest_details(starts, source, schemas.PARTY_REFERENCE, schemas.PARTY, f"{root}/parties_data")
+    return _party_rows(read_entity(spark, root, "parties_data"))
+
+
 @query
 def bronze_deputies(spark: SparkSession, sf_dir: str) -> DataFrame:
     source = landed_pages(materialize(proxies.deputy_pages(spark, sf_dir), "pages"))
@@ -615,8 +665,10 @@ def bronze_expenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     source = landed_pages(materialize(proxies.expense_pages(spark, sf_dir, 20), "pages"))
     path = scratch_path(spark, "bronze")
     address = request_uri("api/deputados", F.col("id"), "despesas", params={"idLegislatura": 57, "itens": 20})
+    people = proxies.deputies(spark, sf_dir, versions=False)
+    unknown = people.filter("id % 37 = 0").withColumn("id", -F.col("id"))  # parents without a page
     ingest_children(
-        proxies.deputies(spark, sf_dir, versions=False),
+        people.unionByName(unknown),
         address,
         {"id_deputado": "id"},
         {"id_legislatura": "57"},
@@ -644,18 +696,37 @@ def star_publish(spark: SparkSession, sf_dir: str) -> DataFrame:
         silver.silver_expense(proxies.expenses(spark, sf_dir)), f"{root}/silver/expenses_data", partition_copies=MONTHS
     )
     star = gold.publish_star(spark, f"{root}/silver", f"{root}/gold", cast="lenient")
-    counts = [
-        star.read(spark, name).agg(F.lit(name).alias("name"), F.count(F.lit(1)).alias("n")) for name in star.paths
-    ]
-    return reduce(DataFrame.unionByName, counts)
+    shown = {
+        "legislature": list(gold.LEGISLATURE_COLUMNS),
+        "party": list(gold.PARTY_COLUMNS),
+        "deputy": ["id", "nome_civil", "situacao_atual", "data_nascimento", "escolaridade"],
+        "expense_type": list(gold.EXPENSE_TYPE_KEY),
+        "provider": list(gold.PROVIDER_KEY),
+        "fact": ["ano", "mes"],
+    }
+    lines = [star.read(spark, name).select(F.lit(name).alias("name"), _as_line(columns)) for name, columns in shown.items()]
+    return reduce(DataFrame.unionByName, lines).groupBy("name", "line").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query
-def layers_in_order(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All jobs from landed pages to the stored fact, followed back to natural keys."""
-    pages = materialize(proxies.api_pages(spark, sf_dir), "pages")
-    config = Config(scratch_path(spark, "lake"), "api", landed_pages(pages), only_of_legislature=None, region=None)
+def _layers(spark: SparkSession, source: object) -> DataFrame:
+    config = Config(scratch_path(spark, "lake"), "api", source, only_of_legislature=None, region=None)
     star = run_all(spark, config)
     names = ("fact", "deputy", "legislature", "expense_type", "provider")
     fact, *dims = [star.read(spark, name) for name in names]
     return _natural_fact(fact.drop("ano_despesa", "mes_despesa"), *dims)
+
+
+@query
+def layers_in_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All jobs from landed pages to the stored fact, followed back to natural keys."""
+    return _layers(spark, landed_pages(materialize(proxies.api_pages(spark, sf_dir), "pages")))
+
+
+@query
+def layers_requested(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same, with every page requested from the tasks, by a client that each of them opens."""
+    shelf = scratch_path(spark, "shelf")
+    bucket = F.pmod(F.crc32(F.col("uri").cast("binary")), F.lit(openers.SHELVES)).cast("int").alias("bucket")
+    proxies.api_pages(spark, sf_dir).select("*", bucket).repartition("bucket").write.partitionBy("bucket").parquet(shelf)
+    client = openers.Shelf(shelf.removeprefix("file:"))
+    return _layers(spark, requested_pages(client, parallelism=8, retry=QUIET))

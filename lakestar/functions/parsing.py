@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 # A zone written behind a date and a time of day: Z, an offset, or a name.
 _OWN_ZONE = r"^\d{4}-.*:.*([zZ]|[+-]\d{1,2}(:?\d{2})?|[A-Za-z]+(/[A-Za-z_]+)*([+-]\d+)?)$"
-_DATE_LENGTH = len("yyyy-MM-dd")
 
 
 def _as_column(col: Column | str) -> Column:
@@ -34,7 +33,7 @@ def parse_timestamp(col: Column | str, zone: str = "UTC", strict: bool = False)
     zone of the session. Text without a date gives null: cast to a timestamp it would mean today.
     """
     text = F.trim(_as_column(col))
-    date_only = F.length(text) <= _DATE_LENGTH
+    date_only = ~text.rlike("[T :]")
     midnight = F.concat(text.try_cast("date").cast("string"), F.lit("T00:00:00Z"))
     has_date = F.substring(text, 5, 1) == "-"
 
@@ -42,7 +41,7 @@ def parse_timestamp(col: Column | str, zone: str = "UTC", strict: bool = False)
         return F.concat(text, F.lit(seconds + "Z")).try_cast("timestamp")
 
     wall_clock = F.when(date_only, midnight.try_cast("timestamp")).when(
-        has_date, F.coalesce(as_utc(""), as_utc(":00"))
+        has_date, F.coalesce(as_utc(""), as_utc(":00"), as_utc(":00:00"))
     )
     own_zone = F.when(text.rlike(_OWN_ZONE), text.try_cast("timestamp"))
     parsed = F.coalesce(F.to_utc_timestamp(wall_clock, zone), own_zone)

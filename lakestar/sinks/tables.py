@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Iterator, Mapping, Sequence
 from contextlib import contextmanager
 from urllib.parse import unquote, urlparse
@@ -13,15 +14,34 @@ from lakestar.operators.conform import copy_columns
 MODES = ("overwrite", "append", "replace_partitions")
 
 
-def _plain(path: str) -> str:
-    return unquote(urlparse(path).path).rstrip("/")
+def _qualified(df: DataFrame, path: str) -> str:
+    """Scheme, place and path; a path without them is below the default file system."""
+    found = urlparse(path)
+    default = urlparse(df.sparkSession._jsc.hadoopConfiguration().get("fs.defaultFS", "file:///"))
+    plain = unquote(found.path)
+    if not plain.startswith("/"):
+        plain = f"{os.getcwd()}/{plain}"
+    return f"{found.scheme or default.scheme}://{found.netloc or ('' if found.scheme else default.netloc)}{os.path.normpath(plain)}"
+
+
+def _roots(df: DataFrame) -> Iterator[str]:
+    """Root paths of the tables that the plan reads: a path per table, not per file."""
+    leaves = df._jdf.queryExecution().analyzed().collectLeaves()
+    for i in range(leaves.size()):
+        leaf = leaves.apply(i)
+        if leaf.getClass().getSimpleName() == "LogicalRelation" and leaf.relation().getClass().getSimpleName() == "HadoopFsRelation":
+            paths = leaf.relation().location().rootPaths()
+            for k in range(paths.size()):
+                yield paths.apply(k).toString()
 
 
 def _refuse_own_input(df: DataFrame, path: str) -> None:
     """Spark would delete the files first and then fail to read them."""
-    target = _plain(path)
-    if any(_plain(f).startswith(target + "/") for f in df.inputFiles()):
-        raise ValueError(f"{path} is read by the very rows that would replace it")
+    target = _qualified(df, path)
+    for root in _roots(df):
+        read = _qualified(df, root)
+        if f"{read}/".startswith(f"{target}/") or f"{target}/".startswith(f"{read}/"):
+            raise ValueError(f"{path} is read by the very rows that would replace it")
 
 
 def write_table(

@@ -1,9 +1,10 @@
-from lakestar.sources.chains import Retry, add_constants, fan_out
+from lakestar.sources.chains import Retry, add_constants, fan_out, plain_client
 from lakestar.sources.pages import (
     PageWalk,
     follow_pages,
     index_pages,
     judge_pages,
+    odd_items,
     typed_records,
     unwrap_envelope,
 )
@@ -19,6 +20,8 @@ __all__ = [
     "index_pages",
     "join_ids",
     "judge_pages",
+    "odd_items",
+    "plain_client",
     "read_entity",
     "request_uri",
     "typed_records",

@@ -54,10 +54,41 @@ def _struct_type(schema: str) -> str:
     return f"STRUCT<{schema.strip()}>"
 
 
-def read_links(body: Column | str, links_field: str = LINKS_FIELD) -> Column:
-    """One reading of a body: struct of its links and, under ``_broken``, the text if it is no page."""
-    schema = f"{links_field} ARRAY<STRUCT<rel: STRING, href: STRING>>, {_BROKEN} STRING"
-    return F.from_json(body, schema, {"columnNameOfCorruptRecord": _BROKEN})
+# One JSON dialect for every reader of bodies: Spark's own would take single quotes as well.
+_JSON = {"allowSingleQuotes": "false"}
+_LINK = "rel STRING, href STRING"
+
+
+def _field(body: Column | str, name: str) -> Column:
+    """The raw text of a field of a JSON object: null if it is missing or null."""
+    return F.from_json(body, f"{name} STRING", _JSON)[name]
+
+
+def _elements(raw: Column) -> Column:
+    """The raw texts of an array's elements."""
+    return F.when(raw.startswith("["), F.from_json(raw, "ARRAY<STRING>", _JSON))
+
+
+def _is_object(raw: Column) -> Column:
+    return F.coalesce(raw.startswith("{"), F.lit(False))
+
+
+def read_links(body: Column | str, links_field: str = LINKS_FIELD, data_field: str = DATA_FIELD) -> Column:
+    """One reading of a body: its links, whether these and the data have a known shape, and the text if
+    it is no JSON object.
+
+    Links have to be an array of objects, data an object or an array; both may be missing or null.
+    """
+    schema = f"{links_field} STRING, {data_field} STRING, {_BROKEN} STRING"
+    read = F.from_json(body, schema, {**_JSON, "columnNameOfCorruptRecord": _BROKEN})
+    raw, data = read[links_field], read[data_field]
+    each = _elements(raw)
+    return F.struct(
+        F.transform(F.filter(each, _is_object), lambda e: F.from_json(e, _LINK, _JSON)).alias(links_field),
+        F.coalesce(raw.isNull() | (raw.startswith("[") & F.forall(each, _is_object)), F.lit(False)).alias("linked"),
+        (data.isNull() | data.startswith("[") | data.startswith("{")).alias("shaped"),
+        (read.isNull() | read[_BROKEN].isNotNull()).alias(_BROKEN),
+    )
 
 
 def next_link(read: Column, links_field: str = LINKS_FIELD) -> Column:
@@ -75,44 +106,54 @@ def unwrap_envelope(
 ) -> DataFrame:
     """One row per item of each page, with the carried columns first (default: all but the body).
 
-    The data field may hold an array or a lone object, which counts as one item; an empty array or
-    a missing field gives no rows. Arrays are read in one pass; only pages without one are read
-    again as an object. ``failfast`` stops at an item value of the wrong type.
+    The data field may hold an array or a lone object, which counts as one item; an empty array or a
+    missing field gives no rows. Elements that are no object are left out, see :func:`odd_items`.
+    Arrays of objects alone are read in one pass; other pages are read again, element by element.
+    ``failfast`` stops at an item value of the wrong type.
     """
-    carry = [c for c in pages.columns if c != body_col] if carry is None else list(carry)
-    item = _struct_type(item_schema)
-    many = F.from_json(body_col, f"{data_field} ARRAY<{item}>")[data_field]
-    if mode == "failfast":
-        # An object where an array is declared must not stop the job, so the shape is looked at first.
-        shape = F.from_json(body_col, f"{data_field} STRING")[data_field]
-        options = {"mode": "FAILFAST"}
-        many = F.when(
-            shape.startswith("["),
-            F.from_json(body_col, f"{data_field} ARRAY<{item}>", options)[data_field],
-        )
-        lone = F.when(
-            shape.startswith("{"), F.from_json(body_col, f"{data_field} {item}", options)[data_field]
-        )
-    elif mode == "permissive":
-        lone = F.from_json(body_col, f"{data_field} {item}")[data_field]
-    else:
+    if mode not in ("permissive", "failfast"):
         raise ValueError(f"mode must be 'permissive' or 'failfast', not {mode!r}")
+    carry = [c for c in pages.columns if c != body_col] if carry is None else list(carry)
+    item, options = _struct_type(item_schema), {**_JSON, "mode": mode.upper()}
+    raw = _field(body_col, data_field)
+    texts = F.when(_is_object(raw), F.array(raw)).otherwise(F.filter(_elements(raw), _is_object))
+    slowly = F.transform(texts, lambda text: F.from_json(text, item, options))
+    if mode == "failfast":  # a shape that isn't declared must not stop the job
+        read = pages.select(*carry, slowly.alias("_items"))
+        return read.select(*carry, F.explode("_items").alias("_item")).select(*carry, "_item.*")
+    many = F.from_json(body_col, f"{data_field} ARRAY<{item}>", _JSON)[data_field]
     read = pages.select(*carry, body_col, many.alias("_many"))
-    items = F.when(F.col("_many").isNotNull(), F.col("_many")).otherwise(F.filter(F.array(lone), lambda i: i.isNotNull()))
+    items = F.when(F.col("_many").isNotNull(), F.filter("_many", lambda i: i.isNotNull())).otherwise(slowly)
     return read.select(*carry, F.explode(items).alias("_item")).select(*carry, "_item.*")
 
 
+def odd_items(
+    pages: DataFrame, body_col: str, data_field: str = DATA_FIELD, carry: Sequence[str] | None = None
+) -> DataFrame:
+    """The elements that :func:`unwrap_envelope` leaves out: carried columns, ``position`` and ``text``."""
+    carry = [c for c in pages.columns if c != body_col] if carry is None else list(carry)
+    each = pages.select(*carry, F.posexplode(_elements(_field(body_col, data_field))).alias("position", "text"))
+    return each.filter(~_is_object(F.col("text")))
+
+
 def page_verdict(status: Column, body: Column, read: Column) -> Column:
-    """``ok``, ``end`` (not found: a silent end of the chain), ``status`` or ``unreadable``."""
-    readable = (F.length(F.trim(body)) > 0) & read[_BROKEN].isNull()
+    """``ok``, ``end`` (not found: a silent end of the chain), or what is wrong: ``status``,
+    ``unreadable`` (no JSON object), ``shape`` (data neither object nor array) or ``link``."""
+    readable = (F.length(F.trim(body)) > 0) & ~read[_BROKEN]
     return (
         F.when(status == STATUS_NOT_FOUND, "end")
         .when(status.isNull() | (status >= FIRST_ERROR_STATUS), "status")
-        .when(readable, "ok")
-        .otherwise("unreadable")
+        .when(~F.coalesce(readable, F.lit(False)), "unreadable")
+        .when(~read["shaped"], "shape")
+        .when(~read["linked"], "link")
+        .otherwise("ok")
     )
 
 
+#: Verdicts that send a page to quarantine.
+REJECTED = ("status", "unreadable", "shape", "link", "missing", "no address")
+
+
 def _check_policy(on_error: str) -> None:
     if on_error not in ("quarantine", "fail", "stop"):
         raise ValueError(f"on_error must be 'quarantine', 'fail' or 'stop', not {on_error!r}")
@@ -134,8 +175,11 @@ def judge_pages(landed: DataFrame, on_error: str = "quarantine") -> PageWalk:
     """
     _check_policy(on_error)
     read = landed.withColumn("_read", read_links("body"))
-    judged = read.withColumn("reason", page_verdict(F.col("status"), F.col("body"), F.col("_read"))).drop("_read")
-    rejected = judged.filter(F.col("reason").isin("status", "unreadable")).drop("body")
+    reason = page_verdict(F.col("status"), F.col("body"), F.col("_read"))
+    if "uri" in landed.columns:
+        reason = F.when(F.col("uri").isNull(), "no address").otherwise(reason)
+    judged = read.withColumn("reason", reason).drop("_read")
+    rejected = judged.filter(F.col("reason").isin(*REJECTED)).drop("body")
     return _apply_policy(judged.filter("reason = 'ok'").drop("reason"), rejected, on_error)
 
 
@@ -168,9 +212,9 @@ def follow_pages(
     """All pages in reach of each start by ``next`` links, numbered by ``page_no`` from 0.
 
     ``starts`` (a set of rows) holds the first address in ``uri_col`` and any columns to carry along.
-    A chain ends at a page without ``next``, at status 404 (silently), at a failed, unreadable or
-    missing page (rejected, see :func:`judge_pages`), after ``max_pages``, or when it comes back to a
-    page it has seen.
+    A chain ends at a page without ``next``, at status 404 (silently), at a page that is rejected
+    (see :func:`page_verdict`; also ``missing`` ones, and starts with ``no address``), after
+    ``max_pages``, or when it comes back to a page it has seen.
 
     The walk doubles its stride: round k knows where 2^k links lead from every page, so a chain of n
     pages takes log2(n) rounds, each a join on addresses without bodies. Bodies are read once to
@@ -214,10 +258,11 @@ def follow_pages(
     verdicts = index.found.df.select(F.col("uri").alias("_uri"), "status", "reason")
     judged = look_up(reach.df, verdicts, "uri", "_uri", "left", index.found)
     shown = [*identity, "page_no", "uri", "status"]
-    visited = judged.select(*shown, F.coalesce("reason", F.lit("missing")).alias("reason"))
+    lost = F.when(F.col("uri").isNull(), "no address").otherwise("missing")
+    visited = judged.select(*shown, F.coalesce("reason", lost).alias("reason"))
     if index.found.size_bytes > max_broadcast_bytes:
         visited = store(visited, "visited").df
-    rejected = visited.filter(F.col("reason").isin("status", "unreadable", "missing"))
+    rejected = visited.filter(F.col("reason").isin(*REJECTED))
     wanted = visited.filter("reason = 'ok'").select(*shown)
     bodies = index.pages.select(F.col("uri").alias("_uri"), "body")
     wanted_size = replace(reach, size_bytes=reach.size_bytes + reach.rows * STATUS_BYTES)
