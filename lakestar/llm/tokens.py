@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from array import array
 from functools import lru_cache
+from operator import attrgetter
 
 import regex
 from tokenizers import Tokenizer, pre_tokenizers
 
 #: Pieces a worker remembers in each of two generations; a piece beyond them is encoded again.
-REMEMBERED = 400_000
+REMEMBERED = 600_000
 #: Marks that never join the letters before them.
 ENDS = ".,;:!?"
 #: White space, as ``str.isspace`` has it.
@@ -43,6 +44,8 @@ class Encoder(dict):
         super().__init__()
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
+        self.model = self.tokenizer.model
+        self.model._resize_cache(0)  # stretches are remembered here
         self.older: dict[str, bytes] = {}
         self.letters = _byte_letters()
         self.blank = chr(self.letters[32])
@@ -78,7 +81,7 @@ class Encoder(dict):
             spelled = token.replace(" ", self.blank)
         else:
             spelled = token.encode("utf-8", "replace").decode("latin-1").translate(self.letters)
-        return array("I", [t.id for t in self.tokenizer.model.tokenize(spelled)]).tobytes()
+        return array("I", map(_ID, self.model.tokenize(spelled))).tobytes()
 
     def encode(self, text: str) -> bytes:
         if not text:
@@ -92,6 +95,7 @@ class Encoder(dict):
         return b"".join([self._merge(first), *map(self.__getitem__, rest)])
 
 
+_ID = attrgetter("id")
 _CUT = regex.compile(r"(?<=\S) (?=\S)")
 
 
