@@ -452,8 +452,8 @@ def overwrite_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def partitioned_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "round-trip")
-    spent = silver.silver_expense(proxies.expenses(spark, sf_dir))
-    write_table(spent, path, partition_copies=MONTHS, options={"compression": "snappy"})
+    spent = silver.silver_expense(proxies.expenses(spark, sf_dir), by=list(MONTHS.values()))
+    write_table(spent, path, partition_copies=MONTHS, options={"compression": "snappy"}, rebalance=False)
     return _shown(spark.read.parquet(path))
 
 
@@ -692,9 +692,8 @@ def star_publish(spark: SparkSession, sf_dir: str) -> DataFrame:
     write_table(silver.silver_legislature(proxies.legislatures(spark, sf_dir)), f"{root}/silver/legislature_data")
     write_table(silver.silver_party(proxies.parties(spark, sf_dir)), f"{root}/silver/parties_data")
     write_table(silver.silver_deputy(proxies.deputies(spark, sf_dir)), f"{root}/silver/deputies_data")
-    write_table(
-        silver.silver_expense(proxies.expenses(spark, sf_dir)), f"{root}/silver/expenses_data", partition_copies=MONTHS
-    )
+    spent = silver.silver_expense(proxies.expenses(spark, sf_dir), by=list(MONTHS.values()))
+    write_table(spent, f"{root}/silver/expenses_data", partition_copies=MONTHS, rebalance=False)
     star = gold.publish_star(spark, f"{root}/silver", f"{root}/gold", cast="lenient")
     shown = {
         "legislature": list(gold.LEGISLATURE_COLUMNS),

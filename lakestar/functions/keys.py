@@ -14,15 +14,17 @@ VALUE_TOKEN = "v"
 ESCAPE = "\\"
 
 
-def _token(col: Column) -> Column:
+def _token(col: Column, escape: bool = True) -> Column:
     text = col.cast("string")
-    for mark in (ESCAPE, SEPARATOR):
+    for mark in (ESCAPE, SEPARATOR) if escape else ():
         text = F.replace(text, F.lit(mark), F.lit(ESCAPE + mark))
     return F.coalesce(F.concat(F.lit(VALUE_TOKEN), text), F.lit(NULL_TOKEN))
 
 
-def content_text(columns: Sequence[str | Column], nulls: str = "token") -> Column:
-    """The columns as one text.
+def content_text(
+    columns: Sequence[str | Column], nulls: str = "token", plain: Sequence[bool] | None = None
+) -> Column:
+    """The columns as one text; ``plain`` marks those that cannot hold a separator, such as numbers.
 
     ``skip`` leaves nulls out, so rows that differ only in where the null stands share a text.
     ``token`` marks nulls and escapes the separator: different rows always differ.
@@ -31,10 +33,12 @@ def content_text(columns: Sequence[str | Column], nulls: str = "token") -> Colum
     if nulls == "skip":
         return F.concat_ws(SEPARATOR, *[c.cast("string") for c in cols])
     if nulls == "token":
-        return F.concat_ws(SEPARATOR, *[_token(c) for c in cols])
+        return F.concat_ws(SEPARATOR, *[_token(c, not p) for c, p in zip(cols, plain or [False] * len(cols))])
     raise ValueError(f"nulls must be 'skip' or 'token', not {nulls!r}")
 
 
-def content_hash(columns: Sequence[str | Column], nulls: str = "token") -> Column:
+def content_hash(
+    columns: Sequence[str | Column], nulls: str = "token", plain: Sequence[bool] | None = None
+) -> Column:
     """SHA-256, in hex, of :func:`content_text`. Cast floating point to decimal beforehand."""
-    return F.sha2(content_text(columns, nulls), 256)
+    return F.sha2(content_text(columns, nulls, plain), 256)

@@ -3,10 +3,16 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lakestar.session import materialize
+
+#: Rows of a table's partition that one task writes.
+ROWS_PER_FILE = 5_000_000
+
 
 def dedupe(
     df: DataFrame,
@@ -31,6 +37,25 @@ def dedupe(
     return kept.select(*[F.col(c) if c in keys else F.col(f"_kept.row.{c}") for c in df.columns])
 
 
+def dedupe_by(df: DataFrame, by: Sequence[str], rows_per_file: int = ROWS_PER_FILE) -> DataFrame:
+    """Whole-row distinct, laid out for a write partitioned ``by`` some columns: one shuffle for both.
+
+    Rows meet by these columns and a bucket of the row's hash, so copies of a row meet as well. Values
+    with more than ``rows_per_file`` rows get more buckets; only the sizes of values are counted
+    beforehand, a pass over ``by`` alone, and broadcast: one row per partition of the table.
+    """
+    spread = F.lit(0)
+    counted = df.groupBy(*by).agg(F.count(F.lit(1)).alias("_n"))
+    sizes = materialize(counted.filter(F.col("_n") > rows_per_file), "sizes").toDF(*[f"_by_{i}" for i in range(len(by))], "_n")
+    placed = df
+    if sizes.take(1):
+        same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_by_{i}")) for i, c in enumerate(by)])
+        placed = df.join(F.broadcast(sizes), same, "left")
+        spread = F.pmod(F.xxhash64(*df.columns), F.coalesce(F.ceil(F.col("_n") / F.lit(rows_per_file)), F.lit(1)))
+    placed = placed.select(*df.columns, spread.cast("bigint").alias("_spread")).repartition(*by, "_spread")
+    return placed.dropDuplicates().drop("_spread")
+
+
 def collect_distinct(df: DataFrame, keys: Sequence[str], column: str, out: str) -> DataFrame:
     """Per key the sorted array of the distinct non-null values of ``column``.
 

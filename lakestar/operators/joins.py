@@ -4,19 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakestar.session import Stored, row_width
+from lakestar.session import Stored, row_width, store
 
 MAX_BROADCAST_BYTES = 64 * 1024 * 1024
-# At most this many keys are salted, the most frequent first, so that their list can be broadcast;
-# keys beyond it are joined all the same and left to adaptive skew handling.
-HOT_KEYS = 100_000
 # A key with more rows than this is spread over several tasks.
 ROWS_PER_TASK = 1_000_000
-MAX_SALTS = 4096
 
 
 @dataclass(frozen=True)
@@ -64,8 +61,9 @@ def lookup_join(
     """``left`` with the columns of ``right`` (column names must differ), ``how`` left or inner.
 
     ``on`` maps left key -> right key. ``right`` is broadcast only if a measurement of the very rows
-    stays within ``max_broadcast_bytes`` (``profile``: one made already). Beyond it both sides are shuffled, and the most frequent
-    left keys (null included) are spread over salts, with their lookup rows repeated per salt.
+    stays within ``max_broadcast_bytes`` (``profile``: one made already). Beyond it both sides are
+    shuffled, and frequent left keys are spread over salts, with their lookup rows repeated per salt.
+    Rows whose key holds a null match nothing unless ``null_safe``: they are spread without counting.
     ``hot_from`` is a cheaper frame to count the left keys in, such as ``left`` before earlier joins.
     """
     if how not in ("left", "inner"):
@@ -78,10 +76,10 @@ def lookup_join(
 
 
 def hot_keys(df: DataFrame, keys: list[str], rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
-    """The keys with more than ``rows_per_task`` rows, at most ``HOT_KEYS``, and their salt count."""
+    """The keys with more than ``rows_per_task`` rows, and as many salts as that takes."""
     counted = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    top = counted.filter(F.col("_n") > rows_per_task).orderBy(F.desc("_n")).limit(HOT_KEYS)
-    salts = F.least(F.ceil(F.col("_n") / F.lit(rows_per_task)), F.lit(MAX_SALTS)).cast("int")
+    top = counted.filter(F.col("_n") > rows_per_task)
+    salts = F.ceil(F.col("_n") / F.lit(rows_per_task)).cast("bigint")
     return top.select(*[F.col(k).alias(f"_hot_{i}") for i, k in enumerate(keys)], salts.alias("_salts"))
 
 
@@ -94,8 +92,15 @@ def salted_join(
     rows_per_task: int = ROWS_PER_TASK,
     hot_from: DataFrame | None = None,
 ) -> DataFrame:
-    """The shuffled form of :func:`lookup_join`, for a right side that is known to be large."""
-    hot = F.broadcast(hot_keys(left if hot_from is None else hot_from, list(on), rows_per_task))
+    """The shuffled form of :func:`lookup_join`, for a right side that is known to be large.
+
+    The list of frequent keys is stored and measured; too large a list is joined by a shuffle.
+    """
+    counted = left if hot_from is None else hot_from
+    if not null_safe:
+        counted = counted.dropna(subset=list(on))
+    listed = store(hot_keys(counted, list(on), rows_per_task), "hot-keys")
+    hot = F.broadcast(listed.df) if listed.size_bytes <= MAX_BROADCAST_BYTES else listed.df
 
     def marked(df: DataFrame, keys: list[str]) -> DataFrame:
         condition = F.lit(True)
@@ -105,9 +110,13 @@ def salted_join(
 
     # The salt depends on the row and the task only: a task that is run again salts alike, and
     # copies of one row from different tasks still part.
-    spread = F.pmod(F.xxhash64(*left.columns) + F.spark_partition_id(), F.coalesce("_salts", F.lit(1)))
-    salted_left = marked(left, list(on)).withColumn("_salt", spread.cast("int")).drop("_salts")
-    repeats = F.sequence(F.lit(0), F.coalesce("_salts", F.lit(1)) - 1)
+    own = F.xxhash64(*left.columns) + F.spark_partition_id()
+    spread = F.pmod(own, F.coalesce("_salts", F.lit(1).cast("bigint")))
+    if not null_safe:
+        matchless = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in on])
+        spread = F.when(matchless, own).otherwise(spread)
+    salted_left = marked(left, list(on)).withColumn("_salt", spread).drop("_salts")
+    repeats = F.sequence(F.lit(0).cast("bigint"), F.coalesce("_salts", F.lit(1)) - 1)
     salted_right = (
         marked(right, list(on.values())).withColumn("_salt", F.explode(repeats)).drop("_salts")
     )

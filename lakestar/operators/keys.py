@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lakestar.functions.keys import content_hash, content_text
+from lakestar.session import store
 
+ROWS_PER_BUCKET = 1_000_000
 METHODS = ("dense", "hash", "hash64", "monotonic", "uuid")
 
 
@@ -19,18 +21,24 @@ def key_parts(df: DataFrame, columns: Sequence[str]) -> list[Column]:
     return [F.unix_micros(c) if isinstance(types[c], T.TimestampType) else F.col(c) for c in columns]
 
 
+def _plain(df: DataFrame, columns: Sequence[str]) -> list[bool]:
+    """Which columns' texts hold neither separator nor escape."""
+    types = {f.name: f.dataType for f in df.schema.fields}
+    return [isinstance(types[c], (T.NumericType, T.BooleanType, T.DateType, T.TimestampType)) for c in columns]
+
+
 def content_key(df: DataFrame, columns: Sequence[str], out: str, nulls: str = "skip") -> DataFrame:
     """Adds the SHA-256 of the columns; see :func:`lakestar.functions.content_text` for ``nulls``."""
-    return df.withColumn(out, content_hash(key_parts(df, columns), nulls))
+    return df.withColumn(out, content_hash(key_parts(df, columns), nulls, _plain(df, columns)))
 
 
 def key_expression(df: DataFrame, natural: Sequence[str], method: str, seed: int = 0) -> Column:
     """A surrogate key that is a function of the row's own natural key: needs no join to look up."""
-    parts = key_parts(df, natural)
+    parts, plain = key_parts(df, natural), _plain(df, natural)
     if method == "hash":
-        return content_hash(parts, "token")
+        return content_hash(parts, "token", plain)
     if method == "hash64":
-        return F.xxhash64(F.lit(seed), content_text(parts, "token"))
+        return F.xxhash64(F.lit(seed), content_text(parts, "token", plain))
     raise ValueError(f"{method!r} is not a function of the row")
 
 
@@ -39,7 +47,7 @@ def surrogate_key(
     out: str,
     method: str = "dense",
     natural: Sequence[str] | None = None,
-    buckets: int = 1024,
+    buckets: int | None = None,
     seed: int = 0,
 ) -> DataFrame:
     """Adds a surrogate key.
@@ -51,6 +59,8 @@ def surrogate_key(
     ``uuid``       random; differs between evaluations
 
     ``natural`` (default: all columns) must be unique for ``dense`` and the hashes to be so.
+    ``seed`` changes ``hash64``, should two natural keys share one. ``dense`` sorts in ``buckets``,
+    by default as many as keep ``ROWS_PER_BUCKET`` rows each.
     """
     natural = list(natural or df.columns)
     if method == "dense":
@@ -64,13 +74,16 @@ def surrogate_key(
     raise ValueError(f"method must be one of {METHODS}, not {method!r}")
 
 
-def _dense(df: DataFrame, out: str, natural: list[str], buckets: int) -> DataFrame:
+def _dense(df: DataFrame, out: str, natural: list[str], buckets: int | None) -> DataFrame:
     """Rank inside a hash bucket plus the number of rows in the buckets before it.
 
-    Only the bucket sizes, at most ``buckets`` rows, are brought together and broadcast; the rows
-    are sorted bucket by bucket in parallel.
+    The rows are stored once, which tells how many there are and lets sizes and ranks read the same
+    rows. Only the bucket sizes, one per ``ROWS_PER_BUCKET`` rows, are brought together and
+    broadcast; the rows are sorted bucket by bucket in parallel.
     """
-    bucketed = df.withColumn("_bucket", F.pmod(F.xxhash64(*natural), F.lit(buckets)))
+    kept = store(df, "dense")
+    buckets = buckets or max(1, -(-kept.rows // ROWS_PER_BUCKET))
+    bucketed = kept.df.withColumn("_bucket", F.pmod(F.xxhash64(*natural), F.lit(buckets)))
     before = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
         bucketed.groupBy("_bucket")
@@ -79,8 +92,6 @@ def _dense(df: DataFrame, out: str, natural: list[str], buckets: int) -> DataFra
     )
     inside = Window.partitionBy("_bucket").orderBy(*natural)
     ranked = bucketed.withColumn("_rank", F.row_number().over(inside))
-    # Every bucket has an offset. A left join keeps both branches alike down to the shuffle below them
-    # (an inner one would filter nulls in one of them), so that shuffle runs once for both.
     return ranked.join(F.broadcast(offsets), "_bucket", "left").select(
         *df.columns, (F.col("_offset") + F.col("_rank")).alias(out)
     )

@@ -35,13 +35,14 @@ def dimension_from_fact(
     sk: str,
     method: str = "dense",
     keys: Sequence[str] | None = None,
+    seed: int = 0,
 ) -> DataFrame:
     """The distinct values of ``columns`` in the fact source, nulls kept, plus a surrogate key.
 
     ``keys`` keeps one row per key subset instead (the first by the remaining columns).
     """
     rows = dedupe(df.select(*columns), keys)
-    return surrogate_key(rows, sk, method, list(keys or columns))
+    return surrogate_key(rows, sk, method, list(keys or columns), seed=seed)
 
 
 @dataclass(frozen=True)

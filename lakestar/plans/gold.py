@@ -8,6 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 
 from lakestar.operators.conform import Spec
+from lakestar.operators.dedupe import dedupe
 from lakestar.operators.keys import assert_unique_key, surrogate_key
 from lakestar.operators.star import (
     Computed,
@@ -76,18 +77,30 @@ def dim_deputy(silver: DataFrame) -> DataFrame:
     return dimension(silver, silver.columns, ["id"], "sk_deputado")
 
 
-def dim_expense_type(expenses: DataFrame, method: str = "hash64") -> DataFrame:
-    return dimension_from_fact(expenses, EXPENSE_TYPE_KEY, "sk_tipo_despesa", method)
+def dim_expense_type(expenses: DataFrame, method: str = "hash64", seed: int = 0) -> DataFrame:
+    return dimension_from_fact(expenses, EXPENSE_TYPE_KEY, "sk_tipo_despesa", method, seed=seed)
 
 
-def dim_provider(expenses: DataFrame, method: str = "hash64") -> DataFrame:
-    return dimension_from_fact(expenses, PROVIDER_KEY, "sk_fornecedor", method)
+def dim_provider(expenses: DataFrame, method: str = "hash64", seed: int = 0) -> DataFrame:
+    return dimension_from_fact(expenses, PROVIDER_KEY, "sk_fornecedor", method, seed=seed)
 
 
 def linked_deputies(
-    deputies: DataFrame, legislatures: DataFrame, parties: DataFrame, keep_natural: bool = True
+    deputies: DataFrame,
+    legislatures: DataFrame,
+    parties: DataFrame,
+    keep_natural: bool = True,
+    shared_codes: str = "refuse",
 ) -> DataFrame:
-    """Deputies with the keys of their last legislature and party (null where there is none)."""
+    """Deputies with the keys of their last legislature and party (null where there is none).
+
+    ``shared_codes`` says what happens if two parties have one code: ``refuse`` stops, ``first`` links
+    to the first of them by its other columns.
+    """
+    if shared_codes not in ("refuse", "first"):
+        raise ValueError(f"shared_codes must be 'refuse' or 'first', not {shared_codes!r}")
+    if shared_codes == "first":
+        parties = dedupe(parties, ["sigla"], [c for c in PARTY_COLUMNS if c != "sigla"])
     links = [
         Lookup(legislatures, {"id_ultima_legislatura": "id"}, "sk_legislatura"),
         Lookup(parties, {"ultima_filiacao": "sigla"}, "sk_partido"),
@@ -103,6 +116,8 @@ def fact_links(
     providers: DataFrame | None = None,
     null_safe_provider: bool = False,
     cast: str = "strict",
+    method: str = "hash64",
+    seed: int = 0,
 ) -> list[ForeignKey]:
     """The foreign keys of the expense fact.
 
@@ -111,12 +126,12 @@ def fact_links(
     they are looked up.
     """
     type_link = (
-        Computed(EXPENSE_TYPE_KEY, "sk_tipo_despesa")
+        Computed(EXPENSE_TYPE_KEY, "sk_tipo_despesa", method, seed)
         if expense_types is None
         else Lookup(expense_types, {c: c for c in EXPENSE_TYPE_KEY}, "sk_tipo_despesa")
     )
     provider_link = (
-        Computed(PROVIDER_KEY, "sk_fornecedor", null_safe=null_safe_provider)
+        Computed(PROVIDER_KEY, "sk_fornecedor", method, seed, null_safe_provider)
         if providers is None
         else Lookup(providers, {c: c for c in PROVIDER_KEY}, "sk_fornecedor", null_safe=null_safe_provider)
     )
@@ -152,9 +167,18 @@ def publish_star(
     fmt: str = "parquet",
     cast: str = "strict",
     options: Mapping[str, str] | None = None,
+    silver_fmt: str = "parquet",
+    method: str = "hash64",
+    seed: int = 0,
+    null_safe_provider: bool = False,
+    shared_codes: str = "refuse",
 ) -> Published:
     """Writes five dimensions and the fact.
 
+    ``method`` and ``seed`` make the keys of expense types and providers, in the dimension and in the
+    fact alike: should two natural keys share a 64-bit hash, which stops the job, another seed or the
+    method ``hash`` gets out of it.
+
     Every dimension is written and read back before something refers to it, so foreign keys point at
     the very rows that are stored, and lookups are planned from real file sizes.
     """
@@ -165,19 +189,22 @@ def publish_star(
         write_table(df, paths[name], fmt=fmt, options=options, **layout)
         return published.read(spark, name)
 
-    expenses = read_entity(spark, silver_root, "expenses_data", EXPENSE_COLUMNS)
-    legislatures = store("legislature", dim_legislature(read_entity(spark, silver_root, "legislature_data")))
-    parties = store("party", dim_party(read_entity(spark, silver_root, "parties_data")))
-    plain_deputies = dim_deputy(read_entity(spark, silver_root, "deputies_data"))
-    deputies = store("deputy", linked_deputies(plain_deputies, legislatures, parties))
+    expenses = read_entity(spark, silver_root, "expenses_data", EXPENSE_COLUMNS, silver_fmt)
+    legislatures = store("legislature", dim_legislature(read_entity(spark, silver_root, "legislature_data", fmt=silver_fmt)))
+    parties = store("party", dim_party(read_entity(spark, silver_root, "parties_data", fmt=silver_fmt)))
+    plain_deputies = dim_deputy(read_entity(spark, silver_root, "deputies_data", fmt=silver_fmt))
+    deputies = store("deputy", linked_deputies(plain_deputies, legislatures, parties, shared_codes=shared_codes))
     for name, df, sk in (
-        ("expense_type", dim_expense_type(expenses), "sk_tipo_despesa"),
-        ("provider", dim_provider(expenses), "sk_fornecedor"),
+        ("expense_type", dim_expense_type(expenses, method, seed), "sk_tipo_despesa"),
+        ("provider", dim_provider(expenses, method, seed), "sk_fornecedor"),
     ):
         assert_unique_key(store(name, df), [sk])
-    # Silver lies by month already. As long as no link moves the fact it is read, keyed and written in
-    # one pass without a shuffle; else its rows are brought together by month again.
-    links = fact_links(deputies, legislatures, cast=cast)
+    # As long as no link moves the fact it is read, keyed and written in one pass without a shuffle: the
+    # silver step of this library lays its files out by month, so months stay in few files. Silver that
+    # lies otherwise gives the same rows in more files. A link that shuffles brings months together again.
+    links = fact_links(
+        deputies, legislatures, null_safe_provider=null_safe_provider, cast=cast, method=method, seed=seed
+    )
     store(
         "fact",
         fact_expense(expenses, links),

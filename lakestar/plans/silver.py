@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from lakestar.functions.parsing import parse_date, parse_timestamp
 from lakestar.operators.conform import Spec, conform
-from lakestar.operators.dedupe import dedupe
+from lakestar.operators.dedupe import dedupe, dedupe_by
 
 # The output columns of each entity and the fields they come from.
 
@@ -23,9 +23,11 @@ def legislature_spec(strict: bool = False) -> Spec:
 
 
 def party_spec() -> Spec:
-    plain = {name: name for name in ("id", "sigla", "nome", "urlLogo")}
     return {
-        **plain,
+        "id": "id",
+        "sigla": "sigla",
+        "nome": "nome",
+        "urlLogo": "urlLogo",
         "situacao": "status.situacao",
         "total_membros": "status.totalMembros",
         "total_posse": "status.totalPosse",
@@ -51,11 +53,19 @@ def deputy_spec(strict: bool = False) -> Spec:
 
 
 def expense_spec(zone: str = "UTC-3", strict: bool = False) -> Spec:
-    plain = ("tipoDespesa", "valorDocumento", "urlDocumento", "nomeFornecedor", "cnpjCpfFornecedor")
     return {
-        **{name: name for name in ("id_deputado", "id_legislatura", "ano", "mes")},
+        "id_deputado": "id_deputado",
+        "id_legislatura": "id_legislatura",
+        "ano": "ano",
+        "mes": "mes",
         "data_documento": parse_timestamp("dataDocumento", zone, strict),
-        **{name: name for name in (*plain, "valorLiquido", "valorGlosa")},
+        "tipoDespesa": "tipoDespesa",
+        "valorDocumento": "valorDocumento",
+        "urlDocumento": "urlDocumento",
+        "nomeFornecedor": "nomeFornecedor",
+        "cnpjCpfFornecedor": "cnpjCpfFornecedor",
+        "valorLiquido": "valorLiquido",
+        "valorGlosa": "valorGlosa",
     }
 
 
@@ -91,6 +101,13 @@ def silver_deputy(bronze: DataFrame, strict: bool = False) -> DataFrame:
     return conform_entity(bronze, deputy_spec(strict), ["id"], ["ultimoStatus.data"], latest=True)
 
 
-def silver_expense(bronze: DataFrame, zone: str = "UTC-3", strict: bool = False) -> DataFrame:
-    """Distinct expenses. Equal receipts of one deputy collapse, as the document number is not kept."""
-    return conform_entity(bronze, expense_spec(zone, strict))
+def silver_expense(
+    bronze: DataFrame, zone: str = "UTC-3", strict: bool = False, by: Sequence[str] | None = None
+) -> DataFrame:
+    """Distinct expenses. Equal receipts of one deputy collapse, as the document number is not kept.
+
+    ``by`` lays the rows out for a write partitioned by these columns, without a shuffle more.
+    """
+    if by is None:
+        return conform_entity(bronze, expense_spec(zone, strict))
+    return dedupe_by(conform(bronze, expense_spec(zone, strict)), by)

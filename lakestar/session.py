@@ -94,4 +94,6 @@ def store(df: DataFrame, label: str) -> Stored:
 
 def materialize(df: DataFrame, label: str) -> DataFrame:
     """:func:`store` without the figures."""
-    return store(df, label).df
+    path = scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

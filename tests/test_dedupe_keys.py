@@ -1,10 +1,12 @@
 import random
+from hashlib import sha256
 
 import pytest
 from pyspark.sql import functions as F
 
 from conftest import plan, rows
 from lakestar.operators import assert_unique_key, collect_distinct, content_key, dedupe, surrogate_key
+from lakestar.operators.dedupe import dedupe_by
 
 
 def test_whole_rows_nulls_equal(spark):
@@ -55,8 +57,35 @@ def test_dense_brings_together_only_bucket_sizes(spark):
     assert text.count("SinglePartition") == 1
     single = text.index("SinglePartition")
     assert "count(1)" in text[single : single + 200]
-    keyed.collect()
-    assert "ReusedExchange" in plan(keyed)
+    assert "Range" not in text and text.count("FileScan") <= 2  # the source was read once, when it was stored
+
+
+def test_dense_takes_more_buckets_for_more_rows(spark, monkeypatch):
+    from lakestar.operators import keys
+
+    monkeypatch.setattr(keys, "ROWS_PER_BUCKET", 10)
+    found = surrogate_key(spark.range(95).selectExpr("id * 3 as k"), "sk", "dense", ["k"])
+    assert sorted(r.sk for r in found.collect()) == list(range(1, 96))
+
+
+def test_numbers_need_no_escape_and_texts_do(spark):
+    df = spark.createDataFrame([("a|b", 1, 2.5, None), ("a", 1, 2.5, None)], "a string, b int, c double, d string")
+    text = plan(content_key(df, ["a", "b", "d"], "k", "token"))
+    assert text.count("replace(") == 4
+    keys = [r.k for r in content_key(df, ["a", "b", "d"], "k", "token").collect()]
+    assert keys == [sha256(t.encode()).hexdigest() for t in (r"va\|b|v1|n", "va|v1|n")]
+
+
+def test_one_shuffle_for_distinct_and_layout(spark, lake, with_conf):
+    df = spark.range(3000).selectExpr("id % 1000 as v", "cast(id % 7 as int) as m", "if(id % 5 = 0, null, 1) as y")
+    df = df.unionByName(df).union(spark.range(2000).selectExpr("id as v", "99 as m", "1 as y"))
+    for rows_per_file in (100, 10_000):
+        found = dedupe_by(df, ["y", "m"], rows_per_file)
+        assert plan(found).count("Exchange hashpartitioning") == 1
+        assert rows(found) == rows(df.distinct())
+    with_conf(spark__sql__adaptive__enabled="false")
+    hot = dedupe_by(df, ["y", "m"], 100).where("m = 99").groupBy(F.spark_partition_id()).count().collect()
+    assert len(hot) > 3
 
 
 def test_hash_keys(spark, with_conf):

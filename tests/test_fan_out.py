@@ -1,10 +1,12 @@
 import json
 import os
+import sys
 import time
 from contextlib import contextmanager
 from pathlib import Path
 
 import pytest
+from pyspark import cloudpickle
 
 from checks.openers import no_pause, open_numbered_page
 from conftest import rows
@@ -102,6 +104,9 @@ def test_pages_land_once(spark, lake):
     assert walk.pages.count() == 1
 
 
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+
 class Counted:
     """A client that writes down when it is opened and closed."""
 

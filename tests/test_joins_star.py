@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from conftest import plan, rows
 from lakestar.operators import (
+    assert_unique_key,
     Computed,
     Lookup,
     build_fact,
@@ -18,6 +19,7 @@ from lakestar.operators import (
     resolve_fk,
 )
 from lakestar.operators.joins import hot_keys, salted_join
+from lakestar.plans import gold
 
 
 def _skewed(spark, n=3000):
@@ -140,3 +142,42 @@ def test_join_members_is_inner(spark):
     details = spark.createDataFrame([(1, "x"), (2, "y")], "id int, v string")
     members = spark.createDataFrame([(1, [5, 6])], "key int, of array<int>")
     assert rows(join_members(details, members, {"id": "key"})) == [(1, "x", 1, [5, 6])]
+
+
+def test_another_seed_gets_out_of_a_collision(spark, lake, monkeypatch):
+    """Two providers share a hash under seed 0; dimension and fact follow the seed together."""
+    from lakestar.operators import keys, star
+
+    real = keys.key_expression
+
+    def colliding(df, natural, method, seed=0):
+        return F.lit(7).cast("bigint") if method == "hash64" and seed == 0 else real(df, natural, method, seed)
+
+    monkeypatch.setattr(keys, "key_expression", colliding)
+    monkeypatch.setattr(star, "key_expression", colliding)
+    expenses = spark.createDataFrame([("a", "1"), ("b", "2")], "nomeFornecedor string, cnpjCpfFornecedor string")
+    with pytest.raises(ValueError, match="is not a key"):
+        assert_unique_key(gold.dim_provider(expenses), ["sk_fornecedor"])
+    dim = assert_unique_key(gold.dim_provider(expenses, seed=1), ["sk_fornecedor"])
+    link = star.Computed(gold.PROVIDER_KEY, "sk_fornecedor", seed=1)
+    assert rows(link.resolve(expenses).select("nomeFornecedor", "sk_fornecedor")) == rows(dim.select("nomeFornecedor", "sk_fornecedor"))
+
+
+def test_keys_with_nulls_are_spread_without_salts(spark, with_conf):
+    with_conf(spark__sql__adaptive__enabled="false", spark__sql__autoBroadcastJoinThreshold="-1")
+    left = spark.range(8000, numPartitions=8).selectExpr("cast(null as string) as a", "id")
+    right = spark.createDataFrame([("same", 1)], "x string, sk int")
+    joined = salted_join(left, right, {"a": "x"}, rows_per_task=10**9)
+    sizes = [r["count"] for r in joined.groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(sizes) == 8000 and max(sizes) < 2000
+
+
+def test_parties_that_share_a_code(spark):
+    parties = spark.createDataFrame([("A", "z", 1), ("A", "b", 2), ("B", "c", 3)], "sigla string, nome string, sk_partido int")
+    parties = parties.selectExpr("sigla", "nome", "null as situacao", "null as total_membros", "null as total_posse", "null as urlLogo", "sk_partido")
+    legislatures = spark.createDataFrame([(57, 1)], "id int, sk_legislatura int")
+    people = spark.createDataFrame([(1, 57, "A"), (2, 57, "B")], "id int, id_ultima_legislatura int, ultima_filiacao string")
+    with pytest.raises(ValueError, match="rows per"):
+        gold.linked_deputies(people, legislatures, parties).collect()
+    linked = gold.linked_deputies(people, legislatures, parties, shared_codes="first")
+    assert rows(linked.select("id", "sk_partido")) == [(1, 2), (2, 3)]

@@ -1,13 +1,15 @@
 """The jobs from landed pages to the star schema."""
 
 import pytest
+from pyspark.sql import functions as F
 
-from checks import proxies
+from checks import openers, proxies
 from conftest import SF, plan, rows
 from lakestar.plans import gold, silver
-from lakestar.plans.ingest import landed_pages
+from lakestar.plans.ingest import ingest_details, landed_pages, list_starts, requested_pages
 from lakestar.plans.pipeline import STEPS, Config, build_gold, build_silver, ingest_expenses, run_all
 from lakestar.session import materialize, scratch_path
+from lakestar.sources import schemas
 
 TABLES = ("legislature", "party", "deputy", "expense_type", "provider", "fact")
 
@@ -109,3 +111,19 @@ def test_scans_read_only_what_they_need(spark, config, star):
 def test_silver_deputy_does_not_depend_on_partitioning(spark):
     people = proxies.deputies(spark, SF)
     assert rows(silver.silver_deputy(people.repartition(3))) == rows(silver.silver_deputy(people.repartition(7)))
+
+
+def test_both_page_sources_and_any_chunks_give_the_same_parties(spark):
+    shelf = scratch_path(spark, "shelf")
+    found = []
+    for per_request in (2, 100):
+        pages = materialize(proxies.party_pages(spark, SF, 10, per_request), "pages")
+        bucket = F.pmod(F.crc32(F.col("uri").cast("binary")), F.lit(openers.SHELVES)).cast("int").alias("bucket")
+        pages.select("*", bucket).write.partitionBy("bucket").parquet(f"{shelf}/{per_request}")
+        sources = (landed_pages(pages), requested_pages(openers.Shelf(f"{shelf}/{per_request}"), parallelism=4))
+        starts = list_starts(proxies.legislatures(spark, SF), "api/partidos", "id", 54, "idLegislatura", {"itens": 10}, per_request)
+        for source in sources:
+            path = scratch_path(spark, "parties")
+            ingest_details(starts, source, schemas.PARTY_REFERENCE, schemas.PARTY, path)
+            found.append(rows(spark.read.parquet(path).select("id", "sigla", "nome", "uri")))
+    assert found[0] and all(f == found[0] for f in found)

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from conftest import plan, rows
 from lakestar.session import materialize, shared_dir, store
-from lakestar.sinks import persisted, write_table
+from lakestar.sinks import persisted, tables, write_table
 from lakestar.sources import read_entity
 
 COPIES = {"y1": "y"}
@@ -101,3 +101,19 @@ def test_persisted_releases(spark):
             assert kept.is_cached
             raise RuntimeError
     assert not df.is_cached
+
+
+def test_own_input_is_told_by_whole_paths(spark, lake):
+    write_table(_data(spark), f"{lake}/t/part")
+    read = spark.read.parquet(f"{lake}/t/part")
+    for own in (f"{lake}/t/part", f"file:{lake}/t/part/", f"{lake}/t", f"{lake}/t/other/../part", f"{lake}/t/part/y=1"):
+        with pytest.raises(ValueError, match="is read by"):
+            write_table(read.filter("id > 5").join(_data(spark), "id"), own)
+    write_table(read, f"{lake}/t/party")
+
+
+def test_two_buckets_are_not_one(spark):
+    one = tables._qualified(spark.range(1), "s3a://one/lake/x")
+    assert one != tables._qualified(spark.range(1), "s3a://two/lake/x")
+    assert one == tables._qualified(spark.range(1), "s3a://one/lake/y/../x/")
+    assert tables._qualified(spark.range(1), "/lake/x") == "file:///lake/x"
