@@ -62,6 +62,13 @@ class Stored:
     df: DataFrame
     rows: int
     size_bytes: int
+    path: str = ""
+
+    def drop(self) -> None:
+        """Removes the table; for those that no returned frame reads."""
+        spark = self.df.sparkSession
+        path = spark._jvm.org.apache.hadoop.fs.Path(self.path)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def row_width(df: DataFrame) -> Column:
@@ -89,7 +96,7 @@ def store(df: DataFrame, label: str) -> Stored:
     seen = Observation()
     observed = df.observe(seen, F.count(F.lit(1)).alias("rows"), F.sum(row_width(df)).alias("bytes"))
     observed.write.parquet(path)
-    return Stored(spark.read.schema(df.schema).parquet(path), seen.get["rows"], seen.get["bytes"] or 0)
+    return Stored(spark.read.schema(df.schema).parquet(path), seen.get["rows"], seen.get["bytes"] or 0, path)
 
 
 def materialize(df: DataFrame, label: str) -> DataFrame:

@@ -247,13 +247,19 @@ def follow_pages(
         both = reach.df.unionByName(ahead).groupBy(*identity, "uri")
         grown = store(both.agg(F.min("page_no").alias("page_no")), "reach")
         if grown.rows == reach.rows:
+            grown.drop()
             break
-        reach, length = grown, length * 2
+        reach.drop()
+        reach, length, walked = grown, length * 2, size
         size = store(
             look_up(stride, steps, "target", "_from", "inner", size).select("uri", F.col("_to").alias("target")),
             "links",
         )
         stride = size.df
+        if walked is not index.found:
+            walked.drop()
+    if size is not index.found:
+        size.drop()
 
     verdicts = index.found.df.select(F.col("uri").alias("_uri"), "status", "reason")
     judged = look_up(reach.df, verdicts, "uri", "_uri", "left", index.found)
