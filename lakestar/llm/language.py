@@ -9,6 +9,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -230,22 +231,24 @@ def fit_languages(labelled: DataFrame, sample: int = SAMPLE) -> Model:
     return Model.fit(names, *tables)
 
 
+def _joined(arrays: list[np.ndarray]) -> np.ndarray:
+    return np.concatenate(arrays).astype(np.int32) if arrays else np.zeros(0, dtype=np.int32)
+
+
 def label_text(model: Model, texts: list[str]) -> list[tuple[str, float, list[tuple[int, int, str]]]]:
     """Language, share of the letters in it, and spans of code points, for each text."""
-    found: list[list[tuple[int, Words]]] = []
+    found: list[tuple[np.ndarray, np.ndarray]] = []
     scores: list[np.ndarray] = []
     for text in texts:
-        steps = [(begin, words_of(points)) for begin, points in _steps(_points(text))]
-        found.append([(b, Words(w.begins, w.ends, w.script, w.slots[:0], w.first[:0], w.name[:0])) for b, w in steps])
+        steps = [(begin, words_of(points)) for begin, points in _steps(_points(text))]  # one text's features at a time
+        found.append((_joined([w.begins + b for b, w in steps]), _joined([w.ends + b for b, w in steps])))
         own = [model.scores(w) for _, w in steps]
         scores.append(np.concatenate(own) if own else np.zeros((0, len(model.names)), dtype=np.float32))
     labelled = []
-    for text, steps, path in zip(texts, found, viterbi(scores) if model.names else [np.zeros(0, np.int16)] * len(texts)):
+    for text, (begins, ends), path in zip(texts, found, viterbi(scores) if model.names else [np.zeros(0, np.int16)] * len(texts)):
         if not len(path) or not any(map(str.isalpha, text)):
             labelled.append((UNKNOWN, 0.0, []))
             continue
-        begins = np.concatenate([w.begins + b for b, w in steps])
-        ends = np.concatenate([w.ends + b for b, w in steps])
         weight = np.bincount(path, weights=ends - begins, minlength=len(model.names))
         top = int(weight.argmax())
         turns = np.flatnonzero(np.diff(path)) + 1
@@ -255,22 +258,22 @@ def label_text(model: Model, texts: list[str]) -> list[tuple[str, float, list[tu
     return labelled
 
 
-#: Characters of the texts that are labelled together.
-TOGETHER = 1 << 22
+#: Bytes of the texts that are labelled together.
+TOGETHER = 1 << 20
 
 
 def _label(model: Model):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         span = pa.list_(pa.struct([("begin", pa.int64()), ("end", pa.int64()), ("lang", pa.string())]))
         for batch in batches:
-            texts = batch.column("read").to_pylist()
+            sizes = pc.binary_length(batch.column("read")).to_pylist()
             begin = 0
-            while begin < len(texts):
+            while begin < len(sizes):
                 end, size = begin, 0
-                while end < len(texts) and (end == begin or size < TOGETHER):
-                    size += len(texts[end])
+                while end < len(sizes) and (end == begin or size < TOGETHER):
+                    size += sizes[end]
                     end += 1
-                found = label_text(model, texts[begin:end])
+                found = label_text(model, batch.column("read").slice(begin, end - begin).to_pylist())
                 spans = [[{"begin": a, "end": b, "lang": c} for a, b, c in s] for _, _, s in found]
                 own = batch.slice(begin, end - begin)
                 carried = [n for n in own.schema.names if n != "read"]
