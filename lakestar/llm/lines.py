@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakestar.llm.common import Written
+from lakestar.llm.common import Written, written
 
 #: Sites from which on a line is boilerplate.
 SITES = 5
@@ -29,14 +29,16 @@ def spread_lines(seen: DataFrame, sites: int = SITES) -> DataFrame:
     A site's lines are sketched where they lie and the sketches merged by line; only lines whose
     estimate is near the threshold are counted exactly.
     """
-    sketched = (
+    sketched = written(
         seen.groupBy("a", "b")
         .agg(F.hll_sketch_agg("site", F.lit(REGISTERS)).alias("sketch"))
-        .select("a", "b", F.hll_sketch_estimate("sketch").alias("about"))
+        .select("a", "b", F.hll_sketch_estimate("sketch").alias("about")),
+        "sketched",
     )
     low, high = min(sites - 1, sites * (1 - NEAR)), max(sites + 1, sites * (1 + NEAR))
     near = sketched.where(F.col("about").between(low, high)).select("a", "b")
-    counted = seen.join(near, ["a", "b"], "left_semi").groupBy("a", "b").agg(F.countDistinct("site").alias("n"))
+    apart = seen.select("a", "b", "site").distinct()  # a frequent line is one row per site before it meets
+    counted = apart.join(near, ["a", "b"], "left_semi").groupBy("a", "b").agg(F.count("site").alias("n"))
     return sketched.where(F.col("about") > high).select("a", "b").union(counted.where(F.col("n") >= sites).select("a", "b"))
 
 
@@ -65,11 +67,12 @@ def dedup_lines(docs: DataFrame, sites: int = SITES) -> DataFrame:
     )
     shared = Written(found.df.join(several, ["a", "b"], "left_semi"), "shared")
     found.drop()
-    spread = spread_lines(shared.df, sites)
+    # Stored sides let a join split the rows of a very frequent line over tasks.
+    spread = written(spread_lines(shared.df, sites), "boilerplate")
     at = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "place")
     hits = Written(shared.df.join(spread, ["a", "b"], "left_semi"), "spread")
     shared.drop()
-    first = hits.df.groupBy("a", "b").agg(F.min(at).alias("first"))
+    first = written(hits.df.groupBy("a", "b").agg(F.min(at).alias("first")), "first")
     gone = (
         hits.df.join(first, ["a", "b"])
         .where(~at.eqNullSafe(F.col("first")))
