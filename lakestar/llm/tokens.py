@@ -10,7 +10,7 @@ import regex
 from tokenizers import Tokenizer, pre_tokenizers
 
 #: Pieces a worker remembers in each of two generations; a piece beyond them is encoded again.
-REMEMBERED = 400_000
+REMEMBERED = 200_000
 #: Marks that never join the letters before them.
 ENDS = ".,;:!?"
 #: White space, as ``str.isspace`` has it.
