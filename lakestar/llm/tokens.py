@@ -5,6 +5,7 @@ from __future__ import annotations
 from array import array
 from functools import lru_cache
 from operator import attrgetter
+from sys import byteorder
 
 import regex
 from tokenizers import Tokenizer, pre_tokenizers
@@ -36,14 +37,15 @@ class Encoder(dict):
 
     A pre-token never reaches over a blank that stands between two characters that are no white
     space, so a text is cut there and each distinct stretch is merged once by the library's model
-    and remembered. Two generations bound the memory. Files that aren't plain byte-level BPE are
+    and remembered. Two generations bound the memory. Before that, a text is cut at the added
+    tokens, which are matched as the library does by default; if they take blanks or whole words
+    with them, texts that hold one go to the library. Files that aren't plain byte-level BPE are
     encoded text by text.
     """
 
     def __init__(self, path: str):
         super().__init__()
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
         self.model = self.tokenizer.model
         self.model._resize_cache(0)  # stretches are remembered here
         self.older: dict[str, bytes] = {}
@@ -58,6 +60,10 @@ class Encoder(dict):
             and not kind.add_prefix_space
             and self.tokenizer.normalizer is None
         )
+        added = {i: t for i, t in self.tokenizer.get_added_tokens_decoder().items() if t.content}
+        self.added = {t.content: i.to_bytes(4, byteorder) for i, t in added.items()}
+        self.added_pattern = regex.compile("(" + "|".join(map(regex.escape, sorted(self.added, key=len, reverse=True))) + ")")
+        self.added_bare = not any(t.single_word or t.lstrip or t.rstrip or t.normalized for t in added.values())
 
     def __missing__(self, word: str) -> bytes:
         ids = self.older.get(word)
@@ -86,8 +92,17 @@ class Encoder(dict):
     def encode(self, text: str) -> bytes:
         if not text:
             return b""
-        if not self.by_piece:
+        holds_added = any(map(text.__contains__, self.added))
+        if not self.by_piece or holds_added and not self.added_bare:
             return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
+        if not holds_added:
+            return self._stretches(text)
+        parts = self.added_pattern.split(text)
+        return b"".join(self.added[p] if i % 2 else self._stretches(p) for i, p in enumerate(parts))
+
+    def _stretches(self, text: str) -> bytes:
+        if not text:
+            return b""
         if text[0] == " " or text[-1] == " " or any(w in text and (w + " " in text or " " + w in text) for w in SPACES):
             first, *rest = _CUT.split(text)
         else:
