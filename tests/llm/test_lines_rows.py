@@ -1,0 +1,31 @@
+"""Rows without an id, and rows that repeat one, are judged one by one."""
+
+import pytest
+from odd import odd_docs
+
+from lakestar.llm.lines import dedup_lines
+
+
+@pytest.mark.parametrize("doc_id", [None, 7])
+def test_rows_of_one_id_keep_their_own_lines(spark, doc_id):
+    texts = ["all\nown a\nall", "own b\nall\nown c", "own d\nown e\nown f", "all", "own g\n all \nown h"]
+    rows = [(doc_id, t, None, f"s{i}", i) for i, t in enumerate(texts)]
+    out = dedup_lines(odd_docs(spark, rows).repartition(3), 3).orderBy("n_chars").collect()
+    others = [[line for line in t.split("\n") if line.strip() != "all"] for t in texts]
+    assert [[line for line in r.text.split("\n") if line and line.strip() != "all"] for r in out] == others
+    assert [r.lines for r in out] == [3, 3, 3, 1, 3]
+    assert [r.lines_removed + sum(line.strip() == "all" for line in r.text.split("\n")) for r in out] == [2, 1, 0, 1, 1]
+    assert sum(r.lines_removed for r in out) == 4  # one of the five stays
+
+
+def test_copies_of_a_row_without_an_id_keep_the_same_lines(spark):
+    rows = [(None, "all\nx", None, "a", 1)] * 2 + [(None, "y\nall", None, s, 1) for s in ("b", None)]
+    out = dedup_lines(odd_docs(spark, rows), 3).select("text", "lines_removed").collect()
+    assert sorted(map(tuple, out)) == [("all\nx", 0), ("all\nx", 0), ("y", 1), ("y", 1)]
+
+
+def test_rows_of_null_text_lose_nothing(spark):
+    rows = [(None, None, None, "all", 1), (None, "all", None, None, 2), (None, "all", None, "a", 3), (None, "all", None, "b", 4)]
+    out = dedup_lines(odd_docs(spark, rows), 2).orderBy("n_chars").collect()
+    assert (out[0].text, out[0].lines, out[0].lines_removed) == (None, 0, 0)
+    assert sum(r.lines_removed for r in out) == 2
