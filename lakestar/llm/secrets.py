@@ -3,13 +3,15 @@
 from __future__ import annotations
 
 import base64
+import codecs
 import hashlib
 import re
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -22,13 +24,20 @@ ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{32,}")
 LEAST = {"assign": 8, "access": 16, "hex": 32}
 
-#: A layer that grows beyond so many bytes isn't unwrapped further; ``unread`` counts such layers.
-LAYER = 1 << 26
+#: Packed bytes read at a time, bytes unpacked at a time, and characters from which on a layer is cut
+#: into pieces, where nothing that is looked for can reach over the cut.
+STEP = 1 << 14
+CHUNK = 1 << 20
+PIECE = 1 << 22
+#: Layers remembered besides those being unwrapped; one that was forgotten is scanned again.
+REMEMBERED = 100_000
 
 _URL = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
 _UNICODE = re.compile(r"\\u\{([0-9A-Fa-f]{1,6})\}|\\u([0-9A-Fa-f]{4})|\\x([0-9A-Fa-f]{2})")
 _BASE64 = re.compile(r"[A-Za-z0-9+/_-]{16,}={0,2}")
-_PACKED = (b"\x1f\x8b", b"\x78\x01", b"\x78\x5e", b"\x78\x9c", b"\x78\xda")
+_GZIP, _ZLIB = b"\x1f\x8b\x08", (b"\x78\x01", b"\x78\x5e", b"\x78\x9c", b"\x78\xda")
+# The last place of a text that no match, escape or base64 run, in this layer or deeper, reaches over.
+_BREAK = regex.compile(r"""(?r)[^\x09\x0a\x0d\x20-\x7e]|[\x20\n.,;:=)\]>"'`!?][^\s%\\]{0,14}\n""")
 
 
 def base_spans(text: str) -> list[tuple[int, int, int]]:
@@ -43,18 +52,26 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
 
 
 class Layer:
-    """A text and, for each of its characters, the span of the document that it came from."""
+    """A text and, for each of its characters or all of them, the span of the document it came from."""
 
-    def __init__(self, text: str, begins: np.ndarray | None = None, ends: np.ndarray | None = None):
+    def __init__(self, text: str, begins: np.ndarray | int | None = None, ends: np.ndarray | int | None = None):
         self.text, self.begins, self.ends = text, begins, ends
 
     def span(self, start: int, end: int) -> tuple[int, int]:
         if self.begins is None:
             return start, end
+        if isinstance(self.begins, int):
+            return self.begins, self.ends
         return int(self.begins[start:end].min()), int(self.ends[start:end].max())
 
     def _replaced(self, made: list[tuple[int, int, str]]) -> Layer:
         """Stretches of this text replaced; all characters of a replacement map to its stretch."""
+        if isinstance(self.begins, int):
+            kept, at = [], 0
+            for start, end, new in made:
+                kept += [self.text[at:start], new]
+                at = end
+            return Layer("".join([*kept, self.text[at:]]), self.begins, self.ends)
         begins = np.arange(len(self.text)) if self.begins is None else self.begins
         ends = np.arange(1, len(self.text) + 1) if self.ends is None else self.ends
         text, low, high, at = [], [], [], 0
@@ -66,16 +83,16 @@ class Layer:
         text.append(self.text[at:])
         return Layer("".join(text), np.concatenate([*low, begins[at:]]), np.concatenate([*high, ends[at:]]))
 
-    def unwrapped(self) -> tuple[list[Layer], int]:
-        """The layers right below this one, and how many couldn't be read for their size."""
-        text, found, unread = self.text, [], 0
+    def unwrapped(self, broken: set) -> Iterator[Layer]:
+        """The layers right below this one, large ones in pieces; ``broken`` takes streams that end early."""
+        text = self.text
         if "%" in text:
             made = []
             for m in _URL.finditer(text):
                 raw = bytes.fromhex(m[0].replace("%", ""))
                 made += _characters(raw, m.start(), 3)
             if made:
-                found.append(self._replaced(made))
+                yield self._replaced(made)
         if "\\u" in text or "\\x" in text:
             made = []
             for m in _UNICODE.finditer(text):
@@ -83,25 +100,177 @@ class Layer:
                 if point < 0x110000:
                     made.append((m.start(), m.end(), chr(point)))
             if made:
-                found.append(self._replaced(_joined(made)))
+                yield self._replaced(_joined(made))
         for m in _BASE64.finditer(text):
             raw = _unbase64(m[0])
-            if raw is None:
+            if raw is not None:
+                yield from self._read(raw, m.start(), m.end(), broken)
+
+    def _read(self, raw: bytes, start: int, end: int, broken: set) -> Iterator[Layer]:
+        low, high = self.span(start, end)
+        for piece in _pieces(_unpacked(raw, (low, high), broken)()):
+            yield Layer(piece, low, high)
+
+
+class _Bytes:
+    """Chunks as one stream that can be looked into ahead; what was just taken can be put back."""
+
+    def __init__(self, chunks: Iterable[bytes]):
+        self.chunks, self.held, self.at = iter(chunks), b"", 0
+
+    def peek(self, n: int) -> bytes:
+        if self.at + n > len(self.held):
+            got, size = [self.held[self.at :]], len(self.held) - self.at
+            while size < n and (more := next(self.chunks, None)) is not None:
+                got.append(more)
+                size += len(more)
+            self.held, self.at = b"".join(got), 0
+        return self.held[self.at : self.at + n]
+
+    def take(self, n: int) -> bytes:
+        out = self.peek(n)
+        self.at += len(out)
+        return out
+
+    def back(self, n: int) -> None:
+        self.at -= n
+
+    def after(self, mark: bytes, start: int) -> int:
+        """The place behind the mark, 0 if there is none."""
+        n = start + STEP
+        while True:
+            seen = self.peek(n)
+            at = seen.find(mark, start)
+            if at >= 0 or len(seen) < n:
+                return at + len(mark) if at >= 0 else 0
+            n *= 2
+
+
+def _header(source: _Bytes) -> int:
+    """Bytes before the deflated data of a gzip or zlib stream, 0 if none starts here."""
+    head = source.peek(10)
+    if head[:2] in _ZLIB:
+        return 2
+    if head[:3] != _GZIP or len(head) < 10:
+        return 0
+    at = 10
+    if head[3] & 4:
+        at += 2 + int.from_bytes(source.peek(12)[10:], "little")
+    for flag in (8, 16):
+        if head[3] & flag:
+            at = source.after(b"\0", at)
+            if not at:
+                return 0
+    return at + (head[3] & 2)
+
+
+def _fed(unpacker, data: bytes) -> Iterator[bytes]:
+    """What comes out for ``data``, piece by piece, and up to a fault if there is one."""
+    while True:
+        before = unpacker.copy()
+        try:
+            out = unpacker.decompress(data, CHUNK)
+        except zlib.error:
+            yield _until_fault(before, data)
+            raise
+        data = unpacker.unconsumed_tail
+        if out:
+            yield out
+        if unpacker.eof or (not data and len(out) < CHUNK):
+            return
+
+
+def _until_fault(unpacker, data: bytes) -> bytes:
+    out, at = [], 0
+    try:
+        while True:
+            new = unpacker.decompress(data[at : at + 1], 1)
+            if not new and at >= len(data):
+                break
+            at += not unpacker.unconsumed_tail
+            out.append(new)
+    except zlib.error:
+        pass
+    return b"".join(out)
+
+
+def _inflated(chunks: Iterable[bytes], name: tuple, broken: set) -> Iterator[bytes]:
+    """The bytes of all members of a stream, check sums aside, and as they are those of no member.
+
+    Of a member with a fault all that comes before the fault is given; the next member is looked for
+    behind it.
+    """
+    source, member = _Bytes(chunks), 0
+    while source.peek(1):
+        begin = _header(source)
+        if begin:
+            start, unpacker, some, fault = source.take(begin), zlib.decompressobj(-15), False, False
+            fed, data = [start], b""
+            try:
+                while not unpacker.eof and (data := source.take(STEP)):
+                    if not some:
+                        fed.append(data)
+                    for out in _fed(unpacker, data):
+                        some = some or bool(out)
+                        yield out
+            except zlib.error:
+                fault = True
+            member += 1
+            if unpacker.eof:
+                source.back(len(unpacker.unused_data))
+                source.take(4 if begin == 2 else 8)
                 continue
-            packed: set[bytes] = set()  # a stream may hold itself
-            while raw[:2] in _PACKED and raw not in packed:
-                packed.add(raw)
-                unpacker = zlib.decompressobj(47)
-                try:
-                    raw = unpacker.decompress(raw, LAYER)
-                except zlib.error:
-                    break
-                unread += bool(unpacker.unconsumed_tail)
-            inner = _text(raw)
-            if inner:
-                low, high = self.span(m.start(), m.end())
-                found.append(Layer(inner, np.full(len(inner), low), np.full(len(inner), high)))
-        return found, unread
+            if some or begin > 2:
+                broken.add((*name, member))
+            if fault:
+                source.back(len(data))
+            if not some:
+                yield start if fault else b"".join(fed)
+        seen = source.peek(STEP)
+        at = seen.find(_GZIP, 0 if begin else 1)
+        if at < 0:
+            at = len(seen) if len(seen) < STEP else len(seen) - len(_GZIP) + 1
+        if at:
+            yield source.take(at)
+
+
+def _unpacked(raw: bytes, name: tuple, broken: set) -> Callable[[], Iterator[bytes]]:
+    """Reads what bytes are packed from, to any depth; a stream may hold itself."""
+    met: set[bytes] = set()
+
+    def read() -> Iterator[bytes]:
+        return iter([raw])
+
+    def deeper(read: Callable[[], Iterator[bytes]], depth: int) -> Callable[[], Iterator[bytes]]:
+        return lambda: _inflated(read(), (*name, depth), broken)
+
+    while _header(_Bytes(read())):
+        mark = hashlib.blake2b(digest_size=16)
+        for chunk in read():
+            mark.update(chunk)
+        if mark.digest() in met:
+            break
+        met.add(mark.digest())
+        read = deeper(read, len(met))
+    return read
+
+
+def _pieces(chunks: Iterable[bytes]) -> Iterator[str]:
+    """Bytes as text; those that aren't UTF-8 stay one by one. Text is held up to a place to cut."""
+    decode = codecs.getincrementaldecoder("utf-8")("surrogateescape").decode
+    held, size = [], 0
+    for chunk in chunks:
+        text = decode(chunk)
+        held.append(text)
+        size += len(text)
+        cut = _BREAK.search(text) if size >= PIECE else None
+        if cut:
+            yield "".join([*held[:-1], text[: cut.end()]])
+            held = [text[cut.end() :]]
+            size = len(held[0])
+    last = "".join([*held, decode(b"", True)])
+    if last:
+        yield last
 
 
 def _characters(raw: bytes, start: int, width: int) -> list[tuple[int, int, str]]:
@@ -134,35 +303,35 @@ def _unbase64(token: str) -> bytes | None:
     return base64.b64decode(bare + "=" * (-len(bare) % 4))
 
 
-def _text(raw: bytes) -> str | None:
-    """Decoded bytes, if they are text: UTF-8 without control characters other than white space."""
-    try:
-        text = raw.decode("utf-8")
-    except UnicodeDecodeError:
-        return None
-    return text if text and not re.search(r"[\x00-\x08\x0e-\x1f\x7f]", text) else None
-
-
 def scan(text: str) -> tuple[list[tuple[int, int, int]], set[tuple[int, int, int]], int]:
-    """Base spans, all spans (those of deeper layers mapped to the text), layers left unread.
+    """Base spans, all spans (those of deeper layers mapped to the text), streams that end early.
 
-    A worklist holds layers that weren't looked into; a layer whose text and span were met before
+    Layers are unwrapped depth first and piece by piece; a layer whose text and span were met before
     is not entered again, so encodings that give themselves end.
     """
     base = base_spans(text)
-    spans, unread = set(base), 0
-    work, met = [Layer(text)], {(hash(text), 0, len(text))}
+    spans, broken = set(base), set()
+    first = _name(Layer(text))
+    work, met = [(first, Layer(text).unwrapped(broken))], {first}
     while work:
-        inner, missed = work.pop().unwrapped()
-        unread += missed
-        for layer in inner:
-            name = (hashlib.blake2b(layer.text.encode("utf-8", "replace"), digest_size=16).digest(), *layer.span(0, len(layer.text))) if layer.text else None
-            if name is None or name in met:
-                continue
-            met.add(name)
-            spans.update((s, k, e) for (s, e), k in ((layer.span(a, b), k) for a, k, b in base_spans(layer.text)))
-            work.append(layer)
-    return base, spans, unread
+        layer = next(work[-1][1], None)
+        if layer is None:
+            work.pop()
+            continue
+        name = _name(layer)
+        if not layer.text or name in met:
+            continue
+        if len(met) >= REMEMBERED:
+            met = {n for n, _ in work}
+        met.add(name)
+        spans.update((s, k, e) for (s, e), k in ((layer.span(a, b), k) for a, k, b in base_spans(layer.text)))
+        work.append((name, layer.unwrapped(broken)))
+    return base, spans, len(broken)
+
+
+def _name(layer: Layer) -> tuple[bytes, int, int]:
+    said = hashlib.blake2b(layer.text.encode("utf-8", "surrogatepass"), digest_size=16).digest()
+    return (said, *layer.span(0, len(layer.text))) if layer.text else (said, 0, 0)
 
 
 def _told(spans: list[tuple[int, int, int]]) -> str:
@@ -188,7 +357,8 @@ def scan_secrets(docs: DataFrame) -> DataFrame:
 
     Spans are ``kind:start:end`` in code points of the whole text, end exclusive: those of the text
     itself, and those found in URL escapes, Unicode escapes, base64 and what it compresses, to any
-    depth, mapped to the text they came from. Null and empty text give none. Rows are independent,
+    depth and size, mapped to the text they came from. ``unread`` counts compressed streams that end
+    early; what comes before their fault is scanned. Null and empty text give none. Rows are independent,
     so repeated ids and rows change nothing; other columns are ignored; an empty table gives no row.
     """
     own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
