@@ -8,6 +8,7 @@ import hashlib
 import re
 import zlib
 from collections.abc import Callable, Iterable, Iterator
+from urllib.parse import unquote_to_bytes
 
 import numpy as np
 import pyarrow as pa
@@ -34,7 +35,22 @@ REMEMBERED = 100_000
 
 _URL = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
 _UNICODE = re.compile(r"\\u\{([0-9A-Fa-f]{1,6})\}|\\u([0-9A-Fa-f]{4})|\\x([0-9A-Fa-f]{2})")
-_BASE64 = re.compile(r"[A-Za-z0-9+/_-]{16,}={0,2}")
+# Lines of base64 letters, of which the last may be short.
+_BASE64 = re.compile(
+    r"[A-Za-z0-9+/_-]{16,}(?:\r?\n[A-Za-z0-9+/_-]{16,})*(?:\r?\n[A-Za-z0-9+/_-]{1,15}(?=[=\r\n\"'<)\]]|\Z))?={0,2}"
+)
+_LINE = re.compile(r"[^\r\n]+")
+# Compressed bytes as escapes with the letters between them that stand for themselves; in quotes also blanks and the other quote.
+_URL_PACKED = re.compile(
+    r"(?:%1[fF]%8[bB]|(?:x|%78)%(?:01|5[eE]|9[cC]|[dD][aA]))(?:%[0-9A-Fa-f]{2}|[A-Za-z0-9_.~/+!*'()-])*"
+)
+_ESCAPE = re.compile(r"""\\(?:(?:x|u00)([0-9A-Fa-f]{2})|([abfnrtv0\\'"]))""")
+_SAYS = dict(zip("abfnrtv0", "\a\b\f\n\r\t\v\0"))
+_X_START = r"(?:\\(?:x|u00)1[fF]\\(?:x|u00)8[bB]|(?:x|\\(?:x|u00)78)(?:\\(?:x|u00)(?:01|5[eE]|9[cC]|[dD][aA])|\^(?=[^\\\s]{0,8}\\x)))"
+_X_REST = r"""\\(?:x|u00)[0-9A-Fa-f]{2}|\\[abfnrtv0\\'"]|[!#-&(-\[\]-~]"""
+_X_PACKED = re.compile(
+    rf"""(?<='){_X_START}(?:{_X_REST}|[\x20"])*|(?<="){_X_START}(?:{_X_REST}|[\x20'])*|{_X_START}(?:{_X_REST})*"""
+)
 _GZIP, _ZLIB = b"\x1f\x8b\x08", (b"\x78\x01", b"\x78\x5e", b"\x78\x9c", b"\x78\xda")
 # The last place of a text that no match, escape or base64 run, in this layer or deeper, reaches over.
 _BREAK = regex.compile(r"""(?r)[^\x09\x0a\x0d\x20-\x7e]|[\x20\n.,;:=)\]>"'`!?][^\s%\\]{0,14}\n""")
@@ -101,17 +117,40 @@ class Layer:
                     made.append((m.start(), m.end(), chr(point)))
             if made:
                 yield self._replaced(_joined(made))
+        for m in _URL_PACKED.finditer(text) if "%" in text else ():
+            for token in {m[0], m[0].replace("+", " ")}:  # forms write a blank so
+                yield from self._read(unquote_to_bytes(token), m.start(), m.end(), broken, False)
+        for m in _X_PACKED.finditer(text) if "\\u" in text or "\\x" in text else ():
+            raw = _ESCAPE.sub(lambda e: chr(int(e[1], 16)) if e[1] else _SAYS.get(e[2], e[2]), m[0]).encode("latin-1")
+            yield from self._read(raw, m.start(), m.end(), broken, False)
         for m in _BASE64.finditer(text):
-            raw = _unbase64(m[0])
-            if raw is not None:
-                yield from self._read(raw, m.start(), m.end(), broken)
+            for start, end, token in _runs(m):
+                yield from self._read(_unbase64(token), start, end, broken)
 
-    def _read(self, raw: bytes, start: int, end: int, broken: set) -> Iterator[Layer]:
+    def _read(self, raw: bytes, start: int, end: int, broken: set, plain: bool = True) -> Iterator[Layer]:
+        if not plain and not _header(_Bytes([raw])):
+            return
         low, high = self.span(start, end)
-        for piece in _pieces(_unpacked(raw, (low, high), broken)()):
+        for piece in _pieces(_unpacked(raw, (low, high), broken, plain)()):
             yield Layer(piece, low, high)
 
 
+def _runs(m: re.Match) -> Iterator[tuple[int, int, str]]:
+    """``start, end, letters``: each long line, all lines, and lines of one width with the shorter one behind them."""
+    lines = [(m.start() + n.start(), m.start() + n.end(), n[0]) for n in _LINE.finditer(m[0])]
+    yield from (line for line in lines if len(line[2].rstrip("=")) >= 16)
+    blocks, at = [lines], 0
+    while at < len(lines):
+        n = at + 1
+        while n < len(lines) and len(lines[n][2]) == len(lines[at][2]):
+            n += 1
+        blocks.append(lines[at : n + (n < len(lines) and len(lines[n][2]) < len(lines[at][2]))])
+        at = n
+    for i, block in enumerate(blocks):
+        if len(block) > 1 and (i == 0 or len(block) < len(lines)):
+            yield block[0][0], block[-1][1], "".join(letters for _, _, letters in block)
+
+
 class _Bytes:
     """Chunks as one stream that can be looked into ahead; what was just taken can be put back."""
 
@@ -194,8 +233,8 @@ def _until_fault(unpacker, data: bytes) -> bytes:
     return b"".join(out)
 
 
-def _inflated(chunks: Iterable[bytes], name: tuple, broken: set) -> Iterator[bytes]:
-    """The bytes of all members of a stream, check sums aside, and as they are those of no member.
+def _inflated(chunks: Iterable[bytes], name: tuple, broken: set, plain: bool = True) -> Iterator[bytes]:
+    """The bytes of all members of a stream, check sums aside, and if ``plain`` as they are those of no member.
 
     Of a member with a fault all that comes before the fault is given; the next member is looked for
     behind it.
@@ -224,17 +263,18 @@ def _inflated(chunks: Iterable[bytes], name: tuple, broken: set) -> Iterator[byt
                 broken.add((*name, member))
             if fault:
                 source.back(len(data))
-            if not some:
+            if not some and plain:
                 yield start if fault else b"".join(fed)
         seen = source.peek(STEP)
         at = seen.find(_GZIP, 0 if begin else 1)
         if at < 0:
             at = len(seen) if len(seen) < STEP else len(seen) - len(_GZIP) + 1
-        if at:
-            yield source.take(at)
+        passed = source.take(at)
+        if passed and plain:
+            yield passed
 
 
-def _unpacked(raw: bytes, name: tuple, broken: set) -> Callable[[], Iterator[bytes]]:
+def _unpacked(raw: bytes, name: tuple, broken: set, plain: bool) -> Callable[[], Iterator[bytes]]:
     """Reads what bytes are packed from, to any depth; a stream may hold itself."""
     met: set[bytes] = set()
 
@@ -242,7 +282,7 @@ def _unpacked(raw: bytes, name: tuple, broken: set) -> Callable[[], Iterator[byt
         return iter([raw])
 
     def deeper(read: Callable[[], Iterator[bytes]], depth: int) -> Callable[[], Iterator[bytes]]:
-        return lambda: _inflated(read(), (*name, depth), broken)
+        return lambda: _inflated(read(), (*name, depth), broken, plain or depth > 1)
 
     while _header(_Bytes(read())):
         mark = hashlib.blake2b(digest_size=16)
@@ -296,10 +336,9 @@ def _joined(made: list[tuple[int, int, str]]) -> list[tuple[int, int, str]]:
     return [(s, e, "\ufffd" if 0xD800 <= ord(c) < 0xE000 else c) for s, e, c in out]
 
 
-def _unbase64(token: str) -> bytes | None:
+def _unbase64(token: str) -> bytes:
     bare = token.rstrip("=").replace("-", "+").replace("_", "/")
-    if len(bare) % 4 == 1:
-        return None
+    bare = bare[: len(bare) - (len(bare) % 4 == 1)]  # one letter more holds no byte
     return base64.b64decode(bare + "=" * (-len(bare) % 4))
 
 
