@@ -8,8 +8,6 @@ from pyspark.sql import SparkSession
 
 sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
 
-SF = "/root/testdata/sf0.001"
-
 
 @pytest.fixture(scope="session")
 def spark():
@@ -50,11 +48,3 @@ def with_conf(spark):
     yield apply
     for name, value in before.items():
         spark.conf.unset(name) if value is None else spark.conf.set(name, value)
-
-
-def rows(df):
-    return sorted((tuple(r) for r in df.collect()), key=repr)
-
-
-def plan(df) -> str:
-    return df._sc._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "simple")

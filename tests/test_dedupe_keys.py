@@ -4,7 +4,7 @@ from hashlib import sha256
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import plan, rows
+from support import plan, rows
 from lakestar.operators import assert_unique_key, collect_distinct, content_key, dedupe, surrogate_key
 from lakestar.operators.dedupe import dedupe_by
 

@@ -9,7 +9,7 @@ import pytest
 from pyspark import cloudpickle
 
 from checks.openers import no_pause, open_numbered_page
-from conftest import rows
+from support import rows
 from lakestar.plans.ingest import requested_pages
 from lakestar.sources import Retry, add_constants, fan_out, judge_pages, plain_client, unwrap_envelope
 from lakestar.sources.chains import _following, _request

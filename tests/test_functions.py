@@ -6,7 +6,7 @@ import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
-from conftest import rows
+from support import rows
 from lakestar.functions import cast_key, content_hash, content_text, parse_date, parse_timestamp
 
 NOON = 1709294400  # 2024-03-01T12:00:00Z

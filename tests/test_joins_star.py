@@ -4,7 +4,7 @@ import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
-from conftest import plan, rows
+from support import plan, rows
 from lakestar.operators import (
     assert_unique_key,
     Computed,

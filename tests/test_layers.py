@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from checks import openers, proxies
-from conftest import SF, plan, rows
+from support import SF, plan, rows
 from lakestar.plans import gold, silver
 from lakestar.plans.ingest import ingest_details, landed_pages, list_starts, requested_pages
 from lakestar.plans.pipeline import STEPS, Config, build_gold, build_silver, ingest_expenses, run_all

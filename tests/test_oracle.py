@@ -5,7 +5,7 @@ import pytest
 from checks.compare import difference, oracle
 from checks.oracles import ORACLES
 from checks.queries import QUERIES
-from conftest import SF
+from support import SF
 
 
 @pytest.fixture(scope="module")

@@ -6,7 +6,7 @@ from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
-from conftest import rows
+from support import rows
 from lakestar.sources import follow_pages, index_pages, join_ids, judge_pages, request_uri, typed_records, unwrap_envelope
 
 ITEM = "a INT, b STRING, m DECIMAL(18,2)"

@@ -3,7 +3,7 @@ from types import SimpleNamespace
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import plan, rows
+from support import plan, rows
 from lakestar.session import materialize, shared_dir, store
 from lakestar.sinks import persisted, tables, write_table
 from lakestar.sources import read_entity
