@@ -13,7 +13,6 @@ from lakestar.llm.wavelet import WaveletMatrix, from_file, read_tokens, to_file,
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
 TOKENIZER = Tokenizer.from_file(PATH)
-TOKENIZER.encode_special_tokens = True
 
 
 def ids_of(text, end):
