@@ -11,10 +11,13 @@ from pyspark.sql import functions as F
 from lakestar.llm.chat import chat_round_trip
 from lakestar.llm.embeddings import embedding_duplicates
 from lakestar.llm.exact import exact_duplicates
+from lakestar.llm.fingerprints import fingerprints
+from lakestar.llm.infill import fill_in_middle, restored
 from lakestar.llm.language import fit_languages, held_out, identify_languages
 from lakestar.llm.lines import dedup_lines
 from lakestar.llm.minhash import near_duplicates
 from lakestar.llm.mixing import mix
+from lakestar.llm.negatives import hard_negatives
 from lakestar.llm.packing import pack
 from lakestar.llm.secrets import scan_secrets
 from lakestar.llm.wavelet import token_files
@@ -72,6 +75,22 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup_lines(table(spark, sf_dir, "documents")).select("doc_id", "text", "lines", "lines_removed")
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.col("label").cast("long")
+    moved = F.when(F.col("vec_id") % 7 == 0, (label + 1) % 10).otherwise(label)
+    return hard_negatives(table(spark, sf_dir, "embeddings").withColumn("label", moved), F.col("vec_id") % 50 == 0)
+
+
+def op12_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints(table(spark, sf_dir, "documents"))
+
+
+def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    back = restored(fill_in_middle(table(spark, sf_dir, "documents")))
+    digests = [F.sha2(c, 256).alias(f"{c}_sha256") for c in ("output", "restored")]
+    return back.select("doc_id", "n", "form", "prefix_chars", "middle_chars", *digests)
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline  # imports this module
 
@@ -91,6 +110,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_exact_dedup,
         op9_secret_scan,
         op10_line_dedup,
+        op11_hard_negatives,
+        op12_fingerprints,
+        op13_fill_in_middle,
         pipeline,
     )
 }
@@ -174,5 +196,52 @@ rest as (
 select c.doc_id, case when c.text is not null then coalesce(r.text, '') end as text,
        cast(case when c.text is null then 0 else len(c.l) end as bigint) as lines, cast(r.n as bigint) as lines_removed
 from cut c join rest r on r.doc_id = c.doc_id
+""",
+    "op11_hard_negatives": """
+with v as (
+    select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
+           list_transform(embedding, lambda x: floor(256 * x::double)) as e
+    from embeddings
+    where label is not null and embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+),
+s as (
+    select a.vec_id as anchor_id, b.vec_id as other, a.label = b.label as same, cast(list_inner_product(a.e, b.e) as bigint) as score
+    from v a join v b on a.vec_id <> b.vec_id where a.vec_id % 50 = 0
+),
+p as (
+    select anchor_id, other as positive_id, score as positive_score from s where same
+    qualify row_number() over (partition by anchor_id order by score desc, other) <= 5
+),
+n as (
+    select anchor_id, positive_id, other as negative_id, positive_score, score as negative_score,
+           row_number() over (partition by anchor_id, positive_id order by score desc, other) as rank
+    from p join s using (anchor_id)
+    where not same and 50 * positive_score <= 100 * score and 100 * score <= 95 * positive_score
+)
+select anchor_id, positive_id, cast(rank as int) as rank, negative_id, positive_score, negative_score from n where rank <= 3
+""",
+    "op13_fill_in_middle": r"""
+with d as (
+    select doc_id, coalesce(text, '') as t, sha256('42:' || coalesce(cast(doc_id as varchar), '')) as h,
+           regexp_extract_all(coalesce(text, ''), '[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+') as u
+    from documents
+),
+h as (
+    select *, len(u) as n, cast('0x' || h[1:8] as bigint) % (len(u) + 1) as a, cast('0x' || h[9:16] as bigint) % (len(u) + 1) as b,
+           case when t = '' or regexp_matches(t, '<[PSM]>') or cast('0x' || h[17:24] as bigint) % 100 >= 50 then 'plain'
+                when cast('0x' || h[25:32] as bigint) % 100 < 80 then 'spm' else 'psm' end as form
+    from d
+),
+p as (
+    select doc_id, n, form, t, array_to_string(u[1:least(a, b)], '') as prefix,
+           array_to_string(u[least(a, b) + 1:greatest(a, b)], '') as middle, array_to_string(u[greatest(a, b) + 1:], '') as suffix
+    from h
+)
+select doc_id, n, form, case when form <> 'plain' then length(prefix) end as prefix_chars,
+       case when form <> 'plain' then length(middle) end as middle_chars,
+       sha256(case form when 'plain' then t when 'psm' then '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+                        else '<S>' || suffix || '<P>' || prefix || '<M>' || middle end) as output_sha256,
+       sha256(t) as restored_sha256
+from p
 """,
 }

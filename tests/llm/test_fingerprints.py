@@ -1,0 +1,105 @@
+import hashlib
+import random
+
+import numpy as np
+import pytest
+from odd import LONG, ROWS, odd_docs
+
+from lakestar.llm.fingerprints import FRACTION, compared, edited, fingerprint, fingerprints, hashes, likeness, merged, sketch
+from lakestar.llm.shingles import shingles, word_hashes
+
+
+def brute(rows):
+    """The columns of each row, whose next one is found in the sorted table."""
+    keyed = sorted(rows, key=lambda r: (r[0] is None, -(r[0] or 0)))
+    found = []
+    for row, following in zip(keyed, [*keyed[1:], *keyed[:1]]):
+        text, other = row[1] or "", following[1] or ""
+        found.append((row[0], *compared(text, sketch(text), other, sketch(other))))
+    return found
+
+
+def jaccard(a, b):
+    a, b = (set(shingles(word_hashes(t)).tolist()) for t in (a, b))
+    return len(a & b) / len(a | b) if a | b else 1.0
+
+
+def words(seed, n):
+    draw = random.Random(seed)
+    return " ".join(f"w{draw.randrange(5000)}" for _ in range(n))
+
+
+@pytest.mark.parametrize("chars", [1 << 25, 300])
+def test_whole_table(spark, chars):
+    rows = [(i * 3 % 401, words(i, i % 90), None, None, None) for i in range(401)]
+    out = fingerprints(odd_docs(spark, rows).repartition(5), chars=chars)
+    assert sorted(map(tuple, out.collect())) == sorted(brute(rows))
+
+
+def test_odd_rows(spark):
+    """Ids that repeat have equal texts here but for null ids, whose order only the hash knows."""
+    rows = [r for r in ROWS if r[0] is not None or r[1] is None]
+    assert sorted(map(tuple, fingerprints(odd_docs(spark, rows), chars=50).collect()), key=repr) == sorted(brute(rows), key=repr)
+    everything = fingerprints(odd_docs(spark)).collect()
+    assert sorted((r.doc_id, r.n_chars, r.fingerprint) for r in everything if r.doc_id) == sorted(
+        (r[0], len(r[1] or ""), fingerprint(sketch(r[1]))) for r in ROWS if r[0])
+    assert len(everything) == len(ROWS)
+
+
+def test_many_rows_without_id_or_of_one_id(spark):
+    rows = [(None if i % 3 == 0 else 7, words(i, 20), None, None, None) for i in range(300)] + [(7, "same", None, None, None)] * 200
+    out = fingerprints(odd_docs(spark, rows), chars=200).collect()
+    assert sorted(r.fingerprint for r in out) == sorted(fingerprint(sketch(r[1])) for r in rows)
+    assert len({r.edited_sha256 for r in out}) > 290
+
+
+def test_one_row_and_none(spark):
+    assert fingerprints(odd_docs(spark, [])).collect() == []
+    (row,) = fingerprints(odd_docs(spark, [(1, "abcdef", None, None, None)])).collect()
+    assert row.edited_sha256 == hashlib.sha256(b"abcdab").hexdigest() and row.near_next == 1.0
+
+
+def test_edited_text():
+    assert edited("abcdefgh", "日本語") == "abcdef日本" and edited("abcdef", "x") == "abcdx" and edited("ab", "xyz") == "ab"
+    assert edited("abc", "") == "ab" and edited("", "x") == ""
+
+
+def test_likeness_is_near_the_sets_own():
+    errors = []
+    for seed in range(60):
+        a, b = words(seed, 3000), words(seed + 1000, 3000)
+        changed = edited(a, b)
+        near, held = likeness(sketch(a), sketch(changed))
+        errors.append((near - jaccard(a, changed), held - 2 / 3))
+        assert likeness(sketch(a), sketch(b))[0] < 0.02
+    errors = np.array(errors)
+    assert np.abs(errors.mean(axis=0)).max() < 0.01 and np.abs(errors).max() < 0.12
+
+
+def test_short_texts_on_average():
+    """Most sketches of eight shingles hold a single hash or two; the mean over many is right all the same."""
+    pairs = [(words(s, 12), edited(words(s, 12), words(s + 9000, 12))) for s in range(2500)]
+    near = np.mean([likeness(sketch(a), sketch(b))[0] for a, b in pairs])
+    assert abs(near - np.mean([jaccard(a, b) for a, b in pairs])) < 0.03
+
+
+def test_containment_of_unequal_texts():
+    part = words(1, 2000)
+    whole = f"{words(2, 40_000)} {part} {words(3, 40_000)}"
+    near, held = likeness(sketch(part), sketch(whole))
+    assert held > 0.98 and near < 0.05
+
+
+def test_merged_sketches_are_those_of_all_shingles():
+    for a, b in ((words(1, 500), words(2, 50)), ("one two", "three"), ("", "x"), ("", "")):
+        union = np.union1d(shingles(word_hashes(a)), shingles(word_hashes(b)))
+        both = merged(sketch(a), sketch(b))
+        assert len(both) <= max(1, len(union)) and (len(union) > 0) == (len(both) > 0)
+        assert set(both) >= {h for h in np.union1d(sketch(a), sketch(b)) if h < 2**48 // FRACTION}
+
+
+def test_text_of_a_fingerprint():
+    for text in ("", " \n", "word", LONG, words(4, 900)):
+        assert (hashes(fingerprint(sketch(text))) == sketch(text)).all()
+    assert fingerprint(sketch("a  b")) == fingerprint(sketch("a\nb"))
+    assert len(sketch(words(5, 40_000))) == pytest.approx(40_000 / FRACTION, rel=0.05)

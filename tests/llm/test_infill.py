@@ -1,0 +1,68 @@
+import hashlib
+import random
+import re
+
+import numpy as np
+import pytest
+from odd import ROWS, odd_docs
+
+from lakestar.llm import infill
+from lakestar.llm.infill import fill_in_middle, restored
+
+UNIT = re.compile(r"[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+")
+
+
+def brute(doc_id, text, seed=42, rate=50, spm=80):
+    text = text or ""
+    digest = hashlib.sha256(f"{seed}:{'' if doc_id is None else doc_id}".encode()).hexdigest()
+    h = [int(digest[i : i + 8], 16) for i in (0, 8, 16, 24)]
+    units = UNIT.findall(text)
+    n = len(units)
+    if not text or any(m in text for m in ("<P>", "<S>", "<M>")) or h[2] % 100 >= rate:
+        return doc_id, n, "plain", None, None, text
+    a, b = sorted((h[0] % (n + 1), h[1] % (n + 1)))
+    prefix, middle, suffix = "".join(units[:a]), "".join(units[a:b]), "".join(units[b:])
+    if h[3] % 100 < spm:
+        return doc_id, n, "spm", len(prefix), len(middle), f"<S>{suffix}<P>{prefix}<M>{middle}"
+    return doc_id, n, "psm", len(prefix), len(middle), f"<P>{prefix}<S>{suffix}<M>{middle}"
+
+
+def cut(spark, rows, **options):
+    out = restored(fill_in_middle(odd_docs(spark, rows), **options)).collect()
+    return [tuple(r)[:6] for r in out], [r.restored for r in out]
+
+
+def test_odd_rows(spark):
+    found, back = cut(spark, ROWS)
+    assert sorted(found, key=repr) == sorted((brute(r[0], r[1]) for r in ROWS), key=repr)
+    assert sorted(back) == sorted(r[1] or "" for r in ROWS)
+
+
+@pytest.mark.parametrize("rate, spm, together", [(50, 80, 1 << 24), (100, 50, 64), (100, 0, 1), (0, 50, 100), (100, 100, 500)])
+def test_texts_of_all_kinds(spark, monkeypatch, rate, spm, together):
+    monkeypatch.setattr(infill, "BYTES", together)
+    draw = random.Random(rate + spm)
+    pieces = ["word", " ", "\n", "\t\x0b", "é", "日本", "🙂", "<", "<P", "<P>", "S>", "<M", ">", "\x1c", " ", "<<S", "end."]
+    rows = [(i, "".join(draw.choices(pieces, k=draw.randrange(40))), None, None, None) for i in range(600)]
+    rows += [(600 + i, "<" * (i % 3) + "plain text" + "<P" * (i % 2), None, None, None) for i in range(60)]
+    found, back = cut(spark, rows, rate=rate, spm=spm)
+    assert sorted(found) == sorted((brute(r[0], r[1], rate=rate, spm=spm) for r in rows), key=lambda r: r[0])
+    assert sorted(back) == sorted(r[1] for r in rows)
+
+
+def test_a_mark_over_two_texts_is_none():
+    texts = [b"one <", b"P> two", b"<", b"", b"S>", b"x <M> y"]
+    data, starts, ends = infill._joined(texts)
+    draws = np.zeros((len(texts), 4), dtype=np.int64)
+    form = infill.transform(data, starts, ends, draws, 50, 80)[2].tolist()
+    assert form == ["spm", "spm", "spm", "plain", "spm", "plain"]
+
+
+def test_outputs_without_marks_are_refused():
+    data, starts, ends = infill._joined([b"<P>a<S>b", b"c"])
+    with pytest.raises(ValueError, match="marks"):
+        infill.restore(data, starts, ends, np.array(["psm", "plain"]))
+
+
+def test_empty(spark):
+    assert cut(spark, []) == ([], [])

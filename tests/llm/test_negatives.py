@@ -1,0 +1,113 @@
+import math
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from lakestar.llm.negatives import LONG, Tree, cut_tiles, hard_negatives, tile_of
+
+KIND = "vec_id long, embedding array<double>, label long, tile string, row string, v string"
+
+
+def frame(spark, rows):
+    return spark.createDataFrame([(i, v, label, "t", "r", "v") for i, v, label in rows], KIND)
+
+
+def scaled(v, scale=256):
+    if v is None or any(x is None or not math.isfinite(x) for x in v):
+        return None
+    return None if any(abs(x * scale) * math.sqrt(len(v)) >= 2**28 for x in v) else [math.floor(x * scale) for x in v]
+
+
+def brute(rows, every, window=(50, 95), positives=5, negatives=3):
+    known = [(i, s, label) for i, v, label in rows if label is not None and (s := scaled(v)) is not None]
+    found = []
+
+    def key(pair):
+        return -pair[0], pair[1] is None, pair[1]
+
+    for at, (anchor, v, label) in enumerate(known):
+        if anchor is None or anchor % every:
+            continue
+        scores = [(sum(a * b for a, b in zip(v, w)), i, other, k) for k, (i, w, other) in enumerate(known)]
+        best = sorted(((s, i) for s, i, other, k in scores if other == label and k != at), key=key)[:positives]
+        for p, positive in best:
+            fits = sorted(((s, i) for s, i, other, _ in scores if other != label and window[0] * p <= 100 * s <= window[1] * p), key=key)
+            found += [(anchor, positive, n, i, p, s) for n, (s, i) in enumerate(fits[:negatives], 1)]
+    return sorted(found, key=repr)
+
+
+def mined(spark, rows, every, **options):
+    out = hard_negatives(frame(spark, rows), F.col("vec_id") % every == 0, **options)
+    assert out.columns == ["anchor_id", "positive_id", "rank", "negative_id", "positive_score", "negative_score"]
+    return sorted((tuple(r) for r in out.collect()), key=repr)
+
+
+def cluster(n, dim, seed, labels=4, spread=0.6):
+    rng = np.random.default_rng(seed)
+    centres = rng.standard_normal((labels, dim))
+    own = rng.integers(0, labels, n)
+    return [(i, (0.3 * (centres[c] + spread * rng.standard_normal(dim))).tolist(), int(c)) for i, c in enumerate(own)]
+
+
+@pytest.mark.parametrize("dim, spread", [(2, 0.3), (6, 1.5), (24, 3.0)])
+def test_all_pairs(spark, dim, spread):
+    rows = cluster(500, dim, dim, spread=spread)
+    expected = brute(rows, 10)
+    assert len(expected) > 50
+    assert mined(spark, rows, 10, tile_rows=60) == expected
+
+
+def test_ties_and_a_hot_vector(spark):
+    rows = [(i, [0.5, 0.25, -1.0], 0) for i in range(150)] + [(1000 + i, [0.4, 0.25, -0.4], i % 3) for i in range(150)]
+    rows += [(2000 + i, [0.01 * i, 0.0, -0.3], 1) for i in range(100)]
+    assert mined(spark, rows, 50, tile_rows=30) == brute(rows, 50)
+
+
+def test_odd_rows(spark):
+    rows = cluster(60, 3, 5, 3) + [
+        (None, [0.2, 0.3, 0.4], 1), (None, [0.1, 0.3, 0.4], 2), (100, None, 1), (110, [0.1, None, 0.2], 1), (120, [0.1, math.nan, 0.2], 1),
+        (130, [0.1, math.inf, 0.2], 1), (140, [0.1, 0.3, 0.2], None), (150, [], 0), (160, [], 1), (170, [0.5], 0), (180, [0.4] * 9, 1),
+        (190, [0.0, 0.0, 0.0], 0), (200, [1e300, 0.0, 0.0], 0), (210, [9e4, -9e4, 9e4], 0), (220, [9e4, -9e4, 8e4], 1), (230, [9e4, -9e4, 9e4], 0),
+        (0, [0.9, 0.3, 0.4], 1), (0, [0.9, 0.3, 0.4], 1), (10, [0.2, 0.2, 0.2], 2),
+    ]
+    assert mined(spark, rows, 10, tile_rows=16) == brute(rows, 10)
+    assert mined(spark, rows, 10) == brute(rows, 10)
+
+
+def test_few_positives_other_numbers(spark):
+    rows = cluster(80, 4, 8, 30)
+    assert mined(spark, rows, 4, positives=2, negatives=1, window=(10, 99)) == brute(rows, 4, (10, 99), 2, 1)
+
+
+def test_empty(spark):
+    assert mined(spark, [], 10) == []
+    assert mined(spark, [(0, [1.0], 1)], 10) == []
+    assert mined(spark, [(0, None, 1), (50, [1.0], None)], 10) == []
+
+
+def test_boxes_are_left_out():
+    """Far clusters: the search of one cluster's centre opens few boxes and still finds the best rows."""
+    rng = np.random.default_rng(3)
+    points = np.concatenate([rng.integers(0, 50, (1000, 2)) + np.array([c * 1000, -c * 1000]) for c in range(8)])
+    labels = np.zeros(len(points), dtype=np.int64)
+    ids = rng.permutation(len(points))
+    tree = Tree(np.arange(len(points)), ids, np.zeros(len(points), dtype=bool), labels, points)
+    assert len(tree.levels) >= 3
+    wanted = np.array([[1, -1], [1, 0]])
+    low, high, bound = np.array([LONG[0], 3000]), np.array([LONG[1], 3010]), np.array([LONG[0]] * 2)
+    who, at, score = tree.search(wanted, np.array([0, 0]), np.array([-1, -1]), low, high, bound, 5, True)
+    assert tree.opened <= 16 < len(tree.levels[0][0])
+    scores = wanted @ tree.points.T
+    for q, fits in enumerate((scores[0] > LONG[0], (scores[1] >= 3000) & (scores[1] <= 3010))):
+        best = sorted(((-scores[q, i], tree.ids[i]) for i in np.flatnonzero(fits)))[:5]
+        assert [(-s, tree.ids[i]) for s, i in zip(score[who == q], at[who == q])] == best
+
+
+def test_tiles_hold_about_as_many_rows():
+    rng = np.random.default_rng(9)
+    points = np.column_stack([rng.integers(0, 3, 4000), rng.integers(-300, 300, (4000, 5))])
+    cuts = cut_tiles(points, 24)
+    sizes = np.bincount(tile_of(points, cuts))
+    assert 24 <= len(sizes) <= 48 and sizes.max() < 4000 / 24 * 2.1
+    assert (tile_of(points[:, :3], cuts) >= 0).all()
