@@ -17,7 +17,7 @@ ORDER = {"psm": ("prefix", "suffix", "middle"), "spm": ("suffix", "prefix", "mid
 WIDTH = 3
 PARTS = ("prefix", "middle", "suffix")  # as they stand in the text
 #: Bytes of the texts that are moved at once; a longer text is moved alone.
-BYTES = 1 << 24
+BYTES = 1 << 20
 
 _BLANK = np.zeros(256, dtype=bool)
 _BLANK[[0x20, *range(0x09, 0x0E)]] = True

@@ -38,7 +38,7 @@ def test_odd_rows(spark):
     assert sorted(back) == sorted(r[1] or "" for r in ROWS)
 
 
-@pytest.mark.parametrize("rate, spm, together", [(50, 80, 1 << 24), (100, 50, 64), (100, 0, 1), (0, 50, 100), (100, 100, 500)])
+@pytest.mark.parametrize("rate, spm, together", [(50, 80, 1 << 20), (100, 50, 64), (100, 0, 1), (0, 50, 100), (100, 100, 500)])
 def test_texts_of_all_kinds(spark, monkeypatch, rate, spm, together):
     monkeypatch.setattr(infill, "BYTES", together)
     draw = random.Random(rate + spm)
