@@ -295,7 +295,7 @@ class _Index:
         members = self.rows.select("shard", F.lit(0).alias("kind"), F.lit(0).cast("long").alias("block"), "row", "vec_id", "label", "v",
                                    none.alias("low"), none.alias("high"), none.alias("bound"))
         keys = ("shard", "kind", "block")
-        both = members.unionByName(searches).repartition(max(self.shards, 1), "shard").sortWithinPartitions(*keys)
+        both = members.unionByName(searches).repartitionById(max(self.shards, 1), "shard").sortWithinPartitions(*keys)
         return both.mapInArrow(task(_search(most, same)), _FOUND)
 
     def best(self, searches: DataFrame, most: int, same: bool) -> DataFrame:
