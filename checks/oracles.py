@@ -216,6 +216,14 @@ ORACLES: dict[str, str] = {
         from expense_raw""",
     "sk_dense_properties": """
         select count(*) as n, count(*) as keys, cast(1 as bigint) as lowest, count(*) as highest from orders""",
+    "sk_registered": f"""{_with(_DEPUTY)}, first as (
+            select id, row_number() over (order by id) as sk_first from deputy_latest where id % 3 <> 0),
+        new as (
+            select id, (select max(sk_first) from first) + row_number() over (order by id) as sk_new
+            from deputy_latest where id % 5 <> 0 and id % 3 = 0)
+        select id, upper(c_name) as nome_civil, f.sk_first,
+               case when id % 5 <> 0 then coalesce(f.sk_first, sk_new) end as sk_second
+        from deputy_latest left join first f using (id) left join new using (id) where id % 3 <> 0 or id % 5 <> 0""",
     "sk_hash_properties": f"{_with(_EXPENSE)} select count(*) as n, count(*) as keys from expense",
     "sk_hash64_properties": "select count(*) as n, count(distinct o_orderkey) as keys from orders",
     "sk_monotonic_properties": "select count(*) as n, count(*) as keys, cast(1 as bigint) as lowest from orders",
@@ -258,6 +266,11 @@ ORACLES: dict[str, str] = {
                cast(2 * sum(valorDocumento) as double) as total, count(*) as n_distinct,
                cast(sum(valorDocumento) as double) as total_distinct
         from expense group by all""",
+    "silver_incremental": f"""{_with(_EXPENSE)}
+        select ano as ano1, mes as mes1, nullif(count(*) filter (where not (ano = 1995 and mes = 2)), 0) as n,
+               cast(sum(valorDocumento) filter (where not (ano = 1995 and mes = 2)) as double) as total,
+               case when ano = 1997 and mes = 3 then 'rebuilt' when ano = 1995 and mes = 2 then 'gone' end as change
+        from expense group by all""",
     "replace_partitions": f"""{_with(_EXPENSE)}
         select ano as ano1, mes as mes1, count(*) as n, cast(sum(
                  case when ano = 1997 and mes = 3 then 2 else 1 end * valorDocumento) as double) as total

@@ -24,12 +24,14 @@ from lakestar.operators import (
     filter_equal,
     filter_gt,
     join_members,
+    registered_key,
     rename,
     resolve_fk,
     surrogate_key,
     with_column,
 )
 from lakestar.plans import gold, silver
+from lakestar.plans.incremental import rebuild_changed
 from lakestar.plans.ingest import (
     ingest_children,
     ingest_details,
@@ -296,6 +298,16 @@ def sk_hash64_properties(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _properties(surrogate_key(orders, "sk", "hash64"), "sk").select("n", "keys")
 
 
+@query
+def sk_registered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two publications: a third of the deputies is new in the second, a fifth is gone; keys stay."""
+    people = silver.silver_deputy(proxies.deputies(spark, sf_dir)).select("id", "nome_civil")
+    path = scratch_path(spark, "registry")
+    first = materialize(registered_key(people.filter("id % 3 <> 0"), "sk_first", path, ["id"]), "dim")
+    second = registered_key(people.filter("id % 5 <> 0"), "sk_first", path, ["id"]).withColumnRenamed("sk_first", "sk_second")
+    return first.join(second, ["id", "nome_civil"], "full")
+
+
 @query
 def sk_monotonic_properties(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = proxies.table(spark, sf_dir, "orders").select("o_orderkey")
@@ -484,6 +496,28 @@ def replace_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _by_month(spark.read.parquet(path)).withColumns({c: F.col(c).cast("int") for c in MONTHS})
 
 
+@query
+def silver_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first run lacks receipts of one month and has a month that is gone later; the second repairs both."""
+    source, root = scratch_path(spark, "bronze"), scratch_path(spark, "silver")
+    spent = materialize(proxies.expenses(spark, sf_dir), "expenses")
+    late, gone = "ano = 1997 and mes = 3", "ano = 1995 and mes = 2"
+
+    def run(rows: DataFrame) -> DataFrame:
+        write_table(rows, source, partition_by=list(MONTHS.values()))
+        bronze = spark.read.parquet(source)
+        return rebuild_changed(
+            bronze, lambda r: silver.silver_expense(r, by=list(MONTHS.values())), f"{root}/silver", f"{root}/ledger", MONTHS, columns=silver.EXPENSE_SOURCES
+        ).df
+
+    run(spent.filter(f"not ({late} and valorGlosa > 0)"))
+    changed = run(spent.filter(f"not ({gone})")).select(
+        F.col("ano").alias("ano1"), F.col("mes").alias("mes1"), F.when(F.col("gone"), "gone").otherwise("rebuilt").alias("change")
+    )
+    months = _by_month(spark.read.parquet(f"{root}/silver")).withColumns({c: F.col(c).cast("int") for c in MONTHS})
+    return months.join(changed.withColumns({c: F.col(c).cast("int") for c in MONTHS}), ["ano1", "mes1"], "full")
+
+
 # ---- sources --------------------------------------------------------------------------------
 
 

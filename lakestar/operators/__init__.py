@@ -10,6 +10,7 @@ from lakestar.operators.conform import (
 from lakestar.operators.dedupe import collect_distinct, dedupe
 from lakestar.operators.joins import join_members, lookup_join, profile_lookup
 from lakestar.operators.keys import assert_unique_key, content_key, key_expression, surrogate_key
+from lakestar.operators.registry import registered_key
 from lakestar.operators.star import (
     Computed,
     Lookup,
@@ -40,6 +41,7 @@ __all__ = [
     "link_dimension",
     "lookup_join",
     "profile_lookup",
+    "registered_key",
     "rename",
     "resolve_fk",
     "surrogate_key",

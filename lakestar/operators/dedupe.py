@@ -3,12 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakestar.session import materialize
+from lakestar.operators.joins import lookup_join
+from lakestar.session import store
 
 #: Rows of a table's partition that one task writes.
 ROWS_PER_FILE = 5_000_000
@@ -40,20 +40,23 @@ def dedupe(
 def dedupe_by(df: DataFrame, by: Sequence[str], rows_per_file: int = ROWS_PER_FILE) -> DataFrame:
     """Whole-row distinct, laid out for a write partitioned ``by`` some columns: one shuffle for both.
 
-    Rows meet by these columns and a bucket of the row's hash, so copies of a row meet as well. Values
-    with more than ``rows_per_file`` rows get more buckets; only the sizes of values are counted
-    beforehand, a pass over ``by`` alone, and broadcast: one row per partition of the table.
+    Rows meet by these columns alone, so copies of a row meet as well and a value's rows lie in one
+    task. Only if a value has more than ``rows_per_file`` rows, a bucket of the row's hash is added, and
+    such a value gets as many tasks as its rows need. The rows of each value are counted beforehand, a
+    pass over ``by`` alone, which also tells how many tasks there have to be.
     """
-    spread = F.lit(0)
-    counted = df.groupBy(*by).agg(F.count(F.lit(1)).alias("_n"))
-    sizes = materialize(counted.filter(F.col("_n") > rows_per_file), "sizes").toDF(*[f"_by_{i}" for i in range(len(by))], "_n")
-    placed = df
-    if sizes.take(1):
-        same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_by_{i}")) for i, c in enumerate(by)])
-        placed = df.join(F.broadcast(sizes), same, "left")
-        spread = F.pmod(F.xxhash64(*df.columns), F.coalesce(F.ceil(F.col("_n") / F.lit(rows_per_file)), F.lit(1)))
-    placed = placed.select(*df.columns, spread.cast("bigint").alias("_spread")).repartition(*by, "_spread")
-    return placed.dropDuplicates().drop("_spread")
+    spark = df.sparkSession
+    names = [f"_by_{i}" for i in range(len(by))]
+    counted = store(df.groupBy(*by).agg(F.count(F.lit(1)).alias("_n")), "sizes").df.toDF(*names, "_n")
+    total = counted.agg(F.sum("_n")).first()[0] or 0
+    hot = store(counted.filter(F.col("_n") > rows_per_file), "hot")
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // rows_per_file))
+    if not hot.rows:
+        return df.repartition(tasks, *by).dropDuplicates()
+    placed = lookup_join(df, hot.df, dict(zip(by, names)), null_safe=True, profile=hot)
+    buckets = F.coalesce(F.ceil(F.col("_n") / F.lit(rows_per_file)), F.lit(1))
+    spread = F.pmod(F.xxhash64(*df.columns), buckets).alias("_spread")
+    return placed.select(*df.columns, spread).repartition(tasks, *by, "_spread").dropDuplicates().drop("_spread")
 
 
 def collect_distinct(df: DataFrame, keys: Sequence[str], column: str, out: str) -> DataFrame:

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from lakestar.operators.conform import Spec
 from lakestar.operators.dedupe import dedupe
 from lakestar.operators.keys import assert_unique_key, surrogate_key
+from lakestar.operators.registry import registered_key
 from lakestar.operators.star import (
     Computed,
     ForeignKey,
@@ -65,16 +66,23 @@ EXPENSE_TYPE_KEY = ("tipoDespesa",)
 PROVIDER_KEY = ("nomeFornecedor", "cnpjCpfFornecedor")
 
 
-def dim_legislature(silver: DataFrame) -> DataFrame:
-    return dimension(silver, LEGISLATURE_COLUMNS, LEGISLATURE_COLUMNS, "sk_legislatura")
+def _keyed(silver: DataFrame, columns: Sequence[str], natural: Sequence[str], sk: str, registry: str | None) -> DataFrame:
+    """Keys 1..n of these rows, or, with a folder for a ``registry``, the keys that they have had before."""
+    if registry is None:
+        return dimension(silver, columns, natural, sk)
+    return registered_key(silver.select(*columns), sk, f"{registry.rstrip('/')}/{sk}", natural)
 
 
-def dim_party(silver: DataFrame) -> DataFrame:
-    return dimension(silver, PARTY_COLUMNS, PARTY_COLUMNS, "sk_partido")
+def dim_legislature(silver: DataFrame, registry: str | None = None) -> DataFrame:
+    return _keyed(silver, LEGISLATURE_COLUMNS, LEGISLATURE_COLUMNS, "sk_legislatura", registry)
 
 
-def dim_deputy(silver: DataFrame) -> DataFrame:
-    return dimension(silver, silver.columns, ["id"], "sk_deputado")
+def dim_party(silver: DataFrame, registry: str | None = None) -> DataFrame:
+    return _keyed(silver, PARTY_COLUMNS, PARTY_COLUMNS, "sk_partido", registry)
+
+
+def dim_deputy(silver: DataFrame, registry: str | None = None) -> DataFrame:
+    return _keyed(silver, silver.columns, ["id"], "sk_deputado", registry)
 
 
 def dim_expense_type(expenses: DataFrame, method: str = "hash64", seed: int = 0) -> DataFrame:
@@ -172,6 +180,7 @@ def publish_star(
     seed: int = 0,
     null_safe_provider: bool = False,
     shared_codes: str = "refuse",
+    key_registry: str | None = None,
 ) -> Published:
     """Writes five dimensions and the fact.
 
@@ -179,6 +188,9 @@ def publish_star(
     fact alike: should two natural keys share a 64-bit hash, which stops the job, another seed or the
     method ``hash`` gets out of it.
 
+    ``key_registry`` is a folder in which legislatures, parties and deputies keep their keys from one
+    publication to the next; without it they are numbered anew.
+
     Every dimension is written and read back before something refers to it, so foreign keys point at
     the very rows that are stored, and lookups are planned from real file sizes.
     """
@@ -190,9 +202,9 @@ def publish_star(
         return published.read(spark, name)
 
     expenses = read_entity(spark, silver_root, "expenses_data", EXPENSE_COLUMNS, silver_fmt)
-    legislatures = store("legislature", dim_legislature(read_entity(spark, silver_root, "legislature_data", fmt=silver_fmt)))
-    parties = store("party", dim_party(read_entity(spark, silver_root, "parties_data", fmt=silver_fmt)))
-    plain_deputies = dim_deputy(read_entity(spark, silver_root, "deputies_data", fmt=silver_fmt))
+    legislatures = store("legislature", dim_legislature(read_entity(spark, silver_root, "legislature_data", fmt=silver_fmt), key_registry))
+    parties = store("party", dim_party(read_entity(spark, silver_root, "parties_data", fmt=silver_fmt), key_registry))
+    plain_deputies = dim_deputy(read_entity(spark, silver_root, "deputies_data", fmt=silver_fmt), key_registry)
     deputies = store("deputy", linked_deputies(plain_deputies, legislatures, parties, shared_codes=shared_codes))
     for name, df, sk in (
         ("expense_type", dim_expense_type(expenses, method, seed), "sk_tipo_despesa"),

@@ -69,6 +69,23 @@ def expense_spec(zone: str = "UTC-3", strict: bool = False) -> Spec:
     }
 
 
+#: Bronze columns that silver's expenses come from.
+EXPENSE_SOURCES = (
+    "id_deputado",
+    "id_legislatura",
+    "ano",
+    "mes",
+    "dataDocumento",
+    "tipoDespesa",
+    "valorDocumento",
+    "urlDocumento",
+    "nomeFornecedor",
+    "cnpjCpfFornecedor",
+    "valorLiquido",
+    "valorGlosa",
+)
+
+
 def conform_entity(
     df: DataFrame,
     spec: Spec,

@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 from support import plan, rows
 from lakestar.operators import assert_unique_key, collect_distinct, content_key, dedupe, surrogate_key
 from lakestar.operators.dedupe import dedupe_by
+from lakestar.session import materialize
+from lakestar.sinks import write_table
 
 
 def test_whole_rows_nulls_equal(spark):
@@ -76,16 +78,28 @@ def test_numbers_need_no_escape_and_texts_do(spark):
     assert keys == [sha256(t.encode()).hexdigest() for t in (r"va\|b|v1|n", "va|v1|n")]
 
 
-def test_one_shuffle_for_distinct_and_layout(spark, lake, with_conf):
+def _months(spark):
     df = spark.range(3000).selectExpr("id % 1000 as v", "cast(id % 7 as int) as m", "if(id % 5 = 0, null, 1) as y")
-    df = df.unionByName(df).union(spark.range(2000).selectExpr("id as v", "99 as m", "1 as y"))
-    for rows_per_file in (100, 10_000):
-        found = dedupe_by(df, ["y", "m"], rows_per_file)
-        assert plan(found).count("Exchange hashpartitioning") == 1
-        assert rows(found) == rows(df.distinct())
-    with_conf(spark__sql__adaptive__enabled="false")
-    hot = dedupe_by(df, ["y", "m"], 100).where("m = 99").groupBy(F.spark_partition_id()).count().collect()
-    assert len(hot) > 3
+    return materialize(df.unionByName(df).union(spark.range(2000).selectExpr("id as v", "99 as m", "1 as y")), "months")
+
+
+@pytest.mark.parametrize("rows_per_file, files", [(100_000, 15), (1000, 16), (300, 40)])
+def test_one_shuffle_for_distinct_and_layout(spark, lake, rows_per_file, files):
+    """On a scanned table, without a hot month, with one, and with many; a month's rows lie in one file."""
+    df = _months(spark)
+    found = dedupe_by(df, ["y", "m"], rows_per_file)
+    assert plan(found).count("Exchange hashpartitioning") == 1
+    assert rows(found) == rows(df.distinct())
+    write_table(found, lake, partition_by=["y", "m"], rebalance=False)
+    written = spark.read.parquet(lake).select(F.input_file_name().alias("f"), "y", "m").distinct()
+    assert written.count() <= files
+    sizes = {(r.y, r.m): r["count"] for r in written.groupBy("y", "m").count().collect()}
+    hot = {k for k, n in sizes.items() if n > 1}
+    assert hot <= {(1, 99)} if rows_per_file >= 1000 else (1, 99) in hot
+
+
+def test_tasks_follow_the_rows(spark):
+    assert dedupe_by(_months(spark), ["y", "m"], 100).rdd.getNumPartitions() == 80
 
 
 def test_hash_keys(spark, with_conf):

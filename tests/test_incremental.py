@@ -1,0 +1,84 @@
+import os
+
+import pytest
+
+from lakestar.operators import dedupe
+from lakestar.plans.incremental import changed_partitions, partition_fingerprints, rebuild_changed
+from lakestar.sinks import write_table
+from support import plan, rows
+
+COPIES = {"y1": "y"}
+
+
+def source(spark, lake, data):
+    write_table(spark.createDataFrame(data, "k int, v string, y int"), f"{lake}/bronze", partition_by=["y"])
+    return spark.read.schema("k int, v string, y int").parquet(f"{lake}/bronze")
+
+
+def files(lake):
+    return {f"{d}/{f}" for d, _, fs in os.walk(f"{lake}/silver".removeprefix("file:")) for f in fs if f.endswith(".parquet")}
+
+
+def run(spark, lake, data, **options):
+    built = []
+
+    def build(df):
+        built.append(plan(df))
+        return dedupe(df)
+
+    changed = rebuild_changed(source(spark, lake, data), build, f"{lake}/silver", f"{lake}/ledger", COPIES, **options)
+    now = rows(spark.read.schema("k int, v string, y int").parquet(f"{lake}/silver").select("k", "v", "y"))
+    assert now == sorted(set(data), key=repr)
+    return sorted(((r.y, r.gone) for r in changed.df.collect()), key=repr), built
+
+
+FIRST = [(1, "a", 2000), (1, "a", 2000), (2, "b", 2001), (3, None, 2001), (4, "d", 2002), (5, "e", None)]
+
+
+def test_only_changed_partitions_are_written(spark, lake):
+    assert len(run(spark, lake, FIRST)[0]) == 4
+    before = files(lake)
+    changed, built = run(spark, lake, [r if r[0] != 3 else (3, "c", 2001) for r in FIRST])
+    assert changed == [(2001, False)] and "dynamicpruning" in built[0]
+    kept = before & files(lake)
+    assert len(before - kept) == sum("y1=2001" in f for f in before) and all("y1=2001" in f for f in files(lake) - kept)
+
+
+def test_same_rows_in_another_order_write_nothing(spark, lake):
+    run(spark, lake, FIRST)
+    before = files(lake)
+    assert run(spark, lake, FIRST[::-1]) == ([], [])
+    assert files(lake) == before
+
+
+def test_new_gone_and_null_partitions(spark, lake):
+    run(spark, lake, FIRST)
+    data = [r for r in FIRST if r[2] != 2002 and r[2] is not None] + [(9, "n", 2003)]
+    assert run(spark, lake, data)[0] == [(2002, True), (2003, False), (None, True)]
+    assert run(spark, lake, [*data, (5, "f", None)], max_broadcast_bytes=-1)[0] == [(None, False)]
+
+
+def test_a_repeat_more_is_a_change(spark, lake):
+    run(spark, lake, FIRST)
+    assert run(spark, lake, [*FIRST, FIRST[0]])[0] == [(2000, False)]
+
+
+def test_a_run_that_breaks_is_done_again(spark, lake):
+    run(spark, lake, FIRST)
+    later = [*FIRST, (7, "g", 2002)]
+
+    def broken(df):
+        raise RuntimeError("stopped")
+
+    with pytest.raises(RuntimeError):
+        rebuild_changed(source(spark, lake, later), broken, f"{lake}/silver", f"{lake}/ledger", COPIES)
+    assert run(spark, lake, later)[0] == [(2002, False)]
+
+
+def test_fingerprints_tell_rows_apart(spark):
+    one = partition_fingerprints(spark.createDataFrame([(1, "x", 1), (2, "y", 1)], "k int, v string, y int"), ["y"])
+    swapped = partition_fingerprints(spark.createDataFrame([(1, "y", 1), (2, "x", 1)], "k int, v string, y int"), ["y"])
+    assert rows(changed_partitions(one, swapped, ["y"])) == [(1, False)]
+    assert rows(changed_partitions(one, one, ["y"])) == []
+    unseen = partition_fingerprints(spark.createDataFrame([(1, "x", 1), (2, "y", 1)], "k int, v string, y int"), ["y"], ["k"])
+    assert rows(changed_partitions(unseen, partition_fingerprints(spark.createDataFrame([(2, "q", 1), (1, "p", 1)], "k int, v string, y int"), ["y"], ["k"]), ["y"])) == []
