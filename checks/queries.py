@@ -511,9 +511,7 @@ def silver_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
         ).df
 
     run(spent.filter(f"not ({late} and valorGlosa > 0)"))
-    changed = run(spent.filter(f"not ({gone})")).select(
-        F.col("ano").alias("ano1"), F.col("mes").alias("mes1"), F.when(F.col("gone"), "gone").otherwise("rebuilt").alias("change")
-    )
+    changed = run(spent.filter(f"not ({gone})")).select(F.col("ano").alias("ano1"), F.col("mes").alias("mes1"), "change")
     months = _by_month(spark.read.parquet(f"{root}/silver")).withColumns({c: F.col(c).cast("int") for c in MONTHS})
     return months.join(changed.withColumns({c: F.col(c).cast("int") for c in MONTHS}), ["ano1", "mes1"], "full")
 

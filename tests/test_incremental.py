@@ -29,7 +29,7 @@ def run(spark, lake, data, **options):
     changed = rebuild_changed(source(spark, lake, data), build, f"{lake}/silver", f"{lake}/ledger", COPIES, **options)
     now = rows(spark.read.schema("k int, v string, y int").parquet(f"{lake}/silver").select("k", "v", "y"))
     assert now == sorted(set(data), key=repr)
-    return sorted(((r.y, r.gone) for r in changed.df.collect()), key=repr), built
+    return sorted(((r.y, r.change == "gone") for r in changed.df.collect()), key=repr), built
 
 
 FIRST = [(1, "a", 2000), (1, "a", 2000), (2, "b", 2001), (3, None, 2001), (4, "d", 2002), (5, "e", None)]
@@ -78,7 +78,7 @@ def test_a_run_that_breaks_is_done_again(spark, lake):
 def test_fingerprints_tell_rows_apart(spark):
     one = partition_fingerprints(spark.createDataFrame([(1, "x", 1), (2, "y", 1)], "k int, v string, y int"), ["y"])
     swapped = partition_fingerprints(spark.createDataFrame([(1, "y", 1), (2, "x", 1)], "k int, v string, y int"), ["y"])
-    assert rows(changed_partitions(one, swapped, ["y"])) == [(1, False)]
+    assert rows(changed_partitions(one, swapped, ["y"])) == [(1, "rebuilt")]
     assert rows(changed_partitions(one, one, ["y"])) == []
     unseen = partition_fingerprints(spark.createDataFrame([(1, "x", 1), (2, "y", 1)], "k int, v string, y int"), ["y"], ["k"])
     assert rows(changed_partitions(unseen, partition_fingerprints(spark.createDataFrame([(2, "q", 1), (1, "p", 1)], "k int, v string, y int"), ["y"], ["k"]), ["y"])) == []
