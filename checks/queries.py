@@ -570,8 +570,9 @@ def envelope_odd_shapes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _walk(spark: SparkSession, sf_dir: str, **options: object):
+    """A conversation's pages are a list: what its addresses share stands before the turn."""
     pages = materialize(proxies.conversation_pages(spark, sf_dir), "pages")
-    return follow_pages(proxies.conversation_starts(spark, sf_dir), pages, **options)
+    return follow_pages(proxies.conversation_starts(spark, sf_dir), pages, list_of=lambda uri: F.substring_index(uri, "/", 1), **options)
 
 
 @query

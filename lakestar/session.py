@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import io
 import tempfile
+import zipfile
+from collections.abc import Sequence
 from dataclasses import dataclass
+from pathlib import Path
 from uuid import uuid4
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -84,17 +88,17 @@ def row_width(df: DataFrame) -> Column:
     return width
 
 
-def store(df: DataFrame, label: str) -> Stored:
+def store(df: DataFrame, label: str, measured: Sequence[str] | None = None) -> Stored:
     """Write ``df`` to the shared folder, read it back, and tell how much it was.
 
     The result survives the loss of executors, is computed once however often it is used, and its
     file sizes give the optimizer real statistics. Rows and bytes are observed during the write, so
-    they cost no job of their own.
+    they cost no job of their own; the bytes are those of the ``measured`` columns, by default all.
     """
     spark = df.sparkSession
     path = scratch_path(spark, label)
     seen = Observation()
-    observed = df.observe(seen, F.count(F.lit(1)).alias("rows"), F.sum(row_width(df)).alias("bytes"))
+    observed = df.observe(seen, F.count(F.lit(1)).alias("rows"), F.sum(row_width(df.select(*(measured or df.columns)))).alias("bytes"))
     observed.write.parquet(path)
     return Stored(spark.read.schema(df.schema).parquet(path), seen.get["rows"], seen.get["bytes"] or 0, path)
 
@@ -104,3 +108,29 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     path = scratch_path(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Gives executors this package, once per application, as an archive in the shared folder.
+
+    Functions that run in tasks are sent by name, so workers have to find their modules: they may run
+    where the repository isn't.
+    """
+    application = spark.sparkContext.applicationId
+    if application in _shipped:
+        return
+    package = Path(__file__).resolve().parent
+    packed = io.BytesIO()
+    with zipfile.ZipFile(packed, "w", zipfile.ZIP_DEFLATED) as archive:
+        for module in sorted(package.rglob("*.py")):
+            archive.write(module, module.relative_to(package.parent))
+    jvm = spark._jvm
+    place = jvm.org.apache.hadoop.fs.Path(f"{scratch_path(spark, 'code')}.zip")
+    out = place.getFileSystem(spark._jsc.hadoopConfiguration()).create(place)
+    out.write(packed.getvalue())
+    out.close()
+    spark.sparkContext.addPyFile(place.toString())
+    _shipped.add(application)

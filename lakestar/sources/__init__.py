@@ -1,8 +1,6 @@
 from lakestar.sources.chains import Retry, add_constants, fan_out, plain_client
 from lakestar.sources.pages import (
     PageWalk,
-    follow_pages,
-    index_pages,
     judge_pages,
     odd_items,
     typed_records,
@@ -10,6 +8,7 @@ from lakestar.sources.pages import (
 )
 from lakestar.sources.requests import join_ids, request_uri
 from lakestar.sources.tables import read_entity
+from lakestar.sources.walk import follow_pages, index_pages
 
 __all__ = [
     "PageWalk",

@@ -1,4 +1,4 @@
-"""Pages of a paged API: reading their envelope, and following ``next`` links over landed pages.
+"""Pages of a paged API: reading their envelope and judging them.
 
 Landed pages are a table ``uri, status, body``: one answer per address, the body as JSON text
 ``{"dados": {…} or […], "links": [{"rel": …, "href": …}]}``.
@@ -7,14 +7,13 @@ Landed pages are a table ``uri, status, body``: one answer per address, the body
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass, replace
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from lakestar.operators.joins import MAX_BROADCAST_BYTES, lookup_join, salted_join
-from lakestar.operators.keys import assert_unique_key
-from lakestar.session import Stored, store
+from lakestar.session import materialize
 
 # Field names of the page envelope, the relation of the following page, and statuses.
 DATA_FIELD = "dados"
@@ -23,16 +22,15 @@ NEXT_RELATION = "next"
 STATUS_NOT_FOUND = 404
 FIRST_ERROR_STATUS = 400
 
-_BROKEN = "_broken"
-STATUS_BYTES = 16
-
 
 @dataclass(frozen=True)
 class PageWalk:
-    """``pages``: readable pages in reach of a start. ``rejected``: pages that ended a chain early."""
+    """``pages``: readable pages in reach of a start. ``rejected``: pages that ended a chain early.
+    ``dealt``: rows of pages that were moved to find them."""
 
     pages: DataFrame
     rejected: DataFrame
+    dealt: int = 0
 
 
 def typed_records(
@@ -54,46 +52,58 @@ def _struct_type(schema: str) -> str:
     return f"STRUCT<{schema.strip()}>"
 
 
-# One JSON dialect for every reader of bodies: Spark's own would take single quotes as well.
-_JSON = {"allowSingleQuotes": "false"}
-_LINK = "rel STRING, href STRING"
+# What Spark calls the types of a link's texts and whole numbers, and of an object.
+_TEXTS = ("STRING", "BIGINT")
+_OBJECT = "map<string,variant>"
+_ARRAY = "array<variant>"
+
+
+def parse_body(body: Column | str) -> Column:
+    """The body as a VARIANT, null if it is no JSON: the one time that its text is read.
+
+    Text behind the JSON value is ignored; a name that stands twice in an object, a body with such
+    deep nesting or long numbers that Spark's reader refuses it, or one above a VARIANT's size is no JSON.
+    """
+    return F.try_parse_json(body)
+
+
+def _parsed(pages: DataFrame, body_col: str) -> Column:
+    return F.col(body_col) if isinstance(pages.schema[body_col].dataType, T.VariantType) else parse_body(body_col)
 
 
-def _field(body: Column | str, name: str) -> Column:
-    """The raw text of a field of a JSON object: null if it is missing or null."""
-    return F.from_json(body, f"{name} STRING", _JSON)[name]
+def _is(value: Column, kind: str) -> Column:
+    return F.try_variant_get(value, "$", kind).isNotNull()
 
 
-def _elements(raw: Column) -> Column:
-    """The raw texts of an array's elements."""
-    return F.when(raw.startswith("["), F.from_json(raw, "ARRAY<STRING>", _JSON))
+def _is_link_text(value: Column) -> Column:
+    return F.schema_of_variant(value).isin(*_TEXTS)
 
 
-def _is_object(raw: Column) -> Column:
-    return F.coalesce(raw.startswith("{"), F.lit(False))
+def _elements(page: Column, field: str) -> Column:
+    return F.try_variant_get(page, f"$.{field}", _ARRAY)
 
 
-def read_links(body: Column | str, links_field: str = LINKS_FIELD, data_field: str = DATA_FIELD) -> Column:
-    """One reading of a body: its links, whether these and the data have a known shape, and the text if
-    it is no JSON object.
+def read_links(page: Column, links_field: str = LINKS_FIELD, data_field: str = DATA_FIELD) -> Column:
+    """What a parsed body says besides its items: whether it is an object, whether data and links have a
+    known shape, and the address of the first link whose relation is ``next``, or null.
 
-    Links have to be an array of objects, data an object or an array; both may be missing or null.
+    Links have to be an array of objects, data an object or an array; both may be missing or null. An
+    address is a text or a whole number; a link with another one leads nowhere.
     """
-    schema = f"{links_field} STRING, {data_field} STRING, {_BROKEN} STRING"
-    read = F.from_json(body, schema, {**_JSON, "columnNameOfCorruptRecord": _BROKEN})
-    raw, data = read[links_field], read[data_field]
-    each = _elements(raw)
-    return F.struct(
-        F.transform(F.filter(each, _is_object), lambda e: F.from_json(e, _LINK, _JSON)).alias(links_field),
-        F.coalesce(raw.isNull() | (raw.startswith("[") & F.forall(each, _is_object)), F.lit(False)).alias("linked"),
-        (data.isNull() | data.startswith("[") | data.startswith("{")).alias("shaped"),
-        (read.isNull() | read[_BROKEN].isNotNull()).alias(_BROKEN),
-    )
+    data, links = F.try_variant_get(page, f"$.{data_field}", "variant"), F.try_variant_get(page, f"$.{links_field}", "variant")
+    each = _elements(page, links_field)
 
+    def text(link: Column, name: str) -> Column:
+        value = F.try_variant_get(link, f"$.{name}", "variant")
+        return F.when(_is_link_text(value), F.try_variant_get(link, f"$.{name}", "string"))
 
-def next_link(read: Column, links_field: str = LINKS_FIELD) -> Column:
-    """Address of the first link whose relation is ``next``, or null; of :func:`read_links`."""
-    return F.get(F.filter(read[links_field], lambda link: link["rel"] == NEXT_RELATION), 0)["href"]
+    first = F.get(F.filter(each, lambda link: text(link, "rel") == NEXT_RELATION), 0)
+    return F.struct(
+        F.coalesce(_is(page, _OBJECT), F.lit(False)).alias("readable"),
+        (data.isNull() | F.is_variant_null(data) | _is(data, _ARRAY) | _is(data, _OBJECT)).alias("shaped"),
+        (links.isNull() | F.is_variant_null(links) | F.coalesce(F.forall(each, lambda e: _is(e, _OBJECT)), F.lit(False))).alias("linked"),
+        text(first, "href").alias("target"),
+    )
 
 
 def unwrap_envelope(
@@ -106,25 +116,22 @@ def unwrap_envelope(
 ) -> DataFrame:
     """One row per item of each page, with the carried columns first (default: all but the body).
 
-    The data field may hold an array or a lone object, which counts as one item; an empty array or a
-    missing field gives no rows. Elements that are no object are left out, see :func:`odd_items`.
-    Arrays of objects alone are read in one pass; other pages are read again, element by element.
-    ``failfast`` stops at an item value of the wrong type.
+    The body is JSON text or, from :func:`judge_pages` and :func:`lakestar.sources.walk.follow_pages`,
+    parsed already. The data field may hold an array or a lone object, which counts as one item; an
+    empty array or a missing field gives no rows. Elements that are no object are left out, see
+    :func:`odd_items`. A value that doesn't fit its field's type becomes null; ``failfast`` stops there.
+    Numbers in a text field are written shortest: 1.50 is ``1.5``.
     """
     if mode not in ("permissive", "failfast"):
         raise ValueError(f"mode must be 'permissive' or 'failfast', not {mode!r}")
     carry = [c for c in pages.columns if c != body_col] if carry is None else list(carry)
-    item, options = _struct_type(item_schema), {**_JSON, "mode": mode.upper()}
-    raw = _field(body_col, data_field)
-    texts = F.when(_is_object(raw), F.array(raw)).otherwise(F.filter(_elements(raw), _is_object))
-    slowly = F.transform(texts, lambda text: F.from_json(text, item, options))
-    if mode == "failfast":  # a shape that isn't declared must not stop the job
-        read = pages.select(*carry, slowly.alias("_items"))
-        return read.select(*carry, F.explode("_items").alias("_item")).select(*carry, "_item.*")
-    many = F.from_json(body_col, f"{data_field} ARRAY<{item}>", _JSON)[data_field]
-    read = pages.select(*carry, body_col, many.alias("_many"))
-    items = F.when(F.col("_many").isNotNull(), F.filter("_many", lambda i: i.isNotNull())).otherwise(slowly)
-    return read.select(*carry, F.explode(items).alias("_item")).select(*carry, "_item.*")
+    get = F.try_variant_get if mode == "permissive" else F.variant_get
+    read = pages.select(*carry, _parsed(pages, body_col).alias("_page"))
+    lone = F.try_variant_get("_page", f"$.{data_field}", "variant")
+    objects = F.filter(_elements(F.col("_page"), data_field), lambda e: _is(e, _OBJECT))
+    items = F.when(_is(lone, _OBJECT), F.array(lone)).otherwise(objects)
+    each = read.select(*carry, F.explode(items).alias("_raw"))
+    return each.select(*carry, get("_raw", "$", _struct_type(item_schema)).alias("_item")).select(*carry, "_item.*")
 
 
 def odd_items(
@@ -132,18 +139,19 @@ def odd_items(
 ) -> DataFrame:
     """The elements that :func:`unwrap_envelope` leaves out: carried columns, ``position`` and ``text``."""
     carry = [c for c in pages.columns if c != body_col] if carry is None else list(carry)
-    each = pages.select(*carry, F.posexplode(_elements(_field(body_col, data_field))).alias("position", "text"))
-    return each.filter(~_is_object(F.col("text")))
+    read = pages.select(*carry, _parsed(pages, body_col).alias("_page"))
+    each = read.select(*carry, F.posexplode(_elements(F.col("_page"), data_field)).alias("position", "_raw"))
+    odd = each.filter(~_is(F.col("_raw"), _OBJECT))
+    return odd.select(*carry, "position", F.coalesce(F.try_variant_get("_raw", "$", "string"), F.lit("null")).alias("text"))
 
 
-def page_verdict(status: Column, body: Column, read: Column) -> Column:
+def page_verdict(status: Column, read: Column) -> Column:
     """``ok``, ``end`` (not found: a silent end of the chain), or what is wrong: ``status``,
     ``unreadable`` (no JSON object), ``shape`` (data neither object nor array) or ``link``."""
-    readable = (F.length(F.trim(body)) > 0) & ~read[_BROKEN]
     return (
         F.when(status == STATUS_NOT_FOUND, "end")
         .when(status.isNull() | (status >= FIRST_ERROR_STATUS), "status")
-        .when(~F.coalesce(readable, F.lit(False)), "unreadable")
+        .when(~read["readable"], "unreadable")
         .when(~read["shaped"], "shape")
         .when(~read["linked"], "link")
         .otherwise("ok")
@@ -159,121 +167,31 @@ def _check_policy(on_error: str) -> None:
         raise ValueError(f"on_error must be 'quarantine', 'fail' or 'stop', not {on_error!r}")
 
 
-def _apply_policy(pages: DataFrame, rejected: DataFrame, on_error: str) -> PageWalk:
+def _apply_policy(pages: DataFrame, rejected: DataFrame, on_error: str, dealt: int = 0) -> PageWalk:
     if on_error == "fail":
         first = rejected.take(1)
         if first:
             raise ValueError(f"page failed: {first[0].asDict()}")
-    return PageWalk(pages, rejected.limit(0) if on_error == "stop" else rejected)
+    return PageWalk(pages, rejected.limit(0) if on_error == "stop" else rejected, dealt)
 
 
-def judge_pages(landed: DataFrame, on_error: str = "quarantine") -> PageWalk:
-    """Landed pages with their ``status, body`` into usable ones and rejected ones with a ``reason``.
-
-    ``quarantine`` returns the rejected pages, ``fail`` stops when there is one, and ``stop`` drops
-    them without a trace, which silently shortens the entity.
-    """
-    _check_policy(on_error)
-    read = landed.withColumn("_read", read_links("body"))
-    reason = page_verdict(F.col("status"), F.col("body"), F.col("_read"))
+def judged(landed: DataFrame) -> DataFrame:
+    """Landed pages with the body parsed, a ``reason`` (see :func:`page_verdict`) and the ``target`` of ``next``."""
+    parsed = landed.withColumn("body", parse_body("body")).withColumn("_read", read_links(F.col("body")))
+    reason = page_verdict(F.col("status"), F.col("_read"))
     if "uri" in landed.columns:
         reason = F.when(F.col("uri").isNull(), "no address").otherwise(reason)
-    judged = read.withColumn("reason", reason).drop("_read")
-    rejected = judged.filter(F.col("reason").isin(*REJECTED)).drop("body")
-    return _apply_policy(judged.filter("reason = 'ok'").drop("reason"), rejected, on_error)
+    return parsed.withColumns({"reason": reason, "target": F.when(reason == "ok", F.col("_read.target"))}).drop("_read")
 
 
-@dataclass(frozen=True)
-class PageIndex:
-    """Landed pages with what one reading of their bodies found: ``uri, status, reason, target``."""
+def judge_pages(landed: DataFrame, on_error: str = "quarantine") -> PageWalk:
+    """Landed pages with their ``status, body`` into usable ones and rejected ones with a ``reason``.
 
-    pages: DataFrame
-    found: Stored
-
-
-def index_pages(pages: DataFrame) -> PageIndex:
-    """Reads verdict and next link of every page once, for any number of walks over them."""
-    read = pages.select("uri", "status", "body", read_links("body").alias("_read"))
-    verdict = page_verdict(F.col("status"), F.col("body"), F.col("_read"))
-    found = read.select("uri", "status", verdict.alias("reason"), next_link(F.col("_read")).alias("target"))
-    index = PageIndex(pages, store(found, "index"))
-    assert_unique_key(index.found.df, ["uri"])
-    return index
-
-
-def follow_pages(
-    starts: DataFrame,
-    pages: DataFrame | PageIndex,
-    uri_col: str = "uri",
-    max_pages: int | None = None,
-    on_error: str = "quarantine",
-    max_broadcast_bytes: int = MAX_BROADCAST_BYTES,
-) -> PageWalk:
-    """All pages in reach of each start by ``next`` links, numbered by ``page_no`` from 0.
-
-    ``starts`` (a set of rows) holds the first address in ``uri_col`` and any columns to carry along.
-    A chain ends at a page without ``next``, at status 404 (silently), at a page that is rejected
-    (see :func:`page_verdict`; also ``missing`` ones, and starts with ``no address``), after
-    ``max_pages``, or when it comes back to a page it has seen.
-
-    The walk doubles its stride: round k knows where 2^k links lead from every page, so a chain of n
-    pages takes log2(n) rounds, each a join on addresses without bodies. Bodies are read once to
-    index the pages and once at the end for the usable pages in reach.
+    ``quarantine`` returns the rejected pages, ``fail`` stops when there is one, and ``stop`` drops
+    them without a trace, which silently shortens the entity. Bodies are parsed once, and stored as
+    they were read: whatever reads the usable pages after this finds VARIANTs in ``body``.
     """
     _check_policy(on_error)
-    index = pages if isinstance(pages, PageIndex) else index_pages(pages)
-    carry = [c for c in starts.columns if c != uri_col]
-    identity = ["start_uri", *carry]
-
-    def look_up(left: DataFrame, right: DataFrame, on: str, key: str, how: str, size: Stored) -> DataFrame:
-        return lookup_join(left, right, {on: key}, how, max_broadcast_bytes=max_broadcast_bytes, profile=size)
-
-    links = index.found.df.filter("reason = 'ok' and target is not null").select("uri", "target")
-    stride, size = links, index.found
-    reach = store(
-        starts.select(F.col(uri_col).alias("start_uri"), *carry, F.col(uri_col).alias("uri"))
-        .distinct()
-        .withColumn("page_no", F.lit(0).cast("bigint")),
-        "reach",
-    )
-    length = 1
-    while size.rows and (max_pages is None or length < max_pages):
-        steps = stride.select(F.col("uri").alias("_from"), F.col("target").alias("_to"))
-        ahead = look_up(reach.df, steps, "uri", "_from", "inner", size).select(
-            *identity, F.col("_to").alias("uri"), (F.col("page_no") + length).alias("page_no")
-        )
-        if max_pages is not None:
-            ahead = ahead.filter(F.col("page_no") < max_pages)
-        both = reach.df.unionByName(ahead).groupBy(*identity, "uri")
-        grown = store(both.agg(F.min("page_no").alias("page_no")), "reach")
-        if grown.rows == reach.rows:
-            grown.drop()
-            break
-        reach.drop()
-        reach, length, walked = grown, length * 2, size
-        size = store(
-            look_up(stride, steps, "target", "_from", "inner", size).select("uri", F.col("_to").alias("target")),
-            "links",
-        )
-        stride = size.df
-        if walked is not index.found:
-            walked.drop()
-    if size is not index.found:
-        size.drop()
-
-    verdicts = index.found.df.select(F.col("uri").alias("_uri"), "status", "reason")
-    judged = look_up(reach.df, verdicts, "uri", "_uri", "left", index.found)
-    shown = [*identity, "page_no", "uri", "status"]
-    lost = F.when(F.col("uri").isNull(), "no address").otherwise("missing")
-    visited = judged.select(*shown, F.coalesce("reason", lost).alias("reason"))
-    if index.found.size_bytes > max_broadcast_bytes:
-        visited = store(visited, "visited").df
-    rejected = visited.filter(F.col("reason").isin(*REJECTED))
-    wanted = visited.filter("reason = 'ok'").select(*shown)
-    bodies = index.pages.select(F.col("uri").alias("_uri"), "body")
-    wanted_size = replace(reach, size_bytes=reach.size_bytes + reach.rows * STATUS_BYTES)
-    if wanted_size.size_bytes <= max_broadcast_bytes:
-        usable = look_up(bodies, wanted, "_uri", "uri", "inner", wanted_size)
-    else:
-        usable = salted_join(wanted, bodies, {"uri": "_uri"}, "inner")
-    return _apply_policy(usable.select(*shown, "body"), rejected, on_error)
+    read = materialize(judged(landed).drop("target"), "judged")
+    rejected = read.filter(F.col("reason").isin(*REJECTED)).drop("body")
+    return _apply_policy(read.filter("reason = 'ok'").drop("reason"), rejected, on_error)

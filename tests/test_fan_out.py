@@ -13,7 +13,7 @@ from support import rows
 from lakestar.plans.ingest import requested_pages
 from lakestar.sources import Retry, add_constants, fan_out, judge_pages, plain_client, unwrap_envelope
 from lakestar.sources.chains import _following, _request
-from lakestar.sources.pages import index_pages
+from lakestar.sources.walk import index_pages
 
 
 class Flaky:
@@ -155,6 +155,17 @@ BODIES = [
     ("nothing", None),
     ("", None),
     (None, None),
+    ('\u00a0{"links": [{"rel": "next", "href": "b"}]}', None),
+    ('\ufeff{"links": [{"rel": "next", "href": "b"}]}', None),
+    ('{"dados": {"a": 1, "a": 2}, "links": [{"rel": "next", "href": "b"}]}', None),
+    ('{"dados": [NaN], "links": [{"rel": "next", "href": "b"}]}', None),
+    ('{"dados": [%s], "links": [{"rel": "next", "href": "b"}]}' % ("1" * 1200), None),
+]
+NO_LINK = [
+    '{"links": [{"rel": "next", "href": {"a": 1.0}}]}',
+    '{"links": [{"rel": "next", "href": true}]}',
+    '{"links": [{"rel": "next", "href": 1.5}]}',
+    '{"links": [{"rel": "next", "href": null}, {"rel": "next", "href": "b"}]}',
 ]
 
 
@@ -164,7 +175,13 @@ def test_both_readers_of_links_agree(spark):
     assert {r.uri: r.target if r.reason == "ok" else None for r in read} == {f"u{i}": to for i, (_, to) in enumerate(BODIES)}
     assert [_following(200, body) for body, _ in BODIES] == [to for _, to in BODIES]
     reasons = {r.uri: r.reason for r in judge_pages(pages).rejected.collect()}
-    assert [reasons.get(f"u{i}", "ok") for i in range(len(BODIES))] == ["ok"] * 5 + ["link"] * 4 + ["shape"] * 2 + ["unreadable"] * 5
+    assert [reasons.get(f"u{i}", "ok") for i in range(len(BODIES))] == ["ok"] * 5 + ["link"] * 4 + ["shape"] * 2 + ["unreadable"] * 10
+
+
+def test_links_that_lead_nowhere(spark):
+    pages = spark.createDataFrame([(f"u{i}", 200, body) for i, body in enumerate(NO_LINK)], "uri string, status int, body string")
+    assert [(r.reason, r.target) for r in index_pages(pages).found.df.collect()] == [("ok", None)] * len(NO_LINK)
+    assert [_following(200, body) for body in NO_LINK] == [None] * len(NO_LINK)
 
 
 def test_repeated_starts_are_walked_once_and_no_address_is_rejected(spark):

@@ -6,8 +6,8 @@ from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
-from support import rows
-from lakestar.sources import follow_pages, index_pages, join_ids, judge_pages, request_uri, typed_records, unwrap_envelope
+from support import plan, rows
+from lakestar.sources import follow_pages, index_pages, join_ids, judge_pages, odd_items, request_uri, typed_records, unwrap_envelope
 
 ITEM = "a INT, b STRING, m DECIMAL(18,2)"
 
@@ -118,22 +118,72 @@ def test_walks_against_brute_force(spark, seed, max_pages):
         pages.append(_page(name, target, status, "<html>" if 0.06 <= kind < 0.09 else None))
     starts = [rng.choice([*names, "absent"]) for _ in range(12)]
     usable, rejected = _brute(pages, starts, max_pages)
-    for limit in (10**9, -1):
-        walk = follow_pages(_starts(spark, starts), _landed(spark, pages), max_pages=max_pages, max_broadcast_bytes=limit)
+    for options in ({"list_of": lambda uri: F.lit("all")}, {"max_broadcast_bytes": -1}):
+        walk = follow_pages(_starts(spark, starts), _landed(spark, pages), max_pages=max_pages, **options)
         assert rows(walk.pages.select("key", "page_no", "uri")) == sorted(usable, key=repr)
         assert rows(walk.rejected.select("key", "uri", "reason")) == sorted(rejected, key=repr)
 
 
-def test_long_chain_in_few_rounds(spark, monkeypatch):
-    import lakestar.sources.pages as module
+def _digitless(uri):
+    return F.regexp_replace(uri, "[0-9]+$", "")
+
+
+@pytest.mark.parametrize("options", [{}, {"list_of": _digitless}, {"list_of": _digitless, "list_pages": 10}])
+def test_long_chain_in_few_rounds(spark, monkeypatch, options):
+    """In one list, in a list that no task may hold, and with a list of its own for each page."""
+    import lakestar.sources.walk as module
 
     stored = []
     original = module.store
-    monkeypatch.setattr(module, "store", lambda df, label: stored.append(label) or original(df, label))
+    monkeypatch.setattr(module, "store", lambda df, label, *more: stored.append(label) or original(df, label, *more))
     pages = [_page(f"c{i}", f"c{i + 1}" if i < 999 else None) for i in range(1000)]
-    walk = follow_pages(_starts(spark, ["c0"]), _landed(spark, pages))
+    walk = follow_pages(_starts(spark, ["c0"]), _landed(spark, pages), **options)
     assert walk.pages.count() == 1000 and walk.rejected.count() == 0
-    assert stored.count("links") <= 10
+    assert stored.count("strides") <= 12 and stored.count("walks") <= 7
+    assert ("strides" in stored) == (options != {"list_of": _digitless})
+
+
+def test_work_is_that_of_the_pages_in_reach(spark):
+    """Nine lists of ten are in nobody's reach: their links don't move."""
+    pages = [_page(f"api/{i}?page={n}", f"api/{i}?page={n + 1}" if n < 19 else None) for i in range(100) for n in range(20)]
+    walk = follow_pages(_starts(spark, [f"api/{i * 10}?page=0" for i in range(10)]), _landed(spark, pages))
+    assert walk.pages.count() == 200 and walk.dealt < 3 * 200
+
+
+@pytest.mark.parametrize("seed", range(2))
+def test_walks_over_lists_against_brute_force(spark, monkeypatch, seed):
+    """Chains that go from list to list and back, cycles over lists, a list with many walks, one too large."""
+    import lakestar.sources.walk as module
+
+    monkeypatch.setattr(module, "LIST_WALKS", 3)
+    rng = random.Random(seed)
+    names = [f"{k}?{i}" for k in "abcd" for i in range(15)]
+    pages = []
+    for i, name in enumerate(names):
+        near = names[i + 1] if i + 1 < len(names) and names[i + 1][0] == name[0] else None
+        target = near if rng.random() < 0.85 else rng.choice([*names, "a?99", "e?1", None])
+        pages.append(_page(name, target, rng.choice([200] * 20 + [404, 503])))
+    starts = [rng.choice([*names, "e?7"]) for _ in range(25)]
+    usable, rejected = _brute(pages, starts)
+    for list_pages in (14, 100):
+        walk = follow_pages(_starts(spark, starts), _landed(spark, pages), list_pages=list_pages)
+        assert rows(walk.pages.select("key", "page_no", "uri")) == sorted(usable, key=repr)
+        assert rows(walk.rejected.select("key", "uri", "reason")) == sorted(rejected, key=repr)
+
+
+def test_bodies_are_parsed_once(spark, monkeypatch):
+    import lakestar.sources.pages as module
+
+    parsed = []
+    original = module.materialize
+    monkeypatch.setattr(module, "materialize", lambda df, label: parsed.append(plan(df)) or original(df, label))
+    walk = judge_pages(_landed(spark, [_page("a", "b"), ("b", 200, '{"dados": [1, {"a": 2}]}'), ("c", 200, "no")]))
+    assert len(parsed) == 1 and parsed[0].count("parseJson") == 1 and "from_json" not in parsed[0]
+    items, odd = unwrap_envelope(walk.pages, "body", ITEM, carry=["uri"]), odd_items(walk.pages, "body", carry=["uri"])
+    for df in (items, odd, walk.rejected):
+        assert "parseJson" not in plan(df) and "from_json" not in plan(df)
+    assert rows(items.select("uri", "a")) == [("a", 1), ("b", 2)]
+    assert rows(odd) == [("b", 0, "1")] and rows(walk.rejected.select("uri", "reason")) == [("c", "unreadable")]
 
 
 def test_cycle_ends(spark):
