@@ -30,6 +30,25 @@ def open_numbered_page(uri: str, params: Mapping[str, object] | None) -> tuple[i
     return 200, json.dumps({"dados": items, "links": links})
 
 
+def open_page_with_last(uri: str, params: Mapping[str, object] | None) -> tuple[int, str | None]:
+    """As above, with a ``last`` link. It is short of a page where 5 divides the id; and where 3 does, the
+    third page leads to addresses of another form."""
+    path, _, query = uri.partition("?")
+    status, body = open_numbered_page(uri.replace("other=1&", ""), params)
+    if body is None:
+        return status, body
+    asked = dict(parse_qsl(query)) | {k: str(v) for k, v in (params or {}).items()}
+    key, total, size, page = int(path.split("/")[2]), int(asked["n"]), int(asked["itens"]), int(asked.get("pagina", 1))
+    answer = json.loads(body)
+    other = "other=1&" if key % 3 == 0 and (page == 3 or "other" in asked) else ""
+    for link in answer["links"]:
+        if link["rel"] == "next":
+            link["href"] = link["href"].replace("?", f"?{other}")
+    pages = max(1, -(-total // size) - (key % 5 == 0))
+    answer["links"].append({"rel": "last", "href": f"{path}?n={total}&itens={size}&pagina={pages}"})
+    return status, json.dumps(answer)
+
+
 def no_pause(seconds: float) -> None:
     """Retries without waiting."""
 

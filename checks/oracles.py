@@ -338,6 +338,7 @@ ORACLES: dict[str, str] = {
         select id_deputado, page_no, case when id_deputado % 3 = 0 then 'link' when status = 503 then 'status' else 'ok' end as reason
         from fan_visited where status <> 404 and (id_deputado % 3 <> 0 or page_no = 0)""",
 }
+ORACLES["fan_out_by_number"] = ORACLES["fan_out_pages"]
 ORACLES["bronze_parties_chunked"] = ORACLES["bronze_parties"]
 ORACLES["fk_composite_salted"] = ORACLES["fk_composite_nullsafe"]
 # Expenses are asked for under legislature 57, and only of deputies that are a member of one.

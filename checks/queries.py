@@ -10,7 +10,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-import lakestar.sources.chains as chains
 from checks import openers, proxies
 from lakestar.functions import parse_date, parse_timestamp
 from lakestar.operators import (
@@ -50,6 +49,7 @@ from lakestar.sources import (
     follow_pages,
     join_ids,
     judge_pages,
+    land_pages,
     odd_items,
     plain_client,
     read_entity,
@@ -63,9 +63,8 @@ from lakestar.sources import (
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
-# Workers may run without this repository on their path: ship the two modules that run there.
-for _module in (chains, openers):
-    cloudpickle.register_pickle_by_value(_module)
+# Workers may run without this repository on their path: the library ships itself, this module's openers go by value.
+cloudpickle.register_pickle_by_value(openers)
 
 
 def query(fn: Query) -> Query:
@@ -619,6 +618,16 @@ def fan_out_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     return add_constants(items, {"id_legislatura": "57"})
 
 
+@query
+def fan_out_by_number(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As ``fan_out_pages``, the pages of a list side by side; a first run is stopped after a wave."""
+    path, starts = scratch_path(spark, "ledger"), _fan_starts(spark, sf_dir)
+    options = {"params": {"itens": 3}, "parallelism": 8, "retry": QUIET, "numbered": "pagina", "per_wave": 4}
+    land_pages(starts, plain_client(openers.open_page_with_last), path, waves=1, **options)
+    pages = land_pages(starts, plain_client(openers.open_page_with_last), path, **options)
+    return pages.select("start_uri", "page_no", "status")
+
+
 @query
 def fan_out_rejected(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = fan_out(

@@ -10,24 +10,12 @@ from pyspark.sql import functions as F
 from lakestar.operators.joins import MAX_BROADCAST_BYTES, lookup_join
 from lakestar.operators.keys import surrogate_key
 from lakestar.session import store
-
-# Fixed value: the mark that Spark leaves in a folder when a write is whole.
-WHOLE = "_SUCCESS"
-
-
-def _batches(spark: SparkSession, path: str) -> tuple[list[str], str]:
-    """Folders of the whole batches in order, and the one for the next: a broken batch is written anew."""
-    root = spark._jvm.org.apache.hadoop.fs.Path(path)
-    files = root.getFileSystem(spark._jsc.hadoopConfiguration())
-    whole = []
-    while files.exists(spark._jvm.org.apache.hadoop.fs.Path(f"{path}/batch-{len(whole):06d}/{WHOLE}")):
-        whole.append(f"{path}/batch-{len(whole):06d}")
-    return whole, f"{path}/batch-{len(whole):06d}"
+from lakestar.sinks.batches import batches
 
 
 def read_registry(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """All keys that were ever given out."""
-    whole, _ = _batches(spark, path)
+    whole, _ = batches(spark, path)
     return spark.read.schema(schema).parquet(*whole) if whole else spark.createDataFrame([], schema)
 
 
@@ -57,7 +45,7 @@ def registered_key(
     given = df.select(*natural).distinct()
     fresh = store(keyed(given).filter(F.col("_key").isNull()).select(*natural), "fresh")
     if fresh.rows:
-        _, place = _batches(spark, path)
+        _, place = batches(spark, path)
         highest = read_registry(spark, path, schema).agg(F.max(out)).first()[0] or 0
         numbered = surrogate_key(fresh.df, out, "dense", natural).withColumn(out, F.col(out).cast("bigint") + highest)
         numbered.write.mode("overwrite").parquet(place)

@@ -1,4 +1,5 @@
 from lakestar.sources.chains import Retry, add_constants, fan_out, plain_client
+from lakestar.sources.landing import land_pages
 from lakestar.sources.pages import (
     PageWalk,
     judge_pages,
@@ -19,6 +20,7 @@ __all__ = [
     "index_pages",
     "join_ids",
     "judge_pages",
+    "land_pages",
     "odd_items",
     "plain_client",
     "read_entity",

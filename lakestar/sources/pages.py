@@ -15,10 +15,11 @@ from pyspark.sql import types as T
 
 from lakestar.session import materialize
 
-# Field names of the page envelope, the relation of the following page, and statuses.
+# Field names of the page envelope, the relations of the following and the last page, and statuses.
 DATA_FIELD = "dados"
 LINKS_FIELD = "links"
 NEXT_RELATION = "next"
+LAST_RELATION = "last"
 STATUS_NOT_FOUND = 404
 FIRST_ERROR_STATUS = 400
 
@@ -83,26 +84,29 @@ def _elements(page: Column, field: str) -> Column:
     return F.try_variant_get(page, f"$.{field}", _ARRAY)
 
 
-def read_links(page: Column, links_field: str = LINKS_FIELD, data_field: str = DATA_FIELD) -> Column:
-    """What a parsed body says besides its items: whether it is an object, whether data and links have a
-    known shape, and the address of the first link whose relation is ``next``, or null.
-
-    Links have to be an array of objects, data an object or an array; both may be missing or null. An
-    address is a text or a whole number; a link with another one leads nowhere.
-    """
-    data, links = F.try_variant_get(page, f"$.{data_field}", "variant"), F.try_variant_get(page, f"$.{links_field}", "variant")
-    each = _elements(page, links_field)
+def link_to(page: Column, relation: str = NEXT_RELATION, links_field: str = LINKS_FIELD) -> Column:
+    """Address of a parsed body's first link of that relation, or null: a text or a whole number."""
 
     def text(link: Column, name: str) -> Column:
         value = F.try_variant_get(link, f"$.{name}", "variant")
         return F.when(_is_link_text(value), F.try_variant_get(link, f"$.{name}", "string"))
 
-    first = F.get(F.filter(each, lambda link: text(link, "rel") == NEXT_RELATION), 0)
+    return text(F.get(F.filter(_elements(page, links_field), lambda link: text(link, "rel") == relation), 0), "href")
+
+
+def read_links(page: Column, links_field: str = LINKS_FIELD, data_field: str = DATA_FIELD) -> Column:
+    """What a parsed body says besides its items: whether it is an object, whether data and links have a
+    known shape, and the address of the following page, if any.
+
+    Links have to be an array of objects, data an object or an array; both may be missing or null.
+    """
+    data, links = F.try_variant_get(page, f"$.{data_field}", "variant"), F.try_variant_get(page, f"$.{links_field}", "variant")
+    objects = F.forall(_elements(page, links_field), lambda e: _is(e, _OBJECT))
     return F.struct(
         F.coalesce(_is(page, _OBJECT), F.lit(False)).alias("readable"),
         (data.isNull() | F.is_variant_null(data) | _is(data, _ARRAY) | _is(data, _OBJECT)).alias("shaped"),
-        (links.isNull() | F.is_variant_null(links) | F.coalesce(F.forall(each, lambda e: _is(e, _OBJECT)), F.lit(False))).alias("linked"),
-        text(first, "href").alias("target"),
+        (links.isNull() | F.is_variant_null(links) | F.coalesce(objects, F.lit(False))).alias("linked"),
+        link_to(page, NEXT_RELATION, links_field).alias("target"),
     )
 
 

@@ -2,7 +2,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from lakestar.operators import registered_key
-from lakestar.operators.registry import _batches, read_registry
+from lakestar.operators.registry import read_registry
+from lakestar.sinks.batches import batches
 from support import rows
 
 KIND = "name string, code int"
@@ -21,7 +22,7 @@ def test_keys_survive(spark, lake, limit):
     assert {k: again[k] for k in (("d", 1), (None, 1))} == {k: first[k] for k in (("d", 1), (None, 1))}
     assert sorted(again[k] for k in (("a", 1), (None, None))) == [5, 6]
     assert keyed(spark, [("b", 1), ("b", None)], lake) == {k: first[k] for k in (("b", 1), ("b", None))}  # gone and back
-    assert len(_batches(spark, lake)[0]) == 2  # nothing new, nothing written
+    assert len(batches(spark, lake)[0]) == 2  # nothing new, nothing written
 
 
 def test_rows_of_one_natural_key_share_it(spark, lake):
@@ -39,7 +40,7 @@ def test_a_broken_batch_does_not_count(spark, lake):
 
 
 def test_no_rows(spark, lake):
-    assert keyed(spark, [], lake) == {} and _batches(spark, lake)[0] == []
+    assert keyed(spark, [], lake) == {} and batches(spark, lake)[0] == []
 
 
 def test_published_star_keeps_its_keys(spark, lake):
