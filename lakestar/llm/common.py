@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Sequence
-from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -11,7 +10,8 @@ from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from lakestar.session import scratch_path
+from lakestar.operators.joins import lookup_join
+from lakestar.session import scratch_path, ship, store
 
 # Fixed value: a run of characters between the six ASCII blanks.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -58,26 +58,34 @@ def parts(spark: SparkSession, rows: int = 0, per_part: int = 1_000_000) -> int:
 
 
 def task(fn: Callable, groups: int = 1) -> Callable:
-    """``fn`` for workers that may run without this repository on their path; ``groups`` are its arguments."""
-    packed, root = cloudpickle.dumps(fn), str(Path(__file__).resolve().parent.parent.parent)
+    """``fn`` for workers that may run without this repository; ``groups`` are its arguments.
 
-    def load() -> Callable:
-        import pickle
-        import sys
-
-        if root not in sys.path:
-            sys.path.append(root)
-        return pickle.loads(packed)
+    The package is shipped to them as an archive (:func:`lakestar.session.ship`); ``fn`` is unpacked
+    there, when its modules can be found.
+    """
+    ship(SparkSession.getActiveSession())
+    packed = cloudpickle.dumps(fn)
 
     def one(first):
-        return load()(first)
+        import pickle
+
+        return pickle.loads(packed)(first)
 
     def two(first, second):
-        return load()(first, second)
+        import pickle
+
+        return pickle.loads(packed)(first, second)
 
     return two if groups == 2 else one
 
 
+def looked_up(left: DataFrame, right: DataFrame, on: dict[str, str], how: str = "left", null_safe: bool = False) -> DataFrame:
+    """``left`` with the columns of ``right``, which is stored and measured: broadcast if it is small, or
+    shuffled with the hot keys of ``left`` salted. Column names have to differ."""
+    kept = store(right, "side")
+    return lookup_join(left, kept.df, on, how, null_safe, profile=kept)
+
+
 def runs(batches: Iterator[pa.RecordBatch], keys: Sequence[str]) -> Iterator[pa.Table]:
     """The rows of each run of equal keys, from rows that are sorted by them; one run is held at a time."""
     key, held = None, []

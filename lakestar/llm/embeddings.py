@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakestar.llm.common import Written, dealt, parts, runs, task
+from lakestar.llm.common import Written, dealt, looked_up, parts, runs, task
 from lakestar.llm.components import components
 from lakestar.llm.shingles import U, mix
 
@@ -139,10 +139,11 @@ def embedding_duplicates(vectors: DataFrame, least: float = SIMILAR, seed: int =
     or more. A vector that is null, empty, zero or holds a null or non-finite component is linked to
     nothing, nor is one without a label; vectors of different length never are. ``n_links`` counts
     the other rows a row is linked with, equal vectors included; ``component_id`` is the smallest
-    ``vec_id`` that links reach. ``vec_id`` is expected unique: repeated ids with equal vectors are
-    rows of one component. Other columns are ignored; an empty table gives no row.
+    ``vec_id`` that links reach, null if no id is there. Rows are what is linked: a row without an id
+    links as any other, and rows that repeat an id with different vectors stay apart unless links connect
+    them. Other columns are ignored; an empty table gives no row.
 
-    Equal vectors become one row with a count before anything is paired. A row's bucket keys travel
+    Equal vectors become one node with a count and their smallest id before anything is paired. A row's bucket keys travel
     alone; only vectors in buckets of two and more follow, and a bucket above ``BLOCK`` vectors is
     compared as pairs of blocks in different tasks. Links are never listed: a task returns a count
     and a root per vector.
@@ -154,17 +155,18 @@ def embedding_duplicates(vectors: DataFrame, least: float = SIMILAR, seed: int =
     hashed = Written(
         own.mapInArrow(task(_hash(bits, tables, seed)), "vec_id long, digest binary, unit binary, buckets array<bigint>"), "hashed"
     )
-    first = F.min(F.struct("vec_id", "unit", "buckets")).alias("f")
+    kept = F.min(F.struct("unit", "buckets")).alias("f")
     nodes = Written(
         hashed.df.where("digest is not null")
         .groupBy("digest")
-        .agg(first, F.count(F.lit(1)).alias("copies"))
-        .select("digest", "copies", F.col("f.vec_id").alias("x"), F.col("f.unit").alias("unit"), F.col("f.buckets").alias("buckets")),
+        .agg(kept, F.min("vec_id").alias("first"), F.count(F.lit(1)).alias("copies"))
+        .select("digest", "copies", "first", F.monotonically_increasing_id().alias("x"), "f.unit", "f.buckets"),
         "nodes",
     )
     keys = nodes.df.select("x", F.explode("buckets").alias("bucket"))
     full = Written(keys.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "full")
     members = Written(keys.join(full.df, "bucket"), "members")
+    full.drop()
     spread = dealt(members.df, "bucket", "x", "n", BLOCK)
     rows = spread.join(nodes.df.select("x", "copies", "unit", "buckets"), "x")
     n = parts(spark, members.rows, 100_000)
@@ -175,25 +177,24 @@ def embedding_duplicates(vectors: DataFrame, least: float = SIMILAR, seed: int =
         ),
         "linked",
     )
-    roots = components(linked.df.select("x", "root"))
+    members.drop()
+    roots = components(linked.df.select("x", "root")).withColumnRenamed("node", "x")
     counts = linked.df.groupBy("x").agg(F.sum("links").alias("links"))
-    placed = (
-        nodes.df.select("digest", "x", "copies")
-        .join(counts, "x", "left")
-        .join(roots.withColumnRenamed("node", "x"), "x", "left")
-        .select(
-            "digest",
-            (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"),
-            F.coalesce("root", "x").alias("component_id"),
-        )
+    placed = Written(
+        nodes.df.select("digest", "x", "copies", "first").join(counts, "x", "left").join(roots, "x", "left").withColumn("root", F.coalesce("root", "x")),
+        "placed",
+    )
+    linked.drop()
+    firsts = placed.df.groupBy("root").agg(F.min("first").alias("component_id"))
+    known = placed.df.join(firsts, "root").select(
+        F.col("digest").alias("of"), (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"), "component_id"
     )
     return (
-        hashed.df.select("vec_id", "digest")
-        .join(Written(placed, "placed").df, "digest", "left")
+        looked_up(hashed.df.select("vec_id", "digest"), known, {"digest": "of"})
         .select(
             "vec_id",
             F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
-            F.coalesce("component_id", "vec_id").alias("component_id"),
+            F.when(F.col("of").isNull(), F.col("vec_id")).otherwise(F.col("component_id")).alias("component_id"),
         )
         .withColumn("kept", F.col("vec_id").eqNullSafe(F.col("component_id")))
     )

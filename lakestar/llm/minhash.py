@@ -8,10 +8,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakestar.llm.common import Written, dealt, parts, runs, task
+from lakestar.llm.common import Written, looked_up, parts, runs, task
 from lakestar.llm.components import components
 from lakestar.llm.shingles import U, mix, shingles, word_hashes
 
@@ -116,11 +116,12 @@ def _sign(counted: bool):
             yield pa.record_batch(
                 [
                     batch.column("doc_id"),
+                    batch.column("mark"),
                     pa.array(keys, pa.binary()),
                     pa.array(sizes, pa.float64()),
                     pa.array(bands, pa.list_(pa.int64())),
                 ],
-                names=["doc_id", "key", "size", "bands"],
+                names=["doc_id", "mark", "key", "size", "bands"],
             )
 
     return run
@@ -163,38 +164,69 @@ def _sets(counted: bool):
     return run
 
 
-def cross_links(roots: np.ndarray, sets: list[np.ndarray], weights: list[np.ndarray] | None, least: float) -> list[tuple[int, int]]:
-    """Places of similar sets with different roots, one for each set and root.
+def cross_links(
+    roots: np.ndarray,
+    sets: list[np.ndarray],
+    weights: list[np.ndarray] | None,
+    asked: np.ndarray,
+    least: float,
+) -> list[tuple[int, int]]:
+    """Places of similar sets with different roots: for each one ``asked`` about, one for each other root.
 
-    Sets outside the largest component are looked up in an index of all sets by element, so each
-    costs the sets it shares elements with.
+    The others are an index by element, so each that is asked about costs the sets it shares elements with.
     """
-    known, times = np.unique(roots, return_counts=True)
-    outside = np.flatnonzero(roots != known[times.argmax()])
-    owner = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
-    elements = np.concatenate(sets)
+    known = np.flatnonzero(~asked)
+    if not len(known) or len(known) == len(sets):
+        return []
+    owner = np.repeat(known, [len(sets[i]) for i in known])
+    elements = np.concatenate([sets[i] for i in known])
     order = np.argsort(elements, kind="stable")
     elements, owner = elements[order], owner[order]
-    weight = None if weights is None else np.concatenate(weights)[order]
+    weight = None if weights is None else np.concatenate([weights[i] for i in known])[order]
     total = np.array([len(s) for s in sets]) if weights is None else np.array([w.sum() for w in weights])
     links = []
-    for i in outside:
+    for i in np.flatnonzero(asked):
         low, high = np.searchsorted(elements, sets[i], side="left"), np.searchsorted(elements, sets[i], side="right")
         n = high - low
         at = np.repeat(low - (np.cumsum(n) - n), n) + np.arange(n.sum())
         shared = None if weight is None else np.minimum(weight[at], np.repeat(weights[i], n))
         common = np.bincount(owner[at], weights=shared, minlength=len(sets))
-        alike = np.flatnonzero((common >= least * (total + total[i] - common)) & (roots != roots[i]))
+        alike = np.flatnonzero((common > 0) & (common >= least * (total + total[i] - common)) & (roots != roots[i]))
         links += [(int(i), int(alike[k])) for k in np.unique(roots[alike], return_index=True)[1]]
     return links
 
 
+def dealt_outside(many: DataFrame, block: int) -> DataFrame:
+    """Rows of ``band, x, rx`` so that each row outside its band's largest component meets every row of the band.
+
+    ``low`` numbers blocks of the rows outside, which are ``asked`` about, ``high`` blocks of all rows. Few
+    rows outside cost little more than the band's rows, once.
+    """
+    counted = many.groupBy("band", "rx").agg(F.count(F.lit(1)).alias("m"))
+    bands = counted.groupBy("band").agg(F.max_by("rx", F.struct("m", "rx")).alias("top"), F.sum("m").alias("all"), F.max("m").alias("m"))
+    sizes = bands.select(
+        F.col("band").alias("of"), "top", F.ceil(F.col("all") / block).cast("int").alias("highs"), F.ceil((F.col("all") - F.col("m")) / block).cast("int").alias("lows")
+    )
+    sized = looked_up(many, sizes, {"band": "of"}, "inner")
+
+    def own(blocks: str) -> Column:
+        return F.pmod(F.xxhash64("x", "band"), F.col(blocks)).cast("int")
+
+    def each(blocks: str) -> Column:
+        return F.explode(F.sequence(F.lit(0), F.col(blocks) - 1))
+
+    held = sized.select("band", "x", "rx", F.lit(False).alias("asked"), own("highs").alias("high"), each("lows").alias("low"))
+    asked = sized.where("rx != top").select("band", "x", "rx", F.lit(True).alias("asked"), each("highs").alias("high"), own("lows").alias("low"))
+    return held.unionByName(asked)
+
+
 def _cross(least: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in runs(batches, ("band", "low", "high")):
             x, sets = table["x"].to_numpy(), [np.frombuffer(s.as_buffer(), dtype=U) for s in table["names"]]
-            weights = [w.as_buffer() for w in table["weights"] if w.is_valid]
-            found = cross_links(table["rx"].to_numpy(), sets, [np.frombuffer(w) for w in weights] or None, least)
+            weights = [np.frombuffer(w.as_buffer()) for w in table["weights"] if w.is_valid]
+            asked = table["asked"].to_numpy()
+            found = cross_links(table["rx"].to_numpy(), sets, weights or None, asked, least)
             if found:
                 yield pa.record_batch([pa.array(x[list(c)]) for c in zip(*found)], names=["x", "y"])
 
@@ -209,17 +241,18 @@ def _verify(pairs: DataFrame, texts: DataFrame, counted: bool, least: float) ->
 
 
 def near_duplicates(docs: DataFrame, least: float = SIMILAR, counted: bool = False) -> DataFrame:
-    """``doc_id, class_id, group_size, kept`` for every row of ``docs``.
+    """``doc_id, class_id, group_size, kept, mark, alone`` for every row of ``docs``.
 
     Documents are linked when their sets of five-word shingles (``counted``: multisets) have a
     Jaccard similarity of ``least`` or more; words are runs between ASCII blanks, a text of fewer
     than five words is one shingle, one without words is linked to nothing. A class is what links
-    connect; its id is the smallest ``doc_id``, whose row is kept.
+    connect; its id is the smallest ``doc_id`` in it, null if there is none. Its first row is kept, by
+    ``doc_id``, null last, then by ``mark``, a hash of the text; of rows that are equal in both all are. A
+    row without words is a class of its own (``alone``), kept.
 
     Rows of equal word sequences form one node before anything is paired, by an aggregation that
-    combines before its shuffle. Rows that repeat a ``doc_id`` share its class; a row without an id
-    or without words is a class of its own, kept. Other columns are ignored; an empty table gives no
-    row.
+    combines before its shuffle. Texts are what is linked: rows that repeat an id, or have none, are
+    classed by their texts like any others. Other columns are ignored; an empty table gives no row.
 
     Nodes that share a band are candidates. Each is compared first with the smallest of its bands'
     first nodes, then with the first nodes of other components, then the nodes of each band that are
@@ -229,13 +262,15 @@ def near_duplicates(docs: DataFrame, least: float = SIMILAR, counted: bool = Fal
     Similarities are computed from whole texts.
     """
     own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    signed = Written(own.mapInArrow(task(_sign(counted)), "doc_id long, key binary, size double, bands array<bigint>"), "signed")
-    node = F.min(F.struct("doc_id", "size", "bands")).alias("n")
+    own = own.withColumn("mark", F.xxhash64("text"))
+    kinds = "doc_id long, mark long, key binary, size double, bands array<bigint>"
+    signed = Written(own.mapInArrow(task(_sign(counted)), kinds), "signed")
+    place = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "mark")
     nodes = Written(
-        signed.df.where("bands is not null and doc_id is not null")
+        signed.df.where("bands is not null")
         .groupBy("key")
-        .agg(node)
-        .select("key", F.col("n.doc_id").alias("x"), F.col("n.size").alias("size"), F.col("n.bands").alias("bands")),
+        .agg(F.min(F.struct("size", "bands")).alias("n"), F.min(place).alias("p"))
+        .select("key", F.monotonically_increasing_id().alias("x"), "n.size", "n.bands", "p.last", F.coalesce("p.doc_id", F.lit(0)).alias("own_id"), F.col("p.mark").alias("own_mark")),
         "nodes",
     )
     banded = Written(nodes.df.select(F.explode("bands").alias("band"), "x", "size"), "bands")
@@ -250,8 +285,12 @@ def near_duplicates(docs: DataFrame, least: float = SIMILAR, counted: bool = Fal
     members = Written(banded.df.join(first.df, "band"), "members")
     banded.drop()
     first.drop()
-    ids = members.df.select(F.col("x").alias("id")).distinct()
-    texts = Written(own.withColumnRenamed("doc_id", "id").join(ids.hint("shuffle_hash"), "id", "left_semi"), "texts")
+    wanted = nodes.df.join(members.df.select("x").distinct(), "x", "left_semi").select(F.col("x").alias("id"), "last", "own_id", "own_mark")
+    stands = own.select(F.col("doc_id").isNull().alias("last"), F.coalesce("doc_id", F.lit(0)).alias("own_id"), F.col("mark").alias("own_mark"), "text")
+    loaded = stands.join(wanted.hint("shuffle_hash"), ["last", "own_id", "own_mark"])
+    if signed.df.groupBy("doc_id", "mark").count().where("count > 1").limit(1).count():  # one text of equal rows
+        loaded = loaded.groupBy("last", "own_id", "own_mark", "id").agg(F.first("text").alias("text"))
+    texts = Written(loaded.select("id", "text"), "texts")
 
     start = members.df.where((F.col("x") != F.col("y")) & near).groupBy("x").agg(F.min("y").alias("y"))
     tried = Written(start, "start")
@@ -289,21 +328,29 @@ def near_duplicates(docs: DataFrame, least: float = SIMILAR, counted: bool = Fal
     many = mixed.df.where(F.col("n") > FEW)
     wanted = many.select(F.col("x").alias("id")).distinct()
     sets = texts.df.join(wanted, "id", "left_semi").mapInArrow(task(_sets(counted)), "x long, names binary, weights binary")
-    spread = dealt(many.select("band", "x", "rx", "n"), "band", "x", "n", BLOCK).join(Written(sets, "sets").df, "x")
+    stored = Written(sets, "sets")
+    spread = dealt_outside(many.select("band", "x", "rx"), BLOCK).join(stored.df, "x")
     grouped = spread.repartition(parts(docs.sparkSession, mixed.rows, 100_000), "band", "low", "high")
-    grouped = grouped.sortWithinPartitions("band", "low", "high").select("band", "low", "high", "x", "rx", "names", "weights")
+    grouped = grouped.sortWithinPartitions("band", "low", "high").select("band", "low", "high", "asked", "x", "rx", "names", "weights")
     found.append(Written(grouped.mapInArrow(task(_cross(least)), "x long, y long"), "across"))
     if any(more.rows for more in found[-2:]):
         roots = placed()
     for table in (members, texts, tried, second, rooted, mixed, third):
         table.drop()
-    classes = Written(at(nodes.df.select("key", "x"), "x", "class_id", roots), "classes")
-    rows = signed.df.select("doc_id", "key").join(classes.df.select("key", "class_id"), "key", "left")
-    rows = rows.select("doc_id", F.coalesce("class_id", "doc_id").alias("class_id"), F.col("class_id").isNull().alias("alone"))
-    sizes = rows.where("not alone").groupBy("class_id").agg(F.count(F.lit(1)).alias("group_size"))
-    return rows.join(sizes, "class_id", "left").select(
+    stored.drop()
+    classes = at(nodes.df.select(F.col("key").alias("of"), "x"), "x", "root", roots).select("of", "root")
+    rows = Written(looked_up(signed.df.select("doc_id", "mark", "key"), classes, {"key": "of"}).select("doc_id", "mark", "root"), "rows").df
+    groups = rows.where("root is not null").groupBy(F.col("root").alias("group")).agg(
+        F.min("doc_id").alias("class_id"), F.count(F.lit(1)).alias("group_size"), F.min(place).alias("p")
+    )
+    found_rows = looked_up(rows, groups, {"root": "group"})
+    alone = F.col("root").isNull()
+    first = F.col("doc_id").eqNullSafe(F.col("p.doc_id")) & (F.col("mark") == F.col("p.mark"))
+    return found_rows.select(
         "doc_id",
-        "class_id",
-        F.when(F.col("alone"), 1).otherwise(F.col("group_size")).cast("long").alias("group_size"),
-        (F.col("alone") | F.col("doc_id").eqNullSafe(F.col("class_id"))).alias("kept"),
+        F.when(alone, F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"),
+        F.when(alone, 1).otherwise(F.col("group_size")).cast("long").alias("group_size"),
+        (alone | first).alias("kept"),
+        "mark",
+        alone.alias("alone"),
     )

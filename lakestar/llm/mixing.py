@@ -10,8 +10,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lakestar.llm.common import WORD, Written, parts
-from lakestar.operators.joins import lookup_join
+from lakestar.llm.common import WORD, Written, looked_up, parts
 
 #: Words of a block.
 BLOCK = 16
@@ -139,7 +138,7 @@ def _ranked(sources: DataFrame, rows: int) -> DataFrame:
     return ranked.select(*sources.columns, (F.col("rank") + F.col("before")).alias("rank"))
 
 
-def _planned(sources: DataFrame, share: float, repeat: float) -> Written:
+def _planned(sources: DataFrame, share: float, repeat: float) -> DataFrame:
     """``of, at, source_size, target, words, shards`` for each source: what it should give and gives.
 
     Sources of one size and weight are one entry to the driver: of sources with N words together there
@@ -162,7 +161,7 @@ def _planned(sources: DataFrame, share: float, repeat: float) -> Written:
     per_shard = max(SHARD, total // SHARDS)
     held = (F.col("rank") >= F.col("low")) & (F.col("rank") < F.col("high"))
     ranked = _ranked(sources, sum(times))
-    planned = ranked.join(F.broadcast(plan), ["n", "weight"]).where(held).select(
+    return ranked.join(F.broadcast(plan), ["n", "weight"]).where(held).select(
         F.col("source").alias("of"),
         F.col("position").alias("at"),
         F.col("n").alias("source_size"),
@@ -170,7 +169,6 @@ def _planned(sources: DataFrame, share: float, repeat: float) -> Written:
         "words",
         F.greatest(F.lit(1), F.ceil(F.col("n") / F.lit(per_shard))).cast("long").alias("shards"),
     )
-    return Written(planned, "sources", size=F.sum(F.coalesce(F.octet_length("of"), F.lit(0)) + F.lit(128)))
 
 
 def mix(
@@ -212,13 +210,8 @@ def mix(
     known = Written(sized.df.groupBy("source").agg(F.sum("size").alias("n")), "known")
     sources = _positions(known.df).withColumn("weight", weigh(F.col("position")).cast("double"))
     plan = _planned(sources, share, repeat)
-    known.drop()
-
-    class Measured:
-        size_bytes = plan.figures["size"] or 0
-
     place = (
-        lookup_join(sized.df, plan.df, {"source": "of"}, "inner", null_safe=True, profile=Measured)
+        looked_up(sized.df, plan, {"source": "of"}, "inner", null_safe=True)
         .withColumn("shard", F.pmod(_hash(seed, "doc_id", "mark"), F.col("shards")).cast("int"))
         .drop("of")
     )

@@ -53,7 +53,7 @@ def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_duplicates(table(spark, sf_dir, "documents"))
+    return near_duplicates(table(spark, sf_dir, "documents")).drop("mark", "alone")
 
 
 def op7_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -28,7 +28,7 @@ def brute(rows, least=SIMILAR):
                 if j not in seen:
                     seen.add(j)
                     todo.append(j)
-        found.append((rows[i][0], len(linked[i]), min(rows[j][0] for j in seen)))
+        found.append((rows[i][0], len(linked[i]), min((rows[j][0] for j in seen if rows[j][0] is not None), default=None)))
     return found
 
 
@@ -58,6 +58,19 @@ def test_odd_vectors(spark):
     assert embedding_duplicates(table(spark, [])).count() == 0
 
 
+@pytest.mark.parametrize("seed", range(2))
+def test_rows_without_an_id_and_ids_that_repeat(spark, seed):
+    """Rows are linked, whatever their ids: a null id takes no link away, a repeated one connects nothing."""
+    r = np.random.default_rng(seed)
+    v, w, u = ([float(x) for x in r.normal(size=8)] for _ in range(3))
+    near = [x * (1 + 0.02 * (i % 2)) for i, x in enumerate(v)]
+    rows = [(5, 1, v), (7, 1, near), (None, 1, v), (None, 1, w), (9, 1, w), (9, 1, u), (9, 1, u), (3, 1, u), (None, 2, u), (None, 2, [-x for x in u]), (9, 2, v)]
+    rows += [(int(r.integers(0, 30)) if i % 4 else None, 3, [float(x) for x in (v if i % 3 else w) + r.normal(size=8) * 0.25]) for i in range(80)]
+    key = lambda t: tuple((x is None, x) for x in t)
+    out = embedding_duplicates(table(spark, rows).repartition(3)).collect()
+    assert sorted(((x.vec_id, x.n_links, x.component_id) for x in out), key=key) == sorted(brute(rows), key=key)
+
+
 def test_blocks_of_a_large_bucket_count_each_pair_once(spark, monkeypatch):
     import lakestar.llm.embeddings as module
 

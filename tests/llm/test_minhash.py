@@ -3,9 +3,10 @@ import hashlib
 import numpy as np
 import pytest
 from odd import ROWS, odd_docs
+from pyspark.sql import functions as F
 
 from lakestar.llm import minhash
-from lakestar.llm.minhash import BANDS, near_duplicates, dart_signature, similarity
+from lakestar.llm.minhash import BANDS, dart_signature, dealt_outside, near_duplicates, similarity
 from lakestar.llm.shingles import STEP, shingles, word_hashes
 
 
@@ -26,13 +27,13 @@ def brute(rows):
 
     for i, a in enumerate(sets):
         for j, b in enumerate(sets[:i]):
-            if a and b and rows[i][0] is not None and rows[j][0] is not None and len(a & b) >= 0.8 * len(a | b):
+            if a and b and len(a & b) >= 0.8 * len(a | b):
                 at[root(i)] = root(j)
     classes = {}
     for i, r in enumerate(rows):
         if r[0] is not None:
             classes[root(i)] = min(classes.get(root(i), r[0]), r[0])
-    return [(r[0], classes[root(i)] if r[0] is not None else None) for i, r in enumerate(rows)]
+    return [(r[0], classes.get(root(i))) for i, r in enumerate(rows)]
 
 
 def variants(n=240, seed=1):
@@ -97,6 +98,27 @@ def test_odd_rows(spark):
     assert [r.kept for r in near_duplicates(odd_docs(spark, [(None, "a b", None, None, None)])).collect()] == [True]
 
 
+def test_ids_that_repeat_or_are_missing(spark):
+    """Texts are linked, not ids: two clean texts under one id are two classes, copies without ids are one."""
+    a, b, c = (" ".join(f"{k}{i}" for i in range(60)) for k in "abc")
+    rows = [(1, a), (1, b), (2, a), (3, b), (None, c), (None, c + " more"), (None, c), (None, "d e f g h i"), (4, ""), (4, "")]
+    rows = [(i, t, None, None, None) for i, t in rows]
+    out = near_duplicates(odd_docs(spark, rows)).collect()
+    key = lambda r: tuple((v is None, v) for v in r)
+    assert sorted(((r.doc_id, r.class_id) for r in out), key=key) == sorted(brute(rows), key=key)
+    assert sorted(r.group_size for r in out) == [1, 1, 1, 2, 2, 2, 2, 3, 3, 3]
+    assert len({(r.doc_id, r.mark) for r in out if r.kept and not r.alone}) == 4 and sum(r.alone for r in out) == 2
+
+
+def test_one_outlier_in_a_large_band_deals_its_rows_once(spark):
+    rows = [(7, i, 0 if i else 1) for i in range(5000)] + [(8, i, i % 2) for i in range(1000)]
+    spread = dealt_outside(spark.createDataFrame(rows, "band long, x long, rx long"), 100)
+    n = {r.band: r["count"] for r in spread.groupBy("band").count().collect()}
+    assert n == {7: 5000 + 50, 8: 1000 * 5 + 500 * 10}
+    met = spread.where("asked").alias("a").join(spread.where("not asked").alias("b"), ["band", "low", "high"])
+    assert met.select("band", "a.x", F.col("b.x").alias("y")).distinct().groupBy("band").count().orderBy("band").collect() == [(7, 5000), (8, 500_000)]
+
+
 @pytest.mark.parametrize("n, j", [(6, 0.5), (60, 0.8), (4000, 0.8)])
 def test_signatures_agree_as_often_as_sets_overlap(n, j):
     r = np.random.default_rng(n)
