@@ -121,6 +121,7 @@ class Model:
     runs: np.ndarray
     words: np.ndarray
     scripts: np.ndarray  # scripts x languages: 0 or FOREIGN
+    unseen: np.ndarray  # scripts that no language was seen in
 
     @classmethod
     def fit(cls, names: list[str], runs: np.ndarray, words: np.ndarray, scripts: np.ndarray) -> Model:
@@ -128,7 +129,7 @@ class Model:
             return np.log((counts + 0.1) / (counts.sum(axis=0) + 0.1 * SLOTS)).astype(np.float32)
 
         seen = scripts > 0.01 * scripts.sum(axis=0)
-        return cls(names, log(runs), log(words), np.where(seen | ~seen.any(axis=1, keepdims=True), 0, FOREIGN).astype(np.float32))
+        return cls(names, log(runs), log(words), np.where(seen | ~seen.any(axis=1, keepdims=True), 0, FOREIGN).astype(np.float32), ~scripts.any(axis=1))
 
     def scores(self, found: Words) -> np.ndarray:
         """Log probability of every word in every language, and the scripts' say."""
@@ -235,26 +236,31 @@ def _joined(arrays: list[np.ndarray]) -> np.ndarray:
     return np.concatenate(arrays).astype(np.int32) if arrays else np.zeros(0, dtype=np.int32)
 
 
-def label_text(model: Model, texts: list[str]) -> list[tuple[str, float, list[tuple[int, int, str]]]]:
-    """Language, share of the letters in it, and spans of code points, for each text."""
+def label_text(model: Model, texts: list[str]) -> list[tuple[str, float, list[tuple[int, int, str]], float]]:
+    """Language, share of the letters in it, spans of code points, and share of the letters in scripts that
+    no language was seen in, for each text."""
     found: list[tuple[np.ndarray, np.ndarray]] = []
+    foreign: list[float] = []
     scores: list[np.ndarray] = []
     for text in texts:
         steps = [(begin, words_of(points)) for begin, points in _steps(_points(text))]  # one text's features at a time
         found.append((_joined([w.begins + b for b, w in steps]), _joined([w.ends + b for b, w in steps])))
+        sizes, strange = _joined([w.ends - w.begins for _, w in steps]), [model.unseen[w.script] for _, w in steps]
+        foreign.append(float(sizes[np.concatenate(strange)].sum() / sizes.sum()) if len(sizes) else 0.0)
         own = [model.scores(w) for _, w in steps]
         scores.append(np.concatenate(own) if own else np.zeros((0, len(model.names)), dtype=np.float32))
     labelled = []
-    for text, (begins, ends), path in zip(texts, found, viterbi(scores) if model.names else [np.zeros(0, np.int16)] * len(texts)):
+    paths = viterbi(scores) if model.names else [np.zeros(0, np.int16)] * len(texts)
+    for text, (begins, ends), path, strange in zip(texts, found, paths, foreign):
         if not len(path) or not any(map(str.isalpha, text)):
-            labelled.append((UNKNOWN, 0.0, []))
+            labelled.append((UNKNOWN, 0.0, [], 0.0))
             continue
         weight = np.bincount(path, weights=ends - begins, minlength=len(model.names))
         top = int(weight.argmax())
         turns = np.flatnonzero(np.diff(path)) + 1
         firsts, lasts = np.concatenate([[0], turns]), np.concatenate([turns, [len(path)]]) - 1
         spans = [(int(begins[a]), int(ends[b]), model.names[path[a]]) for a, b in zip(firsts, lasts)]
-        labelled.append((model.names[top], float(weight[top] / weight.sum()), spans))
+        labelled.append((model.names[top], float(weight[top] / weight.sum()), spans, strange))
     return labelled
 
 
@@ -274,23 +280,24 @@ def _label(model: Model):
                     size += sizes[end]
                     end += 1
                 found = label_text(model, batch.column("read").slice(begin, end - begin).to_pylist())
-                spans = [[{"begin": a, "end": b, "lang": c} for a, b, c in s] for _, _, s in found]
+                spans = [[{"begin": a, "end": b, "lang": c} for a, b, c in f[2]] for f in found]
                 own = batch.slice(begin, end - begin)
                 carried = [n for n in own.schema.names if n != "read"]
-                made = [pa.array([f[0] for f in found]), pa.array([f[1] for f in found]), pa.array(spans, span)]
-                yield pa.record_batch([*(own.column(n) for n in carried), *made], names=[*carried, "lang_pred", "score", "spans"])
+                made = [pa.array([f[0] for f in found]), pa.array([f[1] for f in found]), pa.array(spans, span), pa.array([f[3] for f in found])]
+                yield pa.record_batch([*(own.column(n) for n in carried), *made], names=[*carried, "lang_pred", "score", "spans", "foreign"])
                 begin = end
 
     return run
 
 
 def identify_languages(docs: DataFrame, model: Model, carry: Sequence[str] = ("doc_id",)) -> DataFrame:
-    """``lang_pred, score, spans`` after ``own_`` columns of those in ``carry``, for every row of ``docs``.
+    """``lang_pred, score, spans, foreign`` after ``own_`` columns of those in ``carry``, for every row of ``docs``.
 
     A word is a run of letters. Its script leaves the languages seen in that script; their scores for
     its letter runs and itself go into a Viterbi path that pays for each change of language. Spans
     are places of code points; the text's language is the one of most letters, the score its share of
-    them. Null texts and texts without a letter are ``und`` with score 0 and no spans; with a model
+    them. ``foreign`` is the share of letters in scripts that the model never saw, whose language is a
+    guess. Null texts and texts without a letter are ``und`` with score 0 and no spans; with a model
     that learned no language all are. Ids may be null or repeated; columns that aren't carried are
     ignored, and none clashes; an empty table gives no row. The model is at most ``SLOTS`` numbers
     per language and kind.
@@ -298,4 +305,4 @@ def identify_languages(docs: DataFrame, model: Model, carry: Sequence[str] = ("d
     own = docs.select(*[F.col(c).alias(f"own_{c}") for c in carry], F.coalesce("text", F.lit("")).alias("read"))
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in own.schema.fields if f.name != "read")
     spans = "spans array<struct<begin:bigint,end:bigint,lang:string>>"
-    return own.mapInArrow(task(_label(model)), ", ".join(x for x in (kinds, "lang_pred string", "score double", spans) if x))
+    return own.mapInArrow(task(_label(model)), ", ".join(x for x in (kinds, "lang_pred string", "score double", spans, "foreign double") if x))

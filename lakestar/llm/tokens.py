@@ -4,14 +4,13 @@ from __future__ import annotations
 
 from array import array
 from functools import lru_cache
-from operator import attrgetter
 from sys import byteorder
 
 import regex
 from tokenizers import Tokenizer, pre_tokenizers
 
 #: Pieces a worker remembers in each of two generations; a piece beyond them is encoded again.
-REMEMBERED = 200_000
+REMEMBERED = 300_000
 #: Marks that never join the letters before them.
 ENDS = ".,;:!?"
 #: White space, as ``str.isspace`` has it.
@@ -48,6 +47,7 @@ class Encoder(dict):
         self.tokenizer = Tokenizer.from_file(path)
         self.model = self.tokenizer.model
         self.model._resize_cache(0)  # stretches are remembered here
+        self.tokenize = self.model.tokenize
         self.older: dict[str, bytes] = {}
         self.letters = _byte_letters()
         self.blank = chr(self.letters[32])
@@ -66,10 +66,12 @@ class Encoder(dict):
         self.added_bare = not any(t.single_word or t.lstrip or t.rstrip or t.normalized for t in added.values())
 
     def __missing__(self, word: str) -> bytes:
+        if word[-1:] in ENDS and word[:-1].isalpha():  # as quickly put together as remembered
+            return self[word[:-1]] + self._bare(word[-1])
         ids = self.older.get(word)
         if ids is None:
-            if word[:-1].isalpha() and word[-1] in ENDS:
-                ids = self[word[:-1]] + self._bare(word[-1])
+            if word.isascii() and word.isalpha():
+                ids = array("I", [t.id for t in self.tokenize(self.blank + word)]).tobytes()
             else:
                 ids = self._merge(" " + word)
         if len(self) >= REMEMBERED:
@@ -87,7 +89,7 @@ class Encoder(dict):
             spelled = token.replace(" ", self.blank)
         else:
             spelled = token.encode("utf-8", "replace").decode("latin-1").translate(self.letters)
-        return array("I", map(_ID, self.model.tokenize(spelled))).tobytes()
+        return array("I", [t.id for t in self.tokenize(spelled)]).tobytes()
 
     def encode(self, text: str) -> bytes:
         if not text:
@@ -110,7 +112,6 @@ class Encoder(dict):
         return b"".join([self._merge(first), *map(self.__getitem__, rest)])
 
 
-_ID = attrgetter("id")
 _CUT = regex.compile(r"(?<=\S) (?=\S)")
 
 

@@ -8,6 +8,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -26,6 +27,12 @@ SHARD = 1 << 20
 _ONES = np.array([bin(b).count("1") for b in range(256)], dtype=np.uint8)
 
 
+def _where(numbers: np.ndarray, held: np.ndarray) -> np.ndarray:
+    """``numbers[held]``, by Arrow's filter, which takes less than half the time."""
+    bits = pa.py_buffer(np.packbits(held, bitorder="little"))
+    return pc.filter(pa.array(numbers), pa.Array.from_buffers(pa.bool_(), len(held), [None, bits])).to_numpy()
+
+
 class WaveletMatrix:
     """A sequence of unsigned numbers as planes of bits, highest bit first.
 
@@ -54,7 +61,8 @@ class WaveletMatrix:
         for bit in range(bits - 1, -1, -1):
             ones = (now >> now.dtype.type(bit) & now.dtype.type(1)).astype(bool)
             planes.append(np.packbits(ones))
-            now = np.concatenate([now[~ones], now[ones]])
+            if bit:
+                now = np.concatenate([_where(now, ~ones), _where(now, ones)])
         return cls(len(numbers), planes)
 
     def _rank(self, plane: int, i: int) -> int:
@@ -120,8 +128,8 @@ class WaveletMatrix:
         for p in range(len(self.planes) - 1, -1, -1):
             ones = np.unpackbits(self.planes[p], count=self.n).astype(bool)
             before = np.empty_like(now)
-            before[~ones] = now[: self.zeros[p]]
-            before[ones] = now[self.zeros[p] :] | kind(1 << (len(self.planes) - 1 - p))
+            before[np.flatnonzero(~ones)] = now[: self.zeros[p]]
+            before[np.flatnonzero(ones)] = now[self.zeros[p] :] | kind(1 << (len(self.planes) - 1 - p))
             now = before
         return now.astype(np.uint32)
 

@@ -36,7 +36,7 @@ def test_spans_of_a_mixed_text(spark, model):
     rows = spark.read.parquet(f"{SF}/documents.parquet").where("length(text) > 800").collect()
     one = {lang: next(" ".join(r.text.split()[:60]) for r in rows if r.lang == lang) for lang in ("en", "de", "fr")}
     text = f"{one['de']} {one['fr']} 1234 {one['en']}"
-    ((lang, score, spans),) = label_text(model, [text])
+    ((lang, score, spans, _),) = label_text(model, [text])
     assert [s[2] for s in spans] == ["de", "fr", "en"] and 0 < score < 1 and lang in one
     assert abs(spans[1][0] - len(one["de"]) - 1) < 30 and abs(spans[2][0] - text.index("1234")) < 30
     assert spans[0][0] == 0 and all(a[1] <= b[0] for a, b in zip(spans, spans[1:]))

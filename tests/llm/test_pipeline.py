@@ -31,7 +31,7 @@ def test_the_contract_has_every_query():
     import __spark_entry__ as contract
 
     assert set(QUERIES) <= set(contract.queries()) and set(ORACLES) <= set(contract.oracle_sql())
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES if n != "pipeline") == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES if n != "pipeline") == list(range(1, 14))
 
 
 def test_stages_against_brute_force(spark):
@@ -68,6 +68,25 @@ def test_stages_against_brute_force(spark):
     check_pieces([tuple(r) for r in mixed.collect()], stage["packing"](spark, mixed, SF).collect())
 
 
+def test_near_dedup_keeps_clean_texts(spark):
+    """Ids that repeat or are missing take no clean text away, and leave no copy."""
+    a, b, c = (" ".join(f"{k}{i}" for i in range(60)) for k in "abc")
+    rows = [(1, a), (1, b), (2, a), (3, b), (None, c), (None, c), (None, c + " more"), (5, None), (5, "  ")]
+    stage = dict(corpus_pipeline.STAGES)["MinHash near-dedup"]
+    out = stage(spark, odd_docs(spark, [(i, t, None, None, None) for i, t in rows]), SF).collect()
+    assert sorted(r.text for r in out if r.doc_id == 1) == sorted([a, b])
+    others = [(r.doc_id, r.text) for r in out if r.doc_id != 1]
+    assert len(others) == 3 and {(5, None), (5, "  ")} < set(others) and sum(t in (c, c + " more") for _, t in others) == 1
+
+
+def test_language_stage_rejects_scripts_it_never_saw(spark):
+    english, german = "the quick brown fox jumps over the lazy dog ", "der schnelle braune Fuchs springt über den Hund "
+    rows = [(1, english * 4, "en"), (2, german * 4, "de"), (3, "これは日本語の文章です", None), (4, "これは the quick brown fox", None), (5, english, None)]
+    stage = dict(corpus_pipeline.STAGES)["language ID"]
+    out = stage(spark, odd_docs(spark, [(i, t, lang, "a", 1) for i, t, lang in rows]), SF).collect()
+    assert sorted(r.doc_id for r in out) == [1, 2, 4, 5]
+
+
 def test_the_run_is_its_stages(spark):
     a = corpus_pipeline.run(spark, SF).toPandas()
     b = corpus_pipeline.run(spark, SF).toPandas()
