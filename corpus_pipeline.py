@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from lakestar.llm.common import written
+from lakestar.llm.common import WORD, written
 from lakestar.llm.language import UNKNOWN, fit_languages, identify_languages
 from lakestar.llm.lines import dedup_lines
 from lakestar.llm.minhash import near_duplicates
@@ -18,9 +18,12 @@ from lakestar.llm.queries import VOCABULARY
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rows whose text has a language that the labelled rows teach; null and letterless texts go."""
+    """Rows whose text may be in a language that the labelled rows teach.
+
+    Null and letterless texts go, and texts whose every letter is in a script that no labelled row has.
+    """
     model = fit_languages(docs)
-    found = identify_languages(docs, model, carry=docs.columns).where(F.col("lang_pred") != UNKNOWN)
+    found = identify_languages(docs, model, carry=docs.columns).where((F.col("lang_pred") != UNKNOWN) & (F.col("foreign") < 1))
     return found.select(*[F.col(f"own_{c}").alias(c) for c in docs.columns])
 
 
@@ -36,16 +39,19 @@ def without_boilerplate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def one_of_each_class(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One row of every class of near duplicates, the one with the smallest id.
+    """One row of every class of near duplicates: the one with the smallest id, null last, then by its text.
 
-    Rows without an id or without words are classes of their own; of rows that repeat an id, one stays.
+    Classes go by texts: different texts under one id both stay, copies without an id leave one. Rows
+    without words are classes of their own.
     """
-    kept = near_duplicates(docs).where("kept and doc_id is not null").select(F.col("doc_id").alias("kept_id")).distinct()
-    names = docs.columns
-    own = docs.where("doc_id is not null").withColumn("kept_id", F.col("doc_id").cast("long"))
-    nth = F.row_number().over(Window.partitionBy("kept_id").orderBy(F.xxhash64("text")))
-    first = own.withColumn("kept_nth", nth).where("kept_nth = 1").join(kept, "kept_id", "left_semi").select(names)
-    return first.unionByName(docs.where("doc_id is null"))
+    near = near_duplicates(docs).where("kept and not alone")
+    kept = near.select(F.col("doc_id").alias("kept_id"), F.col("mark").alias("kept_mark")).distinct()
+    text = F.coalesce("text", F.lit(""))
+    own = docs.select(F.struct(*docs.columns).alias("own"), F.col("doc_id").cast("long").alias("own_id"), F.xxhash64(text).alias("own_mark"), text.rlike(WORD).alias("worded"))
+    same = F.col("own_id").eqNullSafe(F.col("kept_id")) & (F.col("own_mark") == F.col("kept_mark"))
+    first = Window.partitionBy("own_id", "own_mark").orderBy(F.xxhash64("own"))
+    one = own.where("worded").join(kept, same, "left_semi").withColumn("nth", F.row_number().over(first)).where("nth = 1")
+    return one.select("own.*").unionByName(own.where("not worded").select("own.*"))
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
