@@ -10,7 +10,9 @@ import regex
 from tokenizers import Tokenizer, pre_tokenizers
 
 #: Pieces a worker remembers in each of two generations; a piece beyond them is encoded again.
-REMEMBERED = 300_000
+REMEMBERED = 400_000
+#: Pre-tokens without a blank before them that a worker remembers.
+BARE = 1 << 16
 #: Marks that never join the letters before them.
 ENDS = ".,;:!?"
 #: White space, as ``str.isspace`` has it.
@@ -51,7 +53,7 @@ class Encoder(dict):
         self.older: dict[str, bytes] = {}
         self.letters = _byte_letters()
         self.blank = chr(self.letters[32])
-        self._bare = lru_cache(maxsize=64)(self._merge)
+        self._bare = lru_cache(maxsize=BARE)(self._ids)
         self.pattern = regex.compile(PRE_TOKENS)
         kind = self.tokenizer.pre_tokenizer
         self.by_piece = (
@@ -66,14 +68,14 @@ class Encoder(dict):
         self.added_bare = not any(t.single_word or t.lstrip or t.rstrip or t.normalized for t in added.values())
 
     def __missing__(self, word: str) -> bytes:
-        if word[-1:] in ENDS and word[:-1].isalpha():  # as quickly put together as remembered
+        # What is quickly put together, or hardly comes again, isn't remembered.
+        if word[-1:] in ENDS and word[:-1].isalpha():
             return self[word[:-1]] + self._bare(word[-1])
+        if "\n" in word:
+            return self._merge(" " + word)
         ids = self.older.get(word)
         if ids is None:
-            if word.isascii() and word.isalpha():
-                ids = array("I", [t.id for t in self.tokenize(self.blank + word)]).tobytes()
-            else:
-                ids = self._merge(" " + word)
+            ids = self._ids(" " + word) if word.isalpha() else self._merge(" " + word)
         if len(self) >= REMEMBERED:
             self.older = dict(self)
             self.clear()
@@ -82,7 +84,7 @@ class Encoder(dict):
 
     def _merge(self, stretch: str) -> bytes:
         tokens = [stretch] if stretch.lstrip(" ").isalpha() and stretch[1:2] != " " else self.pattern.findall(stretch)
-        return b"".join(map(self._ids, tokens))
+        return b"".join([self[t[1:]] if t[0] == " " and t[1:].isalpha() else self._bare(t) for t in tokens])
 
     def _ids(self, token: str) -> bytes:
         if token.isascii() and token[1:].isalpha() and (token[0] == " " or token[0].isalpha()):
