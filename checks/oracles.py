@@ -177,6 +177,20 @@ ORACLES: dict[str, str] = {
         select numDocumento, cast(epoch(moment) as bigint) as utc, cast(epoch(moment) as bigint) + 10800 as west,
                cast(epoch(moment) as bigint) - 19800 as east
         from expense_raw""",
+    "timestamp_clock_changes": f"""{_with(_EXPENSE)}, nights as (
+            select numDocumento, cast(moment as date) as day,
+                   make_date(ano, 3, 31) - cast(dayofweek(make_date(ano, 3, 31)) as int) as spring,
+                   case when ano < 1996 then make_date(ano, 9, 30) - cast(dayofweek(make_date(ano, 9, 30)) as int)
+                        else make_date(ano, 10, 31) - cast(dayofweek(make_date(ano, 10, 31)) as int) end as autumn
+            from expense_raw),
+        changes as (
+            select numDocumento, day, cast(epoch(day) as bigint) + 9000 as wall, day = spring or day = autumn as odd,
+                   day > spring and day < autumn as summer, day = autumn as back from nights)
+        select numDocumento, wall - case when summer or odd then 7200 else 3600 end as at_earlier,
+               wall - case when summer then 7200 else 3600 end as at_later,
+               case when not odd then wall - case when summer then 7200 else 3600 end end as at_null,
+               wall - case when summer or back then 7200 else 3600 end as at_default
+        from changes""",
     "filter_key_gt": f"{_with(_LEGISLATURE)} select id from legislature_raw where id > 57",
     "filter_nested": f"""{_with(_DEPUTY)}
         select id from deputy_raw where last_legislature = 57 and c_mktsegment = 'BUILDING'""",
@@ -266,6 +280,12 @@ ORACLES: dict[str, str] = {
                cast(2 * sum(valorDocumento) as double) as total, count(*) as n_distinct,
                cast(sum(valorDocumento) as double) as total_distinct
         from expense group by all""",
+    "append_once_by_run": f"""{_with(_EXPENSE)}, months as (
+            select ano as ano1, mes as mes1, count(*) as n, sum(valorDocumento) as total,
+                   ano = 1997 and mes = 3 as again from expense group by all)
+        select ano1, mes1, n * case when again then 2 else 1 end as n,
+               cast(total * case when again then 2 else 1 end as double) as total, case when again then n end as added_last
+        from months""",
     "silver_incremental": f"""{_with(_EXPENSE)}
         select ano as ano1, mes as mes1, nullif(count(*) filter (where not (ano = 1995 and mes = 2)), 0) as n,
                cast(sum(valorDocumento) filter (where not (ano = 1995 and mes = 2)) as double) as total,

@@ -41,7 +41,7 @@ from lakestar.plans.ingest import (
 )
 from lakestar.plans.pipeline import Config, run_all
 from lakestar.session import materialize, scratch_path
-from lakestar.sinks import persisted, write_table
+from lakestar.sinks import append_once, persisted, write_table
 from lakestar.sources import (
     Retry,
     add_constants,
@@ -128,6 +128,15 @@ def timestamp_zone(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _shown(spent.select("numDocumento", *read.values()))
 
 
+@query
+def timestamp_clock_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Half past two at night, a time that clocks show twice or never when they change, by each policy."""
+    night = F.concat(F.substring("dataDocumento", 1, 11), F.lit("02:30:00"))
+    read = {p: parse_timestamp(night, "Europe/Berlin", twice=p, never=p).alias(f"at_{p}") for p in ("earlier", "later", "null")}
+    spent = proxies.expenses(spark, sf_dir)
+    return _shown(spent.select("numDocumento", *read.values(), parse_timestamp(night, "Europe/Berlin").alias("at_default")))
+
+
 @query
 def filter_key_gt(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_gt(proxies.legislatures(spark, sf_dir), "id", 57).select("id")
@@ -483,6 +492,19 @@ def append_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
     return both.withColumns({c: F.col(c).cast("int") for c in MONTHS})
 
 
+@query
+def append_once_by_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A run that comes again after it stopped half-way, and once more; a second run appends one month."""
+    path, ledger = scratch_path(spark, "append"), scratch_path(spark, "ledger")
+    spent = materialize(silver.silver_expense(proxies.expenses(spark, sf_dir)), "silver")
+    starts = [("first", spent.filter("ano < 1995")), ("first", spent), ("first", spent), ("second", spent.filter("ano = 1997 and mes = 3"))]
+    for number, (run, rows) in enumerate(starts):
+        added = append_once(rows, path, run, ledger, MONTHS)
+        last = added.withColumnRenamed("rows", "added_last") if number == len(starts) - 1 else None
+    months = _by_month(spark.read.parquet(path)).withColumns({c: F.col(c).cast("int") for c in MONTHS})
+    return months.join(last, list(MONTHS), "left")
+
+
 @query
 def replace_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A second write of one month, with other amounts, leaves the rest alone."""

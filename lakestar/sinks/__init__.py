@@ -1,3 +1,4 @@
+from lakestar.sinks.once import append_once
 from lakestar.sinks.tables import persisted, write_table
 
-__all__ = ["persisted", "write_table"]
+__all__ = ["append_once", "persisted", "write_table"]

@@ -1,6 +1,6 @@
 import hashlib
 import itertools
-from datetime import date
+from datetime import date, datetime, timezone
 
 import pytest
 from pyspark.errors import PySparkException
@@ -100,3 +100,43 @@ def test_conform_and_helpers(spark):
     assert filter_gt(df, "id", 0).count() == 1
     assert filter_equal(df, {"s.x": "é", "id": 1}).count() == 1
     assert filter_equal(df, {"s.x": "e"}).count() == 0
+
+
+@pytest.mark.parametrize("zone", ["Europe/Berlin", "America/New_York", "Australia/Lord_Howe", "Pacific/Apia", "UTC", "UTC-3"])
+def test_clock_changes_against_every_quarter_hour(spark, with_conf, zone):
+    """A wall clock's instants are those that show it, among all quarters of an hour of the days around."""
+    with_conf(spark__sql__session__timeZone="Asia/Kolkata")
+    days = ["2011-03-12", "2011-03-27", "2011-04-02", "2011-10-01", "2011-10-30", "2011-11-05", "2011-12-30", "2011-06-15"]
+    quarter = 900
+    starts = [int(datetime.fromisoformat(d).replace(tzinfo=timezone.utc).timestamp()) for d in days]
+    walls = sorted({s + quarter * i for s in starts for i in range(-8, 200)})
+    instants = spark.createDataFrame([(s + quarter * i,) for s in starts for i in range(-200, 400)], "at long").distinct()
+    shows = instants.select("at", F.unix_seconds(F.from_utc_timestamp(F.timestamp_seconds("at"), zone)).alias("wall"))
+    known: dict[int, list[int]] = {}
+    for at, wall in shows.collect():
+        known.setdefault(wall, []).append(at)
+    df = spark.createDataFrame([(w, datetime.fromtimestamp(w, timezone.utc).strftime("%Y-%m-%dT%H:%M:%S")) for w in walls], "wall long, t string")
+    policies = ("earlier", "later", "null")
+    read = df.select("wall", *[F.unix_seconds(parse_timestamp("t", zone, twice=p, never=p)).alias(p) for p in policies], F.unix_seconds(parse_timestamp("t", zone)).alias("own"))
+    kinds = set()
+    for wall, earlier, later, null, own in read.collect():
+        found = sorted(known.get(wall, []))
+        kinds.add(len(found))
+        if len(found) == 1:
+            assert earlier == later == null == own == found[0]
+        elif found:
+            assert (earlier, later, null, own) == (found[0], found[-1], None, found[0])
+        else:  # moved by the width of the gap to either side
+            assert null is None and own == later > earlier
+    assert kinds == ({1} if zone.startswith("UTC") else {0, 1, 2})
+
+
+def test_clock_changes_raise(spark):
+    night = _column(spark, ["2011-03-27T02:30:00"])
+    with pytest.raises(PySparkException, match="never: 2011-03-27 02:30:00"):
+        night.select(parse_timestamp("t", "Europe/Berlin", never="raise")).collect()
+    with pytest.raises(PySparkException, match="twice: 2011-10-30 02:30:00"):
+        _column(spark, ["2011-10-30T02:30:00"]).select(parse_timestamp("t", "Europe/Berlin", twice="raise")).collect()
+    assert night.select(parse_timestamp("t", "Europe/Berlin", twice="raise")).count() == 1
+    with pytest.raises(ValueError, match="policy"):
+        parse_timestamp("t", twice="other")

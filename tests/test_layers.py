@@ -129,3 +129,16 @@ def test_both_page_sources_and_any_chunks_give_the_same_parties(spark):
             ingest_details(starts, source, schemas.PARTY_REFERENCE, schemas.PARTY, path)
             found.append(rows(spark.read.parquet(path).select("id", "sigla", "nome", "uri")))
     assert found[0] and all(f == found[0] for f in found)
+
+
+def test_a_named_expense_run_is_added_once(spark, config, star):
+    from dataclasses import replace
+
+    named = replace(config, root=scratch_path(spark, "named"), expense_mode="append", expense_run="quarter-1")
+    spark.read.parquet(f"{config.layer('bronze_layer')}/deputies_data").write.parquet(f"{named.layer('bronze_layer')}/deputies_data")
+    for _ in range(2):
+        ingest_expenses(spark, named)
+    found, once = (spark.read.parquet(f"{c.layer('bronze_layer')}/expenses_data") for c in (named, config))
+    assert rows(found.drop("run_id").select(*once.columns)) == rows(once)
+    with pytest.raises(ValueError, match="named run"):
+        ingest_expenses(spark, replace(named, expense_mode="overwrite"))
