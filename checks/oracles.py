@@ -368,3 +368,5 @@ ORACLES["layers_in_order"] = f"""{_with(_EXPENSE)}, spent as (
            tipoDespesa as expense_type, {_BOTH_KNOWN} as provider, cnpjCpfFornecedor as tax_id
     from spent"""
 ORACLES["layers_requested"] = ORACLES["layers_in_order"]
+ORACLES["fk_composite_bucketed"] = ORACLES["fk_composite_plain"]
+ORACLES["clustered_round_trip"] = ORACLES["partitioned_round_trip"]

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from functools import reduce
+from uuid import uuid4
 
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -14,6 +15,7 @@ from checks import openers, proxies
 from lakestar.functions import parse_date, parse_timestamp
 from lakestar.operators import (
     Lookup,
+    bucketed_join,
     collect_distinct,
     content_key,
     copy_columns,
@@ -28,6 +30,7 @@ from lakestar.operators import (
     resolve_fk,
     surrogate_key,
     with_column,
+    write_bucketed,
 )
 from lakestar.plans import gold, silver
 from lakestar.plans.incremental import rebuild_changed
@@ -264,6 +267,19 @@ def fk_composite_salted(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _provider_fk(spark, sf_dir, True, max_broadcast_bytes=-1, rows_per_task=500)
 
 
+@query
+def fk_composite_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As ``fk_composite_plain``, both sides in buckets of the key, frequent keys and nulls set apart."""
+    rows = _expense_rows(spark, sf_dir)
+    names = {"found_name": "nomeFornecedor", "found_tax_id": "cnpjCpfFornecedor"}
+    providers = _stored(gold.dim_provider(rows, "dense")).select(*[F.col(old).alias(new) for new, old in names.items()], "sk_fornecedor")
+    place = scratch_path(spark, "buckets")
+    own = write_bucketed(rows, f"b_{uuid4().hex}", f"{place}/left", list(names.values()), rows_per_task=500)
+    lookup = write_bucketed(providers, f"b_{uuid4().hex}", f"{place}/right", list(names), own.buckets, split=False)
+    joined = bucketed_join(own, lookup, {old: new for new, old in names.items()})
+    return joined.select("numDocumento", *names)
+
+
 # ---- keys -----------------------------------------------------------------------------------
 
 
@@ -477,6 +493,15 @@ def partitioned_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _shown(spark.read.parquet(path))
 
 
+@query
+def clustered_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Months whose rows follow deputy and amount together."""
+    path = scratch_path(spark, "clustered")
+    spent = materialize(silver.silver_expense(proxies.expenses(spark, sf_dir)), "silver")
+    write_table(spent, path, partition_copies=MONTHS, cluster_by=["id_deputado", "valorDocumento"])
+    return _shown(spark.read.parquet(path))
+
+
 @query
 def append_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Appending repeats rows; distinct rows are back after the dedupe."""

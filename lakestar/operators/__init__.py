@@ -1,3 +1,4 @@
+from lakestar.operators.bucketed import Bucketed, bucketed_join, open_bucketed, write_bucketed
 from lakestar.operators.conform import (
     conform,
     copy_columns,
@@ -10,6 +11,7 @@ from lakestar.operators.conform import (
 from lakestar.operators.dedupe import collect_distinct, dedupe
 from lakestar.operators.joins import join_members, lookup_join, profile_lookup
 from lakestar.operators.keys import assert_unique_key, content_key, key_expression, surrogate_key
+from lakestar.operators.layout import clustered, morton_code
 from lakestar.operators.registry import registered_key
 from lakestar.operators.star import (
     Computed,
@@ -22,10 +24,13 @@ from lakestar.operators.star import (
 )
 
 __all__ = [
+    "Bucketed",
     "Computed",
     "Lookup",
     "assert_unique_key",
+    "bucketed_join",
     "build_fact",
+    "clustered",
     "collect_distinct",
     "conform",
     "content_key",
@@ -40,10 +45,13 @@ __all__ = [
     "key_expression",
     "link_dimension",
     "lookup_join",
+    "morton_code",
+    "open_bucketed",
     "profile_lookup",
     "registered_key",
     "rename",
     "resolve_fk",
     "surrogate_key",
     "with_column",
+    "write_bucketed",
 ]
