@@ -8,6 +8,11 @@ from collections.abc import Iterator, Mapping
 from contextlib import contextmanager
 from urllib.parse import parse_qsl
 
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from lakestar.session import store
+
 
 def open_numbered_page(uri: str, params: Mapping[str, object] | None) -> tuple[int, str | None]:
     """``api/deputados/<id>/despesas?n=<items>`` in pages of ``itens``, linked by ``next``.
@@ -62,28 +67,62 @@ def open_page_with_odd_links(uri: str, params: Mapping[str, object] | None) -> t
     return status, json.dumps({"dados": json.loads(body)["dados"], "links": {"rel": "next"} if key % 2 else ["next"]})
 
 
-#: Folders that stored pages are dealt to, by the CRC of their address.
-SHELVES = 16
+#: Pages in a folder that stored pages are dealt to by the CRC of their address, and bytes read for one of them.
+PAGES_PER_SHELF, GROUP_BYTES = 100_000, 1 << 20
+#: Row groups that a task remembers.
+KEPT_GROUPS = 8
+
+
+def shelve(pages: DataFrame, path: str) -> Shelf:
+    """Stores pages so that one can be found by its address without reading many others."""
+    stored = store(pages, "shelved")
+    shelves = -(-stored.rows // PAGES_PER_SHELF) + 15
+    shelf = F.pmod(F.crc32(F.col("uri").cast("binary")), F.lit(shelves)).cast("int").alias("shelf")
+    laid = stored.df.select("*", shelf).repartition(shelves, "shelf").sortWithinPartitions("shelf", "uri")
+    laid.write.option("parquet.block.size", GROUP_BYTES).partitionBy("shelf").parquet(path)
+    return Shelf(path, shelves)
 
 
 class Shelf:
-    """A client over landed pages in a folder; a task reads a bucket when it first asks for one of its pages."""
+    """A client over shelved pages, in any store that Arrow opens by its scheme.
 
-    def __init__(self, path: str):
-        self.path = path
+    A task reads the row groups that may hold an address, by their statistics, and remembers the last few.
+    """
+
+    def __init__(self, path: str, shelves: int):
+        self.path, self.shelves = path, shelves
 
     @contextmanager
     def __call__(self) -> Iterator:
         import pyarrow.dataset
+        import pyarrow.fs
+
+        place = self.path if "://" in self.path else f"file://{self.path.removeprefix('file:')}"
+        files, root = pyarrow.fs.FileSystem.from_uri(place)
+        groups: dict[int, list] = {}
+        kept: dict[tuple[int, int], dict] = {}
 
-        read: dict[int, dict] = {}
+        def listed(shelf: int) -> list:
+            if shelf not in groups:
+                there = files.get_file_info(f"{root}/shelf={shelf}").type == pyarrow.fs.FileType.Directory
+                parts = pyarrow.dataset.dataset(f"{root}/shelf={shelf}", filesystem=files, format="parquet").get_fragments() if there else []
+                groups[shelf] = [group for part in parts for group in part.split_by_row_group()]
+            return groups[shelf]
 
         def open_page(uri: str, params: Mapping[str, object] | None) -> tuple[int, str | None]:
-            bucket = zlib.crc32(uri.encode()) % SHELVES
-            if bucket not in read:
-                rows = pyarrow.dataset.dataset(f"{self.path}/bucket={bucket}", format="parquet").to_table(["uri", "status", "body"])
-                read[bucket] = {r["uri"]: (r["status"], r["body"]) for r in rows.to_pylist()}
-            return read[bucket].get(uri, (404, None))
+            shelf = zlib.crc32(uri.encode()) % self.shelves
+            for number, group in enumerate(listed(shelf)):
+                seen = (group.row_groups[0].statistics or {}).get("uri")
+                if seen and not seen["min"] <= uri <= seen["max"]:
+                    continue
+                if (shelf, number) not in kept:
+                    while len(kept) >= KEPT_GROUPS:
+                        kept.pop(next(iter(kept)))
+                    rows = group.to_table(columns=["uri", "status", "body"]).to_pylist()
+                    kept[shelf, number] = {r["uri"]: (r["status"], r["body"]) for r in rows}
+                if uri in kept[shelf, number]:
+                    return kept[shelf, number][uri]
+            return 404, None
 
         yield open_page
-        read.clear()
+        kept.clear()

@@ -208,6 +208,9 @@ ORACLES: dict[str, str] = {
     "fk_inner_legacy": f"""{_with(_LEGISLATURE, _EXPENSE)}
         select numDocumento, l.id as found
         from expense_raw join legislature l on try_cast(id_legislatura as smallint) = l.id""",
+    "fk_inner_pruned": f"""{_with(_EXPENSE)}
+        select numDocumento, nomeFornecedor as found_name, cnpjCpfFornecedor as found_tax_id
+        from expense_raw where right(nomeFornecedor, 1) in ('0', '3', '6', '9') and cnpjCpfFornecedor is not null""",
     "fk_cast_lenient": f"""{_with(_LEGISLATURE, _EXPENSE)}
         select numDocumento, id_legislatura, l.id as found
         from expense_raw left join legislature l on try_cast(id_legislatura as smallint) = l.id""",

@@ -9,6 +9,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lakestar.operators.bloom import bloom_words, might_be_in
 from lakestar.session import Stored, row_width, store
 
 MAX_BROADCAST_BYTES = 64 * 1024 * 1024
@@ -57,6 +58,7 @@ def lookup_join(
     rows_per_task: int = ROWS_PER_TASK,
     profile: LookupProfile | Stored | None = None,
     hot_from: DataFrame | None = None,
+    prune: bool = False,
 ) -> DataFrame:
     """``left`` with the columns of ``right`` (column names must differ), ``how`` left or inner.
 
@@ -65,6 +67,8 @@ def lookup_join(
     shuffled, and frequent left keys are spread over salts, with their lookup rows repeated per salt.
     Rows whose key holds a null match nothing unless ``null_safe``: they are spread without counting.
     ``hot_from`` is a cheaper frame to count the left keys in, such as ``left`` before earlier joins.
+    ``prune`` lets a shuffled inner join leave out left rows first whose key a Bloom filter of the right
+    keys doesn't hold; for lookups that many left rows miss.
     """
     if how not in ("left", "inner"):
         raise ValueError(f"how must be 'left' or 'inner', not {how!r}")
@@ -72,9 +76,23 @@ def lookup_join(
     if profile.size_bytes <= max_broadcast_bytes:
         joined = left.alias("l").join(F.broadcast(right.alias("r")), _matches(on, null_safe), how)
         return joined.select("l.*", "r.*")
+    if prune and how == "inner" and not null_safe:
+        left = pruned(left, right, on, profile.rows)
+        hot_from = left
     return salted_join(left, right, on, how, null_safe, rows_per_task, hot_from)
 
 
+def pruned(left: DataFrame, right: DataFrame, on: Mapping[str, str], rows: int) -> DataFrame:
+    """``left`` without most of the rows whose key ``right``, of so many ``rows``, doesn't hold; all others stay.
+
+    Keys of both sides need equal types, as others hash otherwise; then, and where the filter would
+    take too much memory, all rows stay.
+    """
+    types, others = dict(left.dtypes), dict(right.dtypes)
+    made = bloom_words(right, list(on.values()), rows) if all(types[a] == others[b] for a, b in on.items()) else None
+    return left if made is None else left.dropna(subset=list(on)).filter(might_be_in(list(on), *made))
+
+
 def hot_keys(df: DataFrame, keys: list[str], rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
     """The keys with more than ``rows_per_task`` rows, and as many salts as that takes."""
     counted = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))

@@ -54,7 +54,8 @@ class Lookup:
     ``lenient`` gives a null foreign key. ``unique='assert'`` refuses a dimension with several rows
     per key, which would multiply the left rows; ``'trust'`` lets it.
 
-    The dimension is measured once (rows per key, bytes), so hand in a stored one.
+    The dimension is measured once (rows per key, bytes), so hand in a stored one. ``prune`` is that of
+    :func:`lakestar.operators.joins.lookup_join`.
     """
 
     dim: DataFrame
@@ -67,6 +68,7 @@ class Lookup:
     unique: str = "assert"
     max_broadcast_bytes: int = MAX_BROADCAST_BYTES
     rows_per_task: int = ROWS_PER_TASK
+    prune: bool = False
 
     def __post_init__(self) -> None:
         if self.cast not in ("strict", "lenient"):
@@ -119,6 +121,7 @@ class Lookup:
             self.rows_per_task,
             self.profile,
             None if base is None else self._keyed(base),
+            self.prune,
         )
         return joined.select(*[c for c in fact.columns if c != out], F.col("_sk").alias(out))
 

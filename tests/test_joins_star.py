@@ -18,7 +18,8 @@ from lakestar.operators import (
     profile_lookup,
     resolve_fk,
 )
-from lakestar.operators.joins import hot_keys, salted_join
+from lakestar.operators.bloom import bloom_words
+from lakestar.operators.joins import hot_keys, pruned, salted_join
 from lakestar.plans import gold
 
 
@@ -181,3 +182,23 @@ def test_parties_that_share_a_code(spark):
         gold.linked_deputies(people, legislatures, parties).collect()
     linked = gold.linked_deputies(people, legislatures, parties, shared_codes="first")
     assert rows(linked.select("id", "sk_partido")) == [(1, 2), (2, 3)]
+
+
+def test_pruning_keeps_every_match_and_few_others(spark):
+    left = spark.range(20_000).selectExpr("id", "if(id % 4 = 0, null, concat('k', id % 9000)) as a", "cast(id % 3 as int) as b")
+    right = spark.range(300).selectExpr("concat('k', id * 7) as x", "1 as y", "id as sk").union(spark.sql("select null, 1, 0L"))
+    matching = left.join(right, (left.a == right.x) & (left.b == right.y), "left_semi")
+    kept = pruned(left, right, {"a": "x", "b": "y"}, 301)
+    assert matching.exceptAll(kept).isEmpty() and kept.exceptAll(left).isEmpty()
+    assert kept.count() < matching.count() + 0.03 * left.count()
+    assert "Python" not in plan(kept) and "Nested" not in plan(kept) and "Cartesian" not in plan(kept)
+    plain = lookup_join(left, right, {"a": "x", "b": "y"}, "inner", max_broadcast_bytes=-1)
+    assert rows(lookup_join(left, right, {"a": "x", "b": "y"}, "inner", max_broadcast_bytes=-1, prune=True)) == rows(plain)
+
+
+def test_pruning_leaves_out_nothing_it_can_not_judge(spark, monkeypatch):
+    left, right = spark.range(50).toDF("a"), spark.range(3).toDF("x")
+    assert pruned(left, right.limit(0), {"a": "x"}, 0).count() == 0
+    assert pruned(left, right.selectExpr("cast(x as int) as x"), {"a": "x"}, 3) is left
+    assert bloom_words(right, ["x"], 10**9, max_bytes=1024) is None
+    assert rows(lookup_join(left, right, {"a": "x"}, "left", max_broadcast_bytes=-1, prune=True)) == sorted([(i, i if i < 3 else None) for i in range(50)], key=repr)

@@ -120,9 +120,8 @@ def test_both_page_sources_and_any_chunks_give_the_same_parties(spark):
     found = []
     for per_request in (2, 100):
         pages = materialize(proxies.party_pages(spark, SF, 10, per_request), "pages")
-        bucket = F.pmod(F.crc32(F.col("uri").cast("binary")), F.lit(openers.SHELVES)).cast("int").alias("bucket")
-        pages.select("*", bucket).write.partitionBy("bucket").parquet(f"{shelf}/{per_request}")
-        sources = (landed_pages(pages), requested_pages(openers.Shelf(f"{shelf}/{per_request}"), parallelism=4))
+        client = openers.shelve(pages, f"{shelf}/{per_request}")
+        sources = (landed_pages(pages), requested_pages(client, parallelism=4))
         starts = list_starts(proxies.legislatures(spark, SF), "api/partidos", "id", 54, "idLegislatura", {"itens": 10}, per_request)
         for source in sources:
             path = scratch_path(spark, "parties")
@@ -142,3 +141,17 @@ def test_a_named_expense_run_is_added_once(spark, config, star):
     assert rows(found.drop("run_id").select(*once.columns)) == rows(once)
     with pytest.raises(ValueError, match="named run"):
         ingest_expenses(spark, replace(named, expense_mode="overwrite"))
+
+
+def test_a_shelf_reads_few_rows_for_a_page_by_a_path_with_a_scheme(spark, monkeypatch):
+    monkeypatch.setattr(openers, "GROUP_BYTES", 32 * 1024)
+    pages = spark.range(20_000).selectExpr("concat('api/', id) as uri", "cast(200 + id % 3 as int) as status", "repeat(uuid(), 3) as body")
+    place = "file://" + scratch_path(spark, "shelf").removeprefix("file:")
+    pages = materialize(pages, "pages")
+    client = openers.shelve(pages, place)
+    asked = pages.filter("uri like '%77'").collect()
+    with client() as open_page:
+        assert [open_page(r.uri, None) for r in asked] == [(r.status, r.body) for r in asked]
+        assert open_page("api/none", None) == (404, None) and open_page("", None) == (404, None)
+        kept = dict(zip(open_page.__code__.co_freevars, (c.cell_contents for c in open_page.__closure__)))["kept"]
+        assert len(kept) <= openers.KEPT_GROUPS and max(len(g) for g in kept.values()) < 1000
