@@ -123,11 +123,11 @@ def layout(plan: list[tuple[dict[int, int], int]]) -> dict[int, tuple[np.ndarray
 
 def _tokens(path: str, end: int, length: int, with_ids: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, tail = encoder(path).encode, end.to_bytes(4, "little")
+        encode_all, tail = encoder(path).encode_all, end.to_bytes(4, "little")
         for batch in batches:
             sizes, sums, ids = [], [], []
-            for text in batch.column("text"):
-                own = encode(text.as_py()) + tail
+            for encoded in encode_all(text.as_py() for text in batch.column("text")):
+                own = encoded + tail
                 view = memoryview(own)
                 sizes.append(len(own) // 4)
                 sums.append([zlib.crc32(view[i : i + 4 * length]) for i in range(0, len(own), 4 * length)])

@@ -164,7 +164,7 @@ def from_file(data: bytes) -> tuple[WaveletMatrix, list[int | None], np.ndarray]
 
 def _write(path: str, end: int, shard: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, tail = encoder(path).encode, end.to_bytes(4, "little")
+        encode_all, tail = encoder(path).encode_all, end.to_bytes(4, "little")
         ids: list[int | None] = []
         own: list[bytes] = []
         part, made, held = 0, 0, 0
@@ -177,9 +177,10 @@ def _write(path: str, end: int, shard: int):
             return pa.record_batch([pa.array(c, k) for c, k in zip(columns, kinds)], names=["part", "shard", "tokens", "docs", "file"])
 
         for batch in batches:
-            for doc_id, text, where in zip(batch.column("doc_id"), batch.column("text"), batch.column("part")):
+            encoded = encode_all(text.as_py() for text in batch.column("text"))
+            for doc_id, own_ids, where in zip(batch.column("doc_id"), encoded, batch.column("part")):
                 part = where.as_py()
-                own.append(encode(text.as_py()) + tail)
+                own.append(own_ids + tail)
                 ids.append(doc_id.as_py())
                 held += len(own[-1]) // 4
                 if held >= shard:

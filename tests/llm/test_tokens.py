@@ -1,4 +1,5 @@
 import json
+import random
 import zlib
 
 import numpy as np
@@ -7,8 +8,9 @@ import pytest
 from odd import odd_docs
 from tokenizers import Tokenizer
 
+from lakestar.llm import tokens
 from lakestar.llm.packing import pack
-from lakestar.llm.tokens import encoder
+from lakestar.llm.tokens import Encoder, encoder
 from lakestar.llm.wavelet import token_files
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
@@ -44,3 +46,23 @@ def test_operators_match_added_tokens(spark):
     crc = lambda ids: zlib.crc32(np.array(ids, "<u4").tobytes())
     for out, end in ((pack(docs, PATH), 0), (token_files(docs, PATH), 2)):
         assert {r.doc_id: r.ids_crc32 for r in out.collect()} == {i: crc([*plain(PATH, t), end]) for i, t in enumerate(TEXTS)}
+
+
+@pytest.mark.parametrize("block", [8, 500, 1 << 22])
+def test_blocks_of_texts_give_the_librarys_ids(monkeypatch, block):
+    monkeypatch.setattr(tokens, "BLOCK", block)
+    r, library = random.Random(block), Tokenizer.from_file(PATH)
+    pool = [*" \n\t\r\x0b\x0c\x1c\x85\xa0\u2003\u3000'.,;:!?()-_\"abcszABC0189éèß中文🙂²½Ⅷ\u0301\u200b\x00\x7f", *[" ", "\n", "  ", "'s", "'ll", " the", END] * 3]
+    texts = ["".join(r.choices(pool, k=r.randint(0, 25))) for _ in range(3000)]
+    found = list(Encoder(PATH).encode_all(texts))
+    assert len(found) == len(texts)
+    for text, ids in zip(texts, found):
+        assert np.frombuffer(ids, "<u4").tolist() == library.encode(text, add_special_tokens=False).ids
+
+
+def test_forgotten_pieces_are_merged_again(monkeypatch):
+    monkeypatch.setattr(tokens, "REMEMBERED", 5)
+    own, library = Encoder(PATH), Tokenizer.from_file(PATH)
+    for text in ["one two three four five six seven.", "one two", "eight nine ten (eleven)", "one two three é.é é.é seven."] * 3:
+        assert np.frombuffer(own.encode(text), "<u4").tolist() == library.encode(text, add_special_tokens=False).ids
+        assert max(len(own.known), len(own.older)) <= 5
