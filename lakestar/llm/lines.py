@@ -69,12 +69,12 @@ def dedup_lines(docs: DataFrame, sites: int = SITES) -> DataFrame:
     found = Written(
         each.select(*row, "site", "place", F.xxhash64("line").alias("a"), F.xxhash64(F.lit(1), "line").alias("b")), "lines"
     )
-    several = (
-        found.df.groupBy("a", "b").agg(F.min("site").alias("x"), F.max("site").alias("y")).where("x != y").select("a", "b")
-    )
-    shared = Written(found.df.join(several, ["a", "b"], "left_semi"), "shared")
-    found.drop()
     # Stored sides let a join split the rows of a very frequent line over tasks.
+    ends = found.df.groupBy("a", "b").agg(F.min("site").alias("x"), F.max("site").alias("y"))
+    several = Written(ends.where("x != y").select("a", "b"), "several")
+    shared = Written(found.df.join(several.df, ["a", "b"], "left_semi"), "shared")
+    found.drop()
+    several.drop()
     spread = written(spread_lines(shared.df, sites), "boilerplate")
     at = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "place", "row_a", "row_b")
     hits = Written(shared.df.join(spread, ["a", "b"], "left_semi"), "spread")
