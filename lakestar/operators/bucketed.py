@@ -46,17 +46,18 @@ def write_bucketed(
     buckets: int | None = None,
     rows_per_task: int = ROWS_PER_TASK,
     split: bool = True,
+    rows_per_bucket: int = ROWS_PER_TASK,
 ) -> Bucketed:
     """Writes ``df`` below ``path`` in buckets of ``keys`` as the catalog table ``name``, once for all joins.
 
     Keys with more than ``rows_per_task`` rows, and rows whose key holds a null, go to a folder of their
-    own. Without a number of ``buckets`` there are as many as hold ``rows_per_task`` rows each. A lookup
-    side, which has few rows per key, may be written whole (``split=False``), with the buckets of the other.
+    own. Without a number of ``buckets`` there are as many as hold ``rows_per_bucket`` rows each: how small a
+    key may be to stay in one says nothing about how many there have to be. A lookup side, which has few rows per key, may be written whole (``split=False``), with the buckets of the other.
     """
     spark, keys = df.sparkSession, list(keys)
     stored = store(df, "unbucketed").df
     if buckets is None:
-        buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-stored.count() // rows_per_task))
+        buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-stored.count() // rows_per_bucket))
     empty = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
     own, apart = stored, stored.limit(0)
     if split:

@@ -113,6 +113,13 @@ def test_buckets_are_joined_without_a_shuffle(spark, lake, with_conf):
     assert "Exchange hashpartitioning" not in plan(bucketed_join(again, two, {"a": "x", "b": "y"}))
 
 
+def test_a_low_bound_for_frequent_keys_makes_no_more_buckets(spark, lake):
+    df = spark.range(4000).selectExpr("id % 1000 as k", "id as v")
+    assert write_bucketed(df, "low_bound", f"{lake}/low", ["k"], rows_per_task=10).buckets == 8
+    more = write_bucketed(df, "more_buckets", f"{lake}/more", ["k"], rows_per_task=10, rows_per_bucket=100)
+    assert more.buckets == 40 and rows(more.df) == rows(df) and more.set_apart.isEmpty()
+
+
 def test_sides_that_do_not_fit_are_refused(spark, lake):
     _, _, one, two = sides(spark, lake, "fit")
     other = write_bucketed(two.df, "fit_other", f"{lake}/other", ["x", "y"], one.buckets + 1, split=False)
