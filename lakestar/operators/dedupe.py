@@ -10,8 +10,9 @@ from pyspark.sql import functions as F
 from lakestar.operators.joins import lookup_join
 from lakestar.session import store
 
-#: Rows of a table's partition that one task writes.
-ROWS_PER_FILE = 5_000_000
+#: Rows of a table's partition that one task writes. A task that makes rows distinct holds them all, some 600 bytes
+#: each for expenses, and hashing gives a few tasks five or six such shares.
+ROWS_PER_FILE = 250_000
 
 
 def dedupe(

@@ -102,6 +102,12 @@ def test_tasks_follow_the_rows(spark):
     assert dedupe_by(_months(spark), ["y", "m"], 100).rdd.getNumPartitions() == 80
 
 
+def test_a_month_of_many_rows_is_shared_by_tasks(spark):
+    df = materialize(spark.range(600_000).selectExpr("id as v", "1 as m"), "month")
+    sizes = [r["count"] for r in dedupe_by(df, ["m"]).groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(sizes) == 600_000 and max(sizes) < 500_000
+
+
 def test_hash_keys(spark, with_conf):
     df = spark.createDataFrame([("a", None), (None, "a"), ("a", "a")], "x string, y string")
     for method in ("hash", "hash64"):
