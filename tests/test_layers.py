@@ -9,7 +9,7 @@ from lakestar.plans import gold, silver
 from lakestar.plans.ingest import ingest_details, landed_pages, list_starts, requested_pages
 from lakestar.plans.pipeline import STEPS, Config, build_gold, build_silver, ingest_expenses, run_all
 from lakestar.session import materialize, scratch_path
-from lakestar.sources import schemas
+from lakestar.sources import fan_out, schemas
 
 TABLES = ("legislature", "party", "deputy", "expense_type", "provider", "fact")
 
@@ -155,3 +155,18 @@ def test_a_shelf_reads_few_rows_for_a_page_by_a_path_with_a_scheme(spark, monkey
         assert open_page("api/none", None) == (404, None) and open_page("", None) == (404, None)
         kept = dict(zip(open_page.__code__.co_freevars, (c.cell_contents for c in open_page.__closure__)))["kept"]
         assert len(kept) <= openers.KEPT_GROUPS and max(len(g) for g in kept.values()) < 1000
+
+
+def test_neighbouring_addresses_lie_and_are_asked_for_together(spark):
+    """Files of a shelf hold ranges of addresses, and a task asks in their order."""
+    pages = spark.range(3000).selectExpr("concat('api/', id) as uri", "200 as status", "'{\"dados\": []}' as body")
+    place = scratch_path(spark, "shelf")
+    client = openers.shelve(pages, place)
+    files = spark.read.parquet(place).groupBy(F.input_file_name().alias("f")).agg(F.min("uri").alias("low"), F.max("uri").alias("high"))
+    ends = sorted((r.low, r.high) for r in files.collect())
+    assert len(ends) > 1 and all(a[1] < b[0] for a, b in zip(ends, ends[1:]))
+    asked = fan_out(pages.select("uri"), client, parallelism=4).select(F.spark_partition_id().alias("p"), "start_uri", "status").collect()
+    assert len(asked) == 3000 and {r.status for r in asked} == {200}
+    for task in {r.p for r in asked}:
+        own = [r.start_uri for r in asked if r.p == task]
+        assert own == sorted(own)
