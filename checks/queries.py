@@ -518,9 +518,9 @@ def clustered_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
 def append_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Appending repeats rows; distinct rows are back after the dedupe."""
     path = scratch_path(spark, "append")
-    spent = silver.silver_expense(proxies.expenses(spark, sf_dir))
-    for _ in range(2):
-        write_table(spent, path, "append", partition_copies=MONTHS)
+    spent = materialize(silver.silver_expense(proxies.expenses(spark, sf_dir), by=list(MONTHS.values())), "silver")
+    for _ in range(2):  # the distinct has brought months together
+        write_table(spent, path, "append", partition_copies=MONTHS, rebalance=False)
     stored = spark.read.parquet(path)
     both = _by_month(stored).join(
         _by_month(dedupe(stored)).withColumnsRenamed({"n": "n_distinct", "total": "total_distinct"}),
