@@ -10,7 +10,7 @@ from pyspark import TaskContext, cloudpickle
 
 from checks.openers import no_pause, open_numbered_page, open_page_with_last
 from lakestar.plans.ingest import requested_pages
-from lakestar.sources import Retry, fan_out, land_pages, plain_client
+from lakestar.sources import Retry, fan_out, land_pages, landing, plain_client
 from support import rows
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -58,6 +58,27 @@ def test_as_walked(spark, lake, opener, more):
     assert shown(land_pages(begun, plain_client(opener), lake, carry=["id"], **OPTIONS, **more)) == shown(walked)
 
 
+@pytest.mark.parametrize("opener", [open_numbered_page, open_page_with_last])
+def test_long_lists_are_spread_by_page(spark, lake, opener):
+    begun, more = starts(spark, KEYS), {"numbered": "pagina", "per_wave": 3, "carry": ["id"], **OPTIONS}
+    expected = shown(fan_out(begun, plain_client(opener), carry=["id"], **OPTIONS))
+    assert shown(land_pages(begun, plain_client(opener), lake, list_pages=4, max_broadcast_bytes=-1, **more)) == expected
+
+
+def test_a_list_at_its_end_is_not_walked_again(spark, lake, monkeypatch):
+    """Lists 8, of one page, and 7, whose second page isn't found, are done after a wave or two."""
+    walked, whole = [], landing._walked
+
+    def listed(links, *more):
+        walked.append({r[0].split("/")[2] for r in links.select("start_uri").distinct().collect()})
+        return whole(links, *more)
+
+    monkeypatch.setattr(landing, "_walked", listed)
+    pages = land_pages(starts(spark, [1, 7, 8]), plain_client(open_numbered_page), lake, per_wave=2, carry=["id"], **OPTIONS)
+    assert walked[0] == {"1", "7", "8"} and walked[1] == {"1", "7"} and {"1"} in walked[2:] and not {"7", "8"} & set().union(*walked[2:])
+    assert shown(pages) == shown(fan_out(starts(spark, [1, 7, 8]), plain_client(open_numbered_page), carry=["id"], **OPTIONS))
+
+
 def test_pages_of_one_list_come_from_several_tasks(spark, lake, tmp_path):
     client = Written(tmp_path, open_page_with_last)
     pages = land_pages(starts(spark, [1], 80), client, lake, carry=["id"], numbered="pagina", **OPTIONS)
