@@ -3,11 +3,12 @@ import random
 import pyarrow.parquet as pq
 import pytest
 
+from checks import queries
 from lakestar.operators import bucketed_join, morton_code, open_bucketed, write_bucketed
 from lakestar.operators.layout import scaled
 from lakestar.sinks import write_table
 from pyspark.sql import functions as F
-from support import plan, rows
+from support import SF, plan, rows
 
 COPIES = {"y1": "y"}
 
@@ -72,6 +73,17 @@ def test_a_value_with_most_rows_is_split(spark, lake):
     assert sum(sizes) == 40_000 and max(sizes) < 12_000
 
 
+def test_clustered_rows_are_made_distinct_month_by_month(spark, monkeypatch, with_conf):
+    with_conf(spark__sql__adaptive__coalescePartitions__enabled="false")
+    kept, whole = [], queries.materialize
+    monkeypatch.setattr(queries, "materialize", lambda df, label: kept.append(whole(df, label)) or kept[-1])
+    written = queries.clustered_round_trip(spark, SF)
+    named = kept[0].select("ano", "mes", F.input_file_name().alias("file")).distinct()
+    lies = named.groupBy("ano", "mes").agg(F.count("file").alias("files"))
+    assert {r["files"] for r in lies.collect()} == {1}
+    assert written.count() == kept[0].count() == kept[0].distinct().count()
+
+
 def sides(spark, lake, name, rows_per_task=50):
     rng = random.Random(3)
     left = [(i, "hot", 1) for i in range(300)] + [(300 + i, None, 1) for i in range(100)] + [(400 + i, f"k{rng.randrange(60)}", rng.randrange(2)) for i in range(400)]
