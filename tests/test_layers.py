@@ -1,5 +1,7 @@
 """The jobs from landed pages to the star schema."""
 
+from dataclasses import replace
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -130,6 +132,29 @@ def test_both_page_sources_and_any_chunks_give_the_same_parties(spark):
     assert found[0] and all(f == found[0] for f in found)
 
 
+def test_details_are_read_once(spark):
+    """Also beside members too many to broadcast, whose join counts the ids of the details before it."""
+    pages = landed_pages(materialize(proxies.deputy_pages(spark, SF), "pages"))
+    starts = list_starts(proxies.legislatures(spark, SF), "api/deputados", "id", 54, "idLegislatura", {"itens": 100})
+    membership, found = (["id", "uri"], "idLegislatura", "legislaturas"), []
+    for options in ({}, {"max_broadcast_bytes": -1}):
+        read = spark.sparkContext.accumulator(0)
+
+        def seen(uri, read=read):
+            read.add("?" not in uri)
+            return True
+
+        def source(starts):
+            walk = pages(starts)
+            return replace(walk, pages=walk.pages.filter(F.udf(seen, "boolean").asNondeterministic()("uri")))
+
+        path = scratch_path(spark, "details")
+        ingest_details(starts, source, schemas.DEPUTY_REFERENCE, schemas.DEPUTY, path, membership, **options)
+        found.append(rows(spark.read.parquet(path)))
+        assert read.value == len(found[0]) > 0
+    assert found[0] == found[1]
+
+
 def test_a_named_expense_run_is_added_once(spark, config, star):
     from dataclasses import replace
 

@@ -214,6 +214,14 @@ def test_two_answers_for_one_address_are_refused(spark):
         index_pages(_landed(spark, [_page("a"), _page("a", "b")]))
 
 
+def test_index_is_dealt_by_address(spark, with_conf):
+    """However pages landed, no file of the index holds most of them, so no task of a walk reads most."""
+    with_conf(spark__sql__adaptive__coalescePartitions__enabled="false")
+    pages = _landed(spark, [_page(f"api/{i}") for i in range(800)]).coalesce(1)
+    files = index_pages(pages).found.df.groupBy(F.input_file_name()).count()
+    assert files.agg(F.sum("count"), F.max("count") < 200).first()[:] == (800, True)
+
+
 def test_request_addresses(spark):
     df = spark.range(2)
     address = request_uri("http://host/api/", "people", F.col("id"), params={"size": 100, "of": F.col("id") + 1})
