@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lakestar.operators.bloom import bloom_words, might_be_in
-from lakestar.session import Stored, row_width, store
+from lakestar.session import Stored, row_width, shuffles_released, store
 
 MAX_BROADCAST_BYTES = 64 * 1024 * 1024
 # A key with more rows than this is spread over several tasks.
@@ -32,11 +32,12 @@ def profile_lookup(df: DataFrame, keys: list[str]) -> LookupProfile:
     for key in keys:
         has_key = has_key & F.col(key).isNotNull()
     per_key = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), F.sum(row_width(df)).alias("_bytes"))
-    found = per_key.agg(
-        F.sum("_n").alias("rows"),
-        F.sum("_bytes").alias("size_bytes"),
-        F.max(F.when(has_key, F.col("_n"))).alias("copies"),
-    ).collect()[0]
+    with shuffles_released(df.sparkSession):
+        found = per_key.agg(
+            F.sum("_n").alias("rows"),
+            F.sum("_bytes").alias("size_bytes"),
+            F.max(F.when(has_key, F.col("_n"))).alias("copies"),
+        ).collect()[0]
     return LookupProfile(found["rows"] or 0, found["size_bytes"] or 0, found["copies"] or 0)
 
 
@@ -112,7 +113,8 @@ def salted_join(
 ) -> DataFrame:
     """The shuffled form of :func:`lookup_join`, for a right side that is known to be large.
 
-    The list of frequent keys is stored and measured; too large a list is joined by a shuffle.
+    The list of frequent keys is stored and measured; too large a list is joined by a shuffle. The right side is
+    marked for a shuffle, as Spark would guess its size from that of compressed files.
     """
     counted = left if hot_from is None else hot_from
     if not null_safe:
@@ -139,7 +141,7 @@ def salted_join(
         marked(right, list(on.values())).withColumn("_salt", F.explode(repeats)).drop("_salts")
     )
     condition = _matches(on, null_safe) & (F.col("l._salt") == F.col("r._salt"))
-    joined = salted_left.alias("l").join(salted_right.alias("r"), condition, how)
+    joined = salted_left.alias("l").join(salted_right.hint("merge").alias("r"), condition, how)
     return joined.select(
         *[F.col(f"l.{c}") for c in left.columns], *[F.col(f"r.{c}") for c in right.columns]
     )

@@ -151,12 +151,14 @@ def fact_links(
     ]
 
 
-def fact_expense(expenses: DataFrame, links: Sequence[ForeignKey], columns: Spec = FACT_COLUMNS) -> DataFrame:
+def fact_expense(
+    expenses: DataFrame, links: Sequence[ForeignKey], columns: Spec = FACT_COLUMNS, lay_by: Sequence[str] = ()
+) -> DataFrame:
     """The expense fact: as many rows as distinct expenses. Its own key, which no shuffle can compress, is
-    added after the links."""
-    rows = expenses.select(*EXPENSE_COLUMNS)
-    keyed = surrogate_key(resolve_all(rows, links), "sk_despesa", "hash", EXPENSE_COLUMNS)
-    return conform(keyed, columns)
+    added after the links, and after the rows were brought together ``lay_by`` the partitions of a write."""
+    linked = resolve_all(expenses.select(*EXPENSE_COLUMNS), links)
+    laid = linked.hint("rebalance", *lay_by) if lay_by else linked
+    return conform(surrogate_key(laid, "sk_despesa", "hash", EXPENSE_COLUMNS), columns)
 
 
 @dataclass(frozen=True)
@@ -219,10 +221,7 @@ def publish_star(
     links = fact_links(
         deputies, legislatures, null_safe_provider=null_safe_provider, cast=cast, method=method, seed=seed
     )
-    store(
-        "fact",
-        fact_expense(expenses, links),
-        partition_copies={"ano_despesa": "ano", "mes_despesa": "mes"},
-        rebalance=any(link.moves_fact for link in links),
-    )
+    months = {"ano_despesa": "ano", "mes_despesa": "mes"}
+    moved = any(link.moves_fact for link in links)
+    store("fact", fact_expense(expenses, links, lay_by=list(months.values()) if moved else ()), partition_copies=months, rebalance=False)
     return published

@@ -5,7 +5,8 @@ from __future__ import annotations
 import io
 import tempfile
 import zipfile
-from collections.abc import Sequence
+from collections.abc import Iterator, Mapping, Sequence
+from contextlib import contextmanager
 from dataclasses import dataclass
 from pathlib import Path
 from uuid import uuid4
@@ -59,6 +60,34 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/lakestar-{label}-{uuid4().hex}"
 
 
+# Spark's options for the shuffle files of a finished execution and for the codec of Parquet files.
+_CLEANUP, _CODEC = "spark.sql.classic.shuffleDependency.fileCleanup.enabled", "spark.sql.parquet.compression.codec"
+#: Codec of tables for which neither their options nor the session name one: hash keys in hex take half of their length.
+CODEC = "zstd"
+
+
+@contextmanager
+def shuffles_released(spark: SparkSession) -> Iterator[None]:
+    """Deletes the shuffle files of each execution inside when it ends, as nothing reads them once its result is
+    stored or collected. Spark would keep them until the driver's memory is swept, beside those of later steps.
+
+    A frame that is collected has to be made inside, as it remembers the option as it was then. Spark before 4.1 does not know the option, and keeps them as ever.
+    """
+    before = spark.conf.get(_CLEANUP, None)
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(_CLEANUP) if before is None else spark.conf.set(_CLEANUP, before)
+
+
+def parquet_options(spark: SparkSession, options: Mapping[str, str] | None = None) -> dict[str, str]:
+    """``options`` with a codec, if neither they nor the session name one."""
+    options = dict(options or {})
+    named = spark.conf.get(_CODEC, None) or {k.lower() for k in options} & {"compression", "parquet.compression"}
+    return options if named else {"compression": CODEC, **options}
+
+
 @dataclass(frozen=True)
 class Stored:
     """A frame that was written to the shared folder, with the rows and bytes seen on the way."""
@@ -99,14 +128,16 @@ def store(df: DataFrame, label: str, measured: Sequence[str] | None = None) -> S
     path = scratch_path(spark, label)
     seen = Observation()
     observed = df.observe(seen, F.count(F.lit(1)).alias("rows"), F.sum(row_width(df.select(*(measured or df.columns)))).alias("bytes"))
-    observed.write.parquet(path)
+    with shuffles_released(spark):
+        observed.write.options(**parquet_options(spark)).parquet(path)
     return Stored(spark.read.schema(df.schema).parquet(path), seen.get["rows"], seen.get["bytes"] or 0, path)
 
 
 def materialize(df: DataFrame, label: str) -> DataFrame:
     """:func:`store` without the figures."""
     path = scratch_path(df.sparkSession, label)
-    df.write.parquet(path)
+    with shuffles_released(df.sparkSession):
+        df.write.options(**parquet_options(df.sparkSession)).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 
 from lakestar.operators.conform import copy_columns
 from lakestar.operators.layout import clustered
+from lakestar.session import parquet_options, shuffles_released
 
 MODES = ("overwrite", "append", "replace_partitions")
 
@@ -65,7 +66,8 @@ def write_table(
     A partitioned write is rebalanced on its partition columns: small partitions share a task, and a
     partition with a large part of all rows is split over several. With two columns to ``cluster_by`` the
     rows of a partition follow both instead (:func:`lakestar.operators.layout.clustered`), so a filter on
-    either leaves out row groups and pages.
+    either leaves out row groups and pages. Parquet files are compressed with zstd, unless ``options`` or the
+    session name another codec.
     """
     if mode not in MODES:
         raise ValueError(f"mode must be one of {MODES}, not {mode!r}")
@@ -81,12 +83,14 @@ def write_table(
         df = clustered(df, partition_by, cluster_by)
     elif partition_by and rebalance:
         df = df.hint("rebalance", *partition_by)
-    writer = df.write.format(fmt).options(**(options or {}))
+    options = parquet_options(df.sparkSession, options) if fmt == "parquet" else options or {}
+    writer = df.write.format(fmt).options(**options)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     if mode == "replace_partitions":
         writer = writer.option("partitionOverwriteMode", "dynamic")
-    writer.mode("append" if mode == "append" else "overwrite").save(path)
+    with shuffles_released(df.sparkSession):
+        writer.mode("append" if mode == "append" else "overwrite").save(path)
 
 
 @contextmanager
