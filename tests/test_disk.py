@@ -6,7 +6,8 @@ import time
 from pyspark.sql import functions as F
 
 from support import plan, rows
-from lakestar.operators import lookup_join
+from checks import queries
+from lakestar.operators import Lookup, lookup_join
 from lakestar.operators.joins import profile_lookup
 from lakestar.operators.keys import assert_unique_key
 from lakestar.plans import gold
@@ -86,3 +87,34 @@ def test_the_facts_own_key_is_made_after_rows_were_laid_by_month(spark):
     above = plan(laid).split("REBALANCE")[0]
     assert "REBALANCE" in plan(laid) and "sha2" in above and "sha2" not in plan(laid).removeprefix(above)
     assert rows(laid) == rows(gold.fact_expense(expenses, links))
+
+
+def test_links_that_move_the_fact_come_before_those_that_widen_it(spark, monkeypatch):
+    expenses, deputies, legislatures = _fact_parts(spark)
+    types = materialize(gold.dim_expense_type(expenses, "uuid"), "dim")
+    plain = [Lookup(types, {"tipoDespesa": "tipoDespesa"}, "sk_tipo_despesa"), Lookup(legislatures, {"id_legislatura": "id"}, "sk_legislatura")]
+    resolved, resolve = [], Lookup.resolve
+    monkeypatch.setattr(Lookup, "resolve", lambda link, *frames: resolved.append(link.sk) or resolve(link, *frames))
+    found = []
+    for bound in (-1, 1 << 20):
+        links = [*plain, Lookup(deputies, {"id_deputado": "id"}, "sk_deputado", max_broadcast_bytes=bound)]
+        columns = {c: c for c in ("sk_despesa", "sk_tipo_despesa", "sk_deputado", "sk_legislatura", "valorDocumento")}
+        found.append(rows(gold.fact_expense(expenses, links, columns)))
+    assert resolved == ["sk_deputado", "sk_tipo_despesa", "sk_legislatura", "sk_tipo_despesa", "sk_legislatura", "sk_deputado"]
+    assert found[0] == found[1] and len(found[0]) == 200
+
+
+def test_keys_move_as_bytes(spark):
+    """Of a hash and of uuids; the fact shows the hash's digits again."""
+    expenses, deputies, legislatures = _fact_parts(spark)
+    people = materialize(deputies.select("id", F.expr("uuid()").alias("sk_deputado")), "dim")
+    types, providers = (materialize(dim(expenses), "dim") for dim in (gold.dim_expense_type, gold.dim_provider))
+    fact = materialize(gold.fact_expense(expenses, gold.fact_links(people, legislatures)), "fact")
+    moved = queries._key_bytes(fact, "sk_despesa", "sk_deputado", "sk_fornecedor")
+    assert {c: t for c, t in moved.dtypes if c.startswith("sk_")} == {
+        "sk_despesa": "binary", "sk_deputado": "binary", "sk_legislatura": "bigint", "sk_tipo_despesa": "bigint", "sk_fornecedor": "bigint"
+    }
+    assert moved.select(F.length("sk_despesa"), F.length("sk_deputado")).distinct().collect() == [(32, 16)]
+    shown = queries._natural_fact(fact, people, legislatures, types, providers)
+    own = fact.join(people, "sk_deputado").select("sk_despesa", "id")
+    assert rows(shown.select("sk_despesa", "deputy")) == rows(own) and own.count() == 200
