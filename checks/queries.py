@@ -455,12 +455,13 @@ def fact_expense(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def fact_expense_looked_up(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Dense keys for all dimensions, and providers without a tax id found as well."""
+    """Dense keys for all dimensions, and providers without a tax id found as well. The fact is stored before it is
+    followed back, so that shuffles of the way there are gone by then."""
     expenses, deputies, legislatures = _fact_parts(spark, sf_dir)
     types = _stored(gold.dim_expense_type(expenses, "dense"))
     providers = _stored(gold.dim_provider(expenses, "dense"))
     links = gold.fact_links(deputies, legislatures, types, providers, null_safe_provider=True, cast="lenient")
-    fact = gold.fact_expense(expenses, links)
+    fact = materialize(gold.fact_expense(expenses, links), "fact")
     return _natural_fact(fact, deputies, legislatures, types, providers)
 
 

@@ -5,7 +5,7 @@ import time
 
 from pyspark.sql import functions as F
 
-from support import plan, rows
+from support import SF, plan, rows
 from checks import queries
 from lakestar.operators import Lookup, lookup_join
 from lakestar.operators.joins import profile_lookup
@@ -118,3 +118,8 @@ def test_keys_move_as_bytes(spark):
     shown = queries._natural_fact(fact, people, legislatures, types, providers)
     own = fact.join(people, "sk_deputado").select("sk_despesa", "id")
     assert rows(shown.select("sk_despesa", "deputy")) == rows(own) and own.count() == 200
+
+
+def test_the_looked_up_fact_is_stored_before_it_is_followed_back(spark):
+    read = queries.QUERIES["fact_expense_looked_up"](spark, SF).inputFiles()
+    assert any("/lakestar-fact-" in f for f in read) and not any("/lakestar-silver-" in f for f in read)
