@@ -3,16 +3,19 @@
 import os
 import time
 
+import pytest
 from pyspark.sql import functions as F
 
 from support import SF, plan, rows
-from checks import queries
+from checks import openers, queries
 from lakestar.operators import Lookup, lookup_join
 from lakestar.operators.joins import profile_lookup
 from lakestar.operators.keys import assert_unique_key
 from lakestar.plans import gold
+from lakestar.plans.ingest import requested_pages
 from lakestar.session import CODEC, materialize, shared_dir, store
 from lakestar.sinks import write_table
+from lakestar.sources import plain_client
 
 
 def _shuffle_files(spark):
@@ -134,3 +137,20 @@ def test_landed_pages_go_once_they_are_indexed(spark):
     found = queries.QUERIES["bronze_expenses"](spark, SF)
     assert _tables(spark, "pages") == before[0] and len(_tables(spark, "index") - before[1]) == 1
     assert found.count() > 0
+
+
+@pytest.mark.parametrize("name", ["layers_in_order", "layers_requested"])
+def test_pages_go_once_they_are_in_bronze(spark, name):
+    labels = ("pages", "index", "shelved", "shelf", "landing", "judged")
+    before = [_tables(spark, label) for label in labels]
+    found = queries.QUERIES[name](spark, SF)
+    assert [_tables(spark, label) for label in labels] == before
+    assert found.count() == 6000
+
+
+def test_a_landing_folder_stays(spark, lake):
+    source = requested_pages(plain_client(openers.open_numbered_page), landing=lake, params={"itens": 3})
+    walk = source(spark.createDataFrame([("api/deputados/1/despesas?n=7",)], "uri string"))
+    assert walk.pages.count() == 3
+    source.drop()
+    assert spark.read.parquet(f"{lake}/*").count() == 3
